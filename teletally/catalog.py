@@ -6,6 +6,7 @@ keys that run on the second one end in ``_orders``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Sums of decimal(18,2) widen to decimal(28,2); results are compared at this type.
 RESULT_AMOUNT = T.DecimalType(18, 2)
 TOTAL_AMOUNT = T.DecimalType(28, 2)
-ONE_WEEK = ("20240105", "20240111")
+ONE_WEEK = (dt.date(2024, 1, 5), dt.date(2024, 1, 11))
 
 
 def _result(df: DataFrame) -> DataFrame:
@@ -49,6 +50,13 @@ def _sessions(log: TableLog, build: Callable[[TableLog, DataFrame], DataFrame])
     return _log(log, lambda log, raw: build(log, sessions(raw, log.codes)))
 
 
+def _halves(log: TableLog, spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Sessions of an earlier and a later part of the period, together the whole table."""
+    day = dt.timedelta(days=1)
+    earlier, later = log.read(spark, folder, end=log.split - day), log.read(spark, folder, start=log.split)
+    return [sessions(earlier, log.codes), sessions(later, log.codes)]
+
+
 # --- rows ---------------------------------------------------------------------------------
 
 
@@ -64,9 +72,8 @@ def _parse_date(log: TableLog, raw: DataFrame) -> DataFrame:
 ROW_QUERIES: dict[str, Query] = {
     "parse_date": _log(EVENTS, _parse_date),
     "date_stamp": _log(EVENTS, lambda log, raw: raw.select("session_id", "log_date")),
-    "date_range": _log(
-        EVENTS,
-        lambda log, raw: filters.in_period(raw, *ONE_WEEK).select("session_id", "contract", "log_date"),
+    "date_range": lambda spark, folder: EVENTS.read(spark, folder, *ONE_WEEK).select(
+        "session_id", "contract", "log_date"
     ),
     "categorize_case": _log(
         EVENTS, lambda log, raw: _categorized(raw, category_by_case(F.col("app_name"), log.codes))
@@ -85,7 +92,10 @@ ROW_QUERIES: dict[str, Query] = {
     ),
     "project": _sessions(EVENTS, lambda log, rows: filters.session_columns(rows)),
     "filter_contract": _log(EVENTS, lambda log, raw: filters.known_contracts(raw).select("session_id")),
-    "filter_mapped": _sessions(EVENTS, lambda log, rows: rows.select("session_id", "category")),
+    "filter_mapped": _log(
+        EVENTS,
+        lambda log, raw: filters.mapped(sessions(raw, log.codes, keep_unmapped=True)).select("session_id", "category"),
+    ),
     "category_slice": _sessions(
         EVENTS, lambda log, rows: filters.category_slice(rows, "TV").select("session_id", "contract", "duration")
     ),
@@ -93,12 +103,7 @@ ROW_QUERIES: dict[str, Query] = {
         EVENTS,
         lambda log, rows: filters.of_contract(rows, "7").select("session_id", *filters.session_columns(rows).columns),
     ),
-    "union_days": _sessions(
-        EVENTS,
-        lambda log, rows: filters.union_days(
-            rows.where(F.col("log_date") < log.split), rows.where(F.col("log_date") >= log.split)
-        ),
-    ),
+    "union_days": lambda spark, folder: filters.union_days(*_halves(EVENTS, spark, folder)),
     "sort_contract": _sessions(
         EVENTS, lambda log, rows: filters.by_contract(rows.select("contract", "log_date", "category", "duration"))
     ),
@@ -111,11 +116,11 @@ ROW_QUERIES: dict[str, Query] = {
 # --- totals and pivots ----------------------------------------------------------------------
 
 
-def _merged(log: TableLog, rows: DataFrame) -> DataFrame:
+def _merged(log: TableLog) -> Query:
     """Daily pivots of an earlier and a later part of the period, merged."""
-    earlier = pivots.pivot_by_day(rows.where(F.col("log_date") < log.split))
-    later = pivots.pivot_by_day(rows.where(F.col("log_date") >= log.split))
-    return pivots.merge_partials(earlier, later)
+    return lambda spark, folder: _result(
+        pivots.merge_partials(*[pivots.pivot_by_day(part) for part in _halves(log, spark, folder)])
+    )
 
 
 def _joined_pivot(log: TableLog, rows: DataFrame) -> DataFrame:
@@ -137,7 +142,6 @@ TOTAL_PLANS = {
     "category_summary": lambda log, rows: aggregates.category_summary(rows),
     "pivot_category": lambda log, rows: pivots.pivot(rows),
     "pivot_category_day": lambda log, rows: pivots.pivot_by_day(rows),
-    "merge_partials": _merged,
     "pivot_by_join": _joined_pivot,
     "active_flag_any": _flag_any,
     "active_flag_total": _flag_total,
@@ -159,8 +163,28 @@ def _stored_metrics(log: TableLog, rows: DataFrame) -> DataFrame:
     return store(sized, "contract-metrics")
 
 
+def _stored_days(rows: DataFrame) -> DataFrame:
+    """Daily totals, written once, in place of the sessions they sum up."""
+    return aggregates.as_sessions(store(aggregates.daily_totals(rows), "daily-totals"))
+
+
+def _profile_joined(log: TableLog, rows: DataFrame) -> DataFrame:
+    return profiles.customer_profile_joined(_stored_days(rows), log.start, log.end)
+
+
 def _daily_joined(log: TableLog, rows: DataFrame) -> DataFrame:
-    return profiles.daily_profile_joined(rows, _stored_metrics(log, rows))
+    days = _stored_days(rows)
+    return profiles.daily_profile_joined(days, _stored_metrics(log, days))
+
+
+def _dedup_profile(log: TableLog, rows: DataFrame) -> DataFrame:
+    return _profile(log, filters.without_repeats(rows))
+
+
+def _pivot_unmapped(log: TableLog, raw: DataFrame) -> DataFrame:
+    """One-day form: the catch-all contract left out, unmapped apps kept in a column of their own."""
+    rows = sessions(raw, log.codes, keep_unmapped=True, drop_unknown_contract=True)
+    return pivots.pivot(rows, with_unmapped=True)
 
 
 def _session_profile(log: TableLog, rows: DataFrame) -> DataFrame:
@@ -196,7 +220,8 @@ METRIC_PLANS = {
     "activeness": lambda log, rows: metrics.activeness(rows, log.start, log.end),
     "activeness_pivot": lambda log, rows: metrics.activeness_from_pivot(rows, log.start, log.end),
     "customer_profile": _profile,
-    "customer_profile_join": lambda log, rows: profiles.customer_profile_joined(rows, log.start, log.end),
+    "customer_profile_join": _profile_joined,
+    "customer_profile_dedup": _dedup_profile,
     "daily_profile": lambda log, rows: profiles.daily_profile(rows, log.start, log.end),
     "daily_profile_join": _daily_joined,
     "session_profile": _session_profile,
@@ -209,6 +234,8 @@ METRIC_PLANS = {
     "export_profile": lambda log, rows: export_names(_profile(log, rows), local_labels=True),
 }
 
+UNMAPPED_QUERIES: dict[str, Query] = {"pivot_unmapped": _log(EVENTS, _pivot_unmapped)}
+
 # --- reading and writing ------------------------------------------------------------------------
 
 
@@ -272,7 +299,8 @@ def all_queries() -> dict[str, Query]:
     for key, plan in {**TOTAL_PLANS, **METRIC_PLANS}.items():
         found[key] = _sessions(EVENTS, plan)
         found[f"{key}_orders"] = _sessions(ORDERS, plan)
-    return found | STORAGE_QUERIES
+    found["merge_partials"], found["merge_partials_orders"] = _merged(EVENTS), _merged(ORDERS)
+    return found | UNMAPPED_QUERIES | STORAGE_QUERIES
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,6 +5,7 @@ from teletally.functions.categories import (
     category_by_list,
     check_codes,
     export_label,
+    has_category,
     with_category_by_dimension,
 )
 from teletally.functions.dates import compact_date, days_between, file_date
@@ -33,6 +34,7 @@ __all__ = [
     "engagement_type",
     "export_label",
     "file_date",
+    "has_category",
     "presence_label",
     "taste",
     "with_category_by_dimension",

@@ -20,22 +20,35 @@ def check_codes(codes: CategoryCodes) -> None:
         raise ValueError(f"app codes listed more than once: {sorted(repeated)}")
 
 
+def _case(branches: list[tuple[Column, str]]) -> Column:
+    """CASE over the branches in order, ``Error`` where none holds."""
+    first, *rest = branches
+    chained = reduce(lambda case, branch: case.when(*branch), rest, F.when(*first))
+    return chained.otherwise(ERROR)
+
+
 def category_by_case(app: Column, codes: CategoryCodes = APP_CODES) -> Column:
     """CASE over equality tests; NULL and unlisted codes become ``Error``."""
     check_codes(codes)
     branches = [
         (reduce(or_, [app == code for code in listed]), label) for label, listed in codes.items() if listed
     ]
-    first, *rest = branches
-    chained = reduce(lambda case, branch: case.when(*branch), rest, F.when(*first))
-    return chained.otherwise(F.lit(ERROR))
+    return _case(branches)
 
 
 def category_by_list(app: Column, codes: CategoryCodes = APP_CODES) -> Column:
     """Same mapping with one membership test per category."""
     check_codes(codes)
-    tests = [F.when(app.isin(*listed), F.lit(label)) for label, listed in codes.items() if listed]
-    return F.coalesce(*tests, F.lit(ERROR))
+    branches = [(app.isin(*listed), label) for label, listed in codes.items() if listed]
+    return _case(branches)
+
+
+def has_category(app: Column, codes: CategoryCodes = APP_CODES) -> Column:
+    """Whether the app code is mapped: the same rows as ``category != 'Error'``.
+
+    One membership test on the raw column, so it reaches the scan as a pushed filter.
+    """
+    return app.isin(*chain.from_iterable(codes.values()))
 
 
 def with_category_by_dimension(log: DataFrame, codes: CategoryCodes = APP_CODES) -> DataFrame:

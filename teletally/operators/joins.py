@@ -27,36 +27,32 @@ def attach(rows: DataFrame, *metrics: DataFrame) -> DataFrame:
 def attach_to_sessions(
     sessions: DataFrame,
     metrics: DataFrame,
-    sizes: DataFrame,
     *,
     split_rows: int = SPLIT_ROWS,
     max_hot: int = MAX_HOT_CONTRACTS,
 ) -> DataFrame:
     """Left join of contract-grain metrics to raw sessions, safe for very large contracts.
 
-    ``sizes`` has the session count ``n_sessions`` per contract. A contract above the split
-    size is spread over several reducers: its sessions get a salt, its metric row one copy
-    per salt. The list of such contracts is broadcast; each holds more than 1/``max_hot`` of
-    all sessions, so there are fewer than ``max_hot`` of them however large the log is.
+    ``metrics`` holds the session count ``n_sessions`` beside its other columns and is read
+    three times: hand in a stored table. A contract above the split size is spread over
+    several reducers: its sessions get a salt, its metric row one copy per salt. The list of
+    such contracts is broadcast; each holds more than 1/``max_hot`` of all sessions, so there
+    are fewer than ``max_hot`` of them however large the log is.
 
     The salt mixes the row's hash with the number of its scan partition. Equal rows are
     spread as well, and a repeated task sends each row to the same reducer as before.
     Sessions without a contract match nothing and are spread freely.
     """
-    share = sizes.select(F.sum("n_sessions") / F.lit(max_hot)).scalar()
-    size = F.greatest(F.lit(float(split_rows)), share.cast("double"))
-    hot = (
-        sizes.withColumn("size", size)
-        .where(F.col("n_sessions") > F.col("size"))
-        .select("contract", F.ceil(F.col("n_sessions") / F.col("size")).cast("bigint").alias("splits"))
-    )
-    hot = F.broadcast(hot)
+    share = metrics.select(F.sum("n_sessions").cast("double") / F.lit(max_hot)).scalar()
+    size = F.greatest(F.lit(float(split_rows)), share)
+    splits = F.ceil(F.col("n_sessions") / size).cast("bigint")
+    sized = metrics.withColumn("splits", splits).drop("n_sessions")
+    hot = F.broadcast(sized.where(F.col("splits") > 1).select("contract", "splits"))
 
     place = F.xxhash64(*[F.col(c) for c in sessions.columns], F.spark_partition_id())
-    salt = F.when(F.col("contract").isNull(), place).otherwise(
-        F.coalesce(F.pmod(place, F.col("splits")), F.lit(0).cast("bigint"))
-    )
+    none = F.lit(0).cast("bigint")
+    salt = F.when(F.col("contract").isNull(), place).otherwise(F.coalesce(F.pmod(place, F.col("splits")), none))
     salted = sessions.join(hot, "contract", "left").withColumn("salt", salt).drop("splits")
-    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("splits") - 1, F.lit(0).cast("bigint")))
-    copied = metrics.join(hot, "contract", "left").withColumn("salt", F.explode(copies)).drop("splits")
+    copies = F.explode(F.sequence(none, F.col("splits") - 1))
+    copied = sized.withColumn("salt", copies).drop("splits")
     return salted.join(copied, ["contract", "salt"], "left").drop("salt")

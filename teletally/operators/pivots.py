@@ -13,28 +13,30 @@ from pyspark.sql import functions as F
 
 from teletally.operators.aggregates import sum_numeric
 from teletally.operators.filters import category_slice
-from teletally.schema import CATEGORIES, DURATION_COLUMNS, duration_column
+from teletally.schema import CATEGORIES, DURATION_COLUMNS, ERROR, duration_column
 
 
-def pivot_totals(sessions: DataFrame, *keys: str) -> DataFrame:
+def pivot_totals(sessions: DataFrame, *keys: str, with_unmapped: bool = False) -> DataFrame:
     """One total per key and category; NULL where the category has no rows.
 
     Conditional sums: one shuffle on the keys, and no job to discover the categories.
+    ``with_unmapped`` adds a column for the rows of unmapped apps.
     """
+    categories = (*CATEGORIES, ERROR) if with_unmapped else CATEGORIES
     sums = [
-        F.sum(F.when(F.col("category") == c, F.col("duration"))).alias(duration_column(c)) for c in CATEGORIES
+        F.sum(F.when(F.col("category") == c, F.col("duration"))).alias(duration_column(c)) for c in categories
     ]
     return sessions.groupBy(*keys).agg(*sums)
 
 
-def pivot(sessions: DataFrame) -> DataFrame:
+def pivot(sessions: DataFrame, *, with_unmapped: bool = False) -> DataFrame:
     """Contract grain."""
-    return pivot_totals(sessions, "contract")
+    return pivot_totals(sessions, "contract", with_unmapped=with_unmapped)
 
 
-def pivot_by_day(sessions: DataFrame) -> DataFrame:
+def pivot_by_day(sessions: DataFrame, *, with_unmapped: bool = False) -> DataFrame:
     """Grain (contract, day)."""
-    return pivot_totals(sessions, "contract", "log_date")
+    return pivot_totals(sessions, "contract", "log_date", with_unmapped=with_unmapped)
 
 
 def merge_partials(*partials: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Bits of the value settled before each counting pass ends; 16 more per pass.
+# Bits still open after each counting pass; every pass settles 16.
 _SHIFTS = (48, 32, 16, 0)
 
 
@@ -27,50 +27,50 @@ def exact_quantiles(df: DataFrame, column: str, fractions: Sequence[float]) -> D
     """One row with columns ``q0, q1, ...``: linearly interpolated quantiles of ``column``.
 
     Spark's own ``percentile`` gathers all distinct values in one task. Here four counting
-    passes each settle 16 more bits of the wanted order statistics: a pass counts rows per
-    next 16 bits, among rows that share the bits found so far. No task ever holds more than
-    65,536 counts per wanted value. ``df`` is read once per pass and once for its size, so
-    hand in a stored table.
+    passes each settle 16 more bits of the wanted values: a pass counts rows per next 16
+    bits, among the rows that share the bits found so far. No task ever holds more than
+    65,536 counts per wanted value. ``df`` is read once per pass: hand in a stored table.
     """
     key, factor = _as_integer(df, column)
     keys = df.select(key.alias("k")).where(F.col("k").isNotNull())
-    last = keys.select(F.count("*") - 1).scalar()
-
-    wanted = []
-    for i, fraction in enumerate(fractions):
-        position = last * F.lit(float(fraction))
-        for side, rank in (("low", F.floor(position)), ("high", F.ceil(position))):
-            wanted.append(F.struct(F.lit(f"{side}{i}").alias("target"), rank.cast("bigint").alias("rank")))
+    target = Window.partitionBy("target")
 
     found = None
     for shift in _SHIFTS:
         bits = F.shiftright("k", shift).alias("bits")
         if found is None:
-            counts = keys.groupBy(bits).agg(F.count("*").alias("n"))
-            counts = counts.select("bits", "n", F.inline(F.array(*wanted)))
+            counts = _with_ranks(keys.groupBy(bits).agg(F.count("*").alias("n")), fractions)
         else:
             settled = F.shiftright("k", shift + 16).alias("settled")
-            counts = (
-                keys.select("k", settled)
-                .join(F.broadcast(found), "settled")
-                .groupBy("target", "rank", bits)
-                .agg(F.count("*").alias("n"))
-            )
-        upto = F.sum("n").over(Window.partitionBy("target").orderBy("bits"))
+            matching = keys.select("k", settled).join(F.broadcast(found), "settled")
+            counts = matching.groupBy("target", "rank", "weight", bits).agg(F.count("*").alias("n"))
+        before = F.sum("n").over(target.orderBy("bits")) - F.col("n")
+        inside = F.col("rank").between(F.col("before"), F.col("before") + F.col("n") - 1)
         found = (
-            counts.withColumn("upto", upto)
-            .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-            .select("target", (F.col("rank") - (F.col("upto") - F.col("n"))).alias("rank"), F.col("bits").alias("settled"))
+            counts.withColumn("before", before)
+            .where(inside)
+            .select("target", (F.col("rank") - F.col("before")).alias("rank"), "weight", F.col("bits").alias("settled"))
         )
 
-    def value(target: str) -> Column:
-        return F.max(F.when(F.col("target") == target, F.col("settled"))).cast("double") / F.lit(float(factor))
+    value = F.col("settled").cast("double") / F.lit(float(factor)) * F.col("weight")
+    parts = [F.sum(F.when(F.col("target").isin(2 * i, 2 * i + 1), value)).alias(f"q{i}") for i in range(len(fractions))]
+    return found.agg(*parts)
+
 
-    ends = [value(f"{side}{i}").alias(f"{side}{i}") for i in range(len(fractions)) for side in ("low", "high")]
-    row = found.agg(*ends)
-    quantiles = []
-    for i, fraction in enumerate(fractions):
-        position = last * F.lit(float(fraction))
-        low, high = F.col(f"low{i}"), F.col(f"high{i}")
-        quantiles.append((low + (high - low) * (position - F.floor(position))).alias(f"q{i}"))
-    return row.select(*quantiles)
+def _with_ranks(counts: DataFrame, fractions: Sequence[float]) -> DataFrame:
+    """The first pass's counts once per wanted value, with its zero-based rank and weight.
+
+    Each fraction needs the value below its position (even target) and the one above it (odd
+    target), weighted by the position's distance from the other one.
+    """
+    wanted = [F.struct(F.lit(t).alias("target"), F.lit(float(fractions[t // 2])).alias("fraction")) for t in range(2 * len(fractions))]
+    position = (F.sum("n").over(Window.partitionBy("target")) - 1) * F.col("fraction")
+    lower = F.floor("position")
+    above = F.col("target") % 2 == 1
+    return (
+        counts.select("bits", "n", F.inline(F.array(*wanted)))
+        .withColumn("position", position)
+        .withColumn("rank", F.when(above, F.ceil("position")).otherwise(lower).cast("bigint"))
+        .withColumn("weight", F.when(above, F.col("position") - lower).otherwise(1 - (F.col("position") - lower)))
+        .drop("position", "fraction")
+    )

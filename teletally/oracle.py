@@ -20,9 +20,16 @@ class LogSql:
 
     @property
     def base(self) -> str:
+        return self._ctes("*")
+
+    @property
+    def base_without_repeats(self) -> str:
+        return self._ctes("DISTINCT contract, category, duration, log_date")
+
+    def _ctes(self, columns: str) -> str:
         return f"""WITH raw AS ({self.raw}),
 every AS (SELECT *, {self.category} AS category FROM raw),
-log AS (SELECT * FROM every WHERE category <> 'Error'),
+log AS (SELECT {columns} FROM every WHERE category <> 'Error'),
 tot AS (SELECT contract, category, SUM(duration) AS t FROM log GROUP BY ALL),
 day_tot AS (SELECT contract, log_date, SUM(duration) AS t FROM log GROUP BY ALL),
 """
@@ -218,6 +225,10 @@ def _row_queries() -> dict[str, str]:
     found["stamp_result"] = f"""{EVENTS.base} {PIVOT} SELECT *, DATE '{EVENTS.first_day}' AS log_date FROM piv"""
     for key in ("categorize_isin_orders", "categorize_dim_orders"):
         found[key] = f"{ORDERS.base} x AS (SELECT 1) SELECT session_id, {paired} AS category FROM raw"
+    found["pivot_unmapped"] = f"""{EVENTS.base} {PIVOT},
+        err AS (SELECT contract, CAST(SUM(duration) AS DECIMAL(18,2)) AS error_duration
+          FROM every WHERE category = 'Error' GROUP BY contract)
+        SELECT * FROM piv FULL JOIN err USING (contract) WHERE contract <> '0'"""
     return found
 
 
@@ -226,6 +237,10 @@ def all_sql() -> dict[str, str]:
     events = {key: f"{EVENTS.base}{sql}" for key, sql in _log_queries(EVENTS).items()}
     orders = {f"{key}_orders": f"{ORDERS.base}{sql}" for key, sql in _log_queries(ORDERS).items()}
     same = {
+        f"customer_profile_dedup{suffix}": f"{log.base_without_repeats}{_profile(log)} SELECT * FROM prof"
+        for suffix, log in (("", EVENTS), ("_orders", ORDERS))
+    }
+    same |= {
         "csv_roundtrip": events["customer_profile"],
         "incremental_profile": events["customer_profile"],
         "incremental_days": events["sum_contract_category_day"],

@@ -115,10 +115,9 @@ def engagement_by_quantile(
 ) -> DataFrame:
     """Engagement per contract, with cut-offs at exact quantiles of the totals.
 
-    ``totals`` is read several times; hand in a stored table. The two cut-offs enter as
-    scalars, so the totals are not shuffled again.
+    ``totals`` is read several times; hand in a stored table. The cut-offs enter as a
+    scalar, so the totals are not shuffled again.
     """
-    cuts = exact_quantiles(totals, "total", fractions)
-    low, high = cuts.select("q0").scalar(), cuts.select("q1").scalar()
-    level = engagement_type(F.col("total").cast("double"), low, high)
+    cuts = exact_quantiles(totals, "total", fractions).select(F.struct("q0", "q1")).scalar()
+    level = engagement_type(F.col("total").cast("double"), cuts["q0"], cuts["q1"])
     return totals.select("contract", "total", level.alias("engagement_type"))

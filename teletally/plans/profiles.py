@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from teletally.functions.dates import days_between
 from teletally.functions.scores import active_rate, active_total, argmax_category, taste
 from teletally.operators.joins import MAX_HOT_CONTRACTS, SPLIT_ROWS, attach, attach_to_sessions
-from teletally.operators.pivots import pivot_by_day
+from teletally.operators.pivots import pivot, pivot_by_day
 from teletally.plans import metrics
 from teletally.schema import CATEGORIES, DURATION_COLUMNS, duration_column
 
@@ -83,9 +83,11 @@ def customer_profile(
 
 
 def customer_profile_joined(sessions: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
-    """The same rows composed from the separate metrics by left joins (for comparison)."""
-    from teletally.operators.pivots import pivot
+    """The same rows composed from the separate metrics by left joins.
 
+    ``sessions`` is read once per metric: hand in stored daily totals, whose sums are the
+    log's (``as_sessions``).
+    """
     known = sessions.where(F.col("contract").isNotNull())
     wide = pivot(known)
     joined = attach(
@@ -156,10 +158,5 @@ def session_profile(
     ``contract_metrics`` is ``customer_profile(..., with_size=True)``, read three times here:
     hand in a stored table. Its sizes decide which contracts are split over reducers.
     """
-    return attach_to_sessions(
-        sessions,
-        contract_metrics.select("contract", *METRICS),
-        contract_metrics.select("contract", "n_sessions"),
-        split_rows=split_rows,
-        max_hot=max_hot,
-    )
+    wanted = contract_metrics.select("contract", *METRICS, "n_sessions")
+    return attach_to_sessions(sessions, wanted, split_rows=split_rows, max_hot=max_hot)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teletally.functions.categories import category_by_list
+from teletally.functions.categories import category_by_list, has_category
 from teletally.operators import filters
 from teletally.schema import APP_CODES, CategoryCodes
 
@@ -23,9 +23,9 @@ def sessions(
     By default only unmapped apps are dropped; the catch-all contract stays. ``dedup`` keeps
     one of several sessions that agree in contract, category, duration and day.
     """
-    rows = log.withColumn("category", category_by_list(F.col("app_name"), codes))
-    if not keep_unmapped:
-        rows = filters.mapped(rows)
+    app = F.col("app_name")
+    rows = log if keep_unmapped else log.where(has_category(app, codes))
+    rows = rows.withColumn("category", category_by_list(app, codes))
     if drop_unknown_contract:
         rows = filters.known_contracts(rows)
     return filters.without_repeats(rows) if dedup else rows

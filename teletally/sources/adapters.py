@@ -36,18 +36,34 @@ class TableLog:
     low_max: int
     high_min: int
 
-    def read(self, spark: SparkSession, folder: str) -> DataFrame:
-        """Log rows of the whole table."""
-        return spark.read.parquet(f"{folder}/{self.table}.parquet").select(
+    def read(
+        self,
+        spark: SparkSession,
+        folder: str,
+        start: dt.date | None = None,
+        end: dt.date | None = None,
+    ) -> DataFrame:
+        """Log rows of the whole table, or of an inclusive date range.
+
+        The range is tested on the stored time, not on the date derived from it, so that the
+        scan can skip row groups.
+        """
+        rows = spark.read.parquet(f"{folder}/{self.table}.parquet")
+        if start is not None:
+            rows = rows.where(F.col(self.time) >= _midnight(start))
+        if end is not None:
+            rows = rows.where(F.col(self.time) < _midnight(end + dt.timedelta(days=1)))
+        return rows.select(
             F.col(self.key).alias("session_id"),
             F.col(self.contract).cast("string").alias("contract"),
             F.col(self.app_name).alias("app_name"),
             F.col(self.amount).cast(AMOUNT).alias("duration"),
-            self.day().alias("log_date"),
+            F.to_date(self.time).alias("log_date"),
         )
 
-    def day(self) -> Column:
-        return F.to_date(self.time)
+
+def _midnight(day: dt.date) -> Column:
+    return F.lit(day.isoformat()).cast("timestamp_ntz")
 
 
 # No event type maps to Sport: a category missing everywhere must still have its column.
