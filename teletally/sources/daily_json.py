@@ -11,12 +11,13 @@ from pyspark.sql import types as T
 from teletally.functions.dates import file_date, parse_day
 from teletally.schema import raw_log_schema
 
-# Where the files of one layout lie below the log's root folder.
-LAYOUT_GLOBS = {"file": "*.json*", "folder": "*/*.json*"}
+# Where the files of one layout lie below the log's root folder. Other names, hidden files and
+# tables stored next to the log are not listed.
+LAYOUT_GLOBS = {"file": "[^._]*.json*", "folder": "[^._]*/[^._]*.json*"}
 
 
 def log_paths(root: str, layout: str = "file") -> str:
-    """Path pattern of the log's data files; other names in the folder are not listed."""
+    """Path pattern of the log's data files."""
     return f"{root.rstrip('/')}/{LAYOUT_GLOBS[layout]}"
 
 
@@ -28,11 +29,7 @@ def _read_days(
     wanted: Column | None,
 ) -> DataFrame:
     day = file_date(F.col("_metadata.file_path"), layout)
-    reader = spark.read.schema(raw_log_schema(duration))
-    if layout == "file":
-        raw = reader.option("pathGlobFilter", LAYOUT_GLOBS[layout]).json(root)
-    else:
-        raw = reader.json(log_paths(root, layout))
+    raw = spark.read.schema(raw_log_schema(duration)).json(log_paths(root, layout))
     rows = raw.select("_source", day.alias("log_date"))
     rows = rows.where(F.col("log_date").isNotNull() if wanted is None else wanted)
     return rows.select(

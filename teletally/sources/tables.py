@@ -13,8 +13,12 @@ from teletally.functions.dates import parse_day
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header row and a declared schema; the header is checked against it."""
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
+    """CSV with a header row and a declared schema; the header is checked against it.
+
+    An unquoted empty field is NULL and a quoted one an empty string, as the writer puts them;
+    the null marker only keeps Spark from reading both as NULL.
+    """
+    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False, nullValue="\0")
 
 
 def read_parquet_log(

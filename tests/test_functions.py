@@ -1,0 +1,103 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from teletally.functions import (
+    category_by_case,
+    category_by_list,
+    compact_date,
+    days_between,
+    file_date,
+    has_category,
+    with_category_by_dimension,
+)
+from teletally.functions.categories import check_codes
+from teletally.functions.scores import engagement_type
+from teletally.schema import APP_CODES, CATEGORIES, LOCAL_LABELS
+
+EXPECTED = {code: label for label, codes in APP_CODES.items() for code in codes}
+
+
+def apps(spark):
+    codes = [*EXPECTED, "kplus", "Vod", "XX", "", " VOD", None]
+    return spark.createDataFrame([(c,) for c in codes], "app_name string")
+
+
+@pytest.mark.parametrize("form", ["case", "list", "dimension"])
+def test_three_mappings_agree(spark, form):
+    df = apps(spark)
+    if form == "dimension":
+        mapped = with_category_by_dimension(df)
+    else:
+        build = category_by_case if form == "case" else category_by_list
+        mapped = df.withColumn("category", build(F.col("app_name")))
+    for row in mapped.collect():
+        assert row.category == EXPECTED.get(row.app_name, "Error")
+
+
+def test_membership_is_the_same_as_not_error(spark):
+    df = apps(spark).withColumn("category", category_by_list(F.col("app_name")))
+    by_code = df.where(has_category(F.col("app_name"))).count()
+    assert by_code == df.where("category <> 'Error'").count() == len(EXPECTED)
+
+
+def test_a_code_in_two_categories_is_refused():
+    with pytest.raises(ValueError, match="VOD"):
+        check_codes({"TV": ["VOD"], "Movie": ["VOD"]})
+
+
+def test_local_labels_sort_in_the_fixed_category_order():
+    assert sorted(CATEGORIES, key=lambda c: LOCAL_LABELS[c]) == list(CATEGORIES)
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("20220401", dt.date(2022, 4, 1)),
+        ("20220431", None),
+        ("2022041", None),
+        ("202204011", None),
+        ("2022-04-01", None),
+        ("data", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_compact_date(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(compact_date(F.col("t")).alias("d")).first().d == expected
+
+
+@pytest.mark.parametrize(
+    ("layout", "path", "expected"),
+    [
+        ("file", "file:/logs/20220401.json", dt.date(2022, 4, 1)),
+        ("file", "s3://b/a_b/log_content_20220401.json.gz", dt.date(2022, 4, 1)),
+        ("file", "20220401", dt.date(2022, 4, 1)),
+        ("file", "file:/logs/20220401/part-0.json", None),
+        ("file", "file:/20220401/combined_log_data.json", None),
+        ("file", "file:/logs/.DS_Store", None),
+        ("file", "file:/logs/x.20220401.json", None),
+        ("folder", "file:/logs/20220401.json/part-0.c000.json", dt.date(2022, 4, 1)),
+        ("folder", "file:/logs/day=20220401/part_0-1.json", dt.date(2022, 4, 1)),
+        ("folder", "file:/logs/log_20220401/part-0.json", dt.date(2022, 4, 1)),
+        ("folder", "file:/logs/clean/part-0.json", None),
+    ],
+)
+def test_file_date(spark, layout, path, expected):
+    df = spark.createDataFrame([(path,)], "p string")
+    assert df.select(file_date(F.col("p"), layout).alias("d")).first().d == expected
+
+
+def test_days_between_is_inclusive():
+    assert days_between("20220401", "20220403") == 3
+    assert days_between(dt.date(2022, 4, 1), "20220401") == 1
+    with pytest.raises(ValueError):
+        days_between("20220402", "20220401")
+
+
+def test_engagement_cut_offs(spark):
+    df = spark.createDataFrame([(9,), (10,), (19,), (20,), (None,)], "t int")
+    levels = [r.e for r in df.select(engagement_type(F.col("t"), F.lit(10), F.lit(20)).alias("e")).collect()]
+    assert levels == ["low", "normal", "normal", "high", None]

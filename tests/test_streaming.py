@@ -1,0 +1,56 @@
+from teletally.operators.aggregates import as_sessions, daily_totals
+from teletally.plans import profiles
+from teletally.plans.sessions import sessions
+from teletally.sources import read_log
+from teletally.streaming import run_daily_totals, stored_daily_totals
+from tests.logs import rows_set, write_day
+
+COLUMNS = ("contract", "category", "log_date", "total")
+
+
+def expected(spark, log, layout):
+    return rows_set(daily_totals(sessions(read_log(spark, log, "20220101", "20221231", layout=layout))), *COLUMNS)
+
+
+def run(spark, log, out, checkpoint, layout="file", files=2):
+    query = run_daily_totals(spark, log, out, checkpoint, layout=layout, files_per_batch=files)
+    query.awaitTermination()
+    return rows_set(stored_daily_totals(spark, out), *COLUMNS)
+
+
+def test_days_arrive_in_batches(spark, tmp_path):
+    log, out, progress = (str(tmp_path / n) for n in ("log", "out", "progress"))
+    for d in range(1, 7):
+        write_day(tmp_path / "log", f"2022040{d}.json", [("A", "VOD", d), ("B", "KPLUS", 10 * d), ("B", "XX", 1)])
+    write_day(tmp_path / "log", "notes.json", [("Z", "VOD", 999)])
+    first = run(spark, log, out, progress)
+    assert first == expected(spark, log, "file") and len(first) == 12
+    assert run(spark, log, out, progress) == first
+
+    write_day(tmp_path / "log", "20220407.json", [("A", "SPORT", 3)])
+    assert run(spark, log, out, progress) == expected(spark, log, "file")
+
+    replayed = run(spark, log, out, str(tmp_path / "other"), files=3)
+    assert replayed == expected(spark, log, "file") and len(replayed) == 13
+
+
+def test_a_day_may_be_split_over_batches_and_runs(spark, tmp_path):
+    log, out, progress = (str(tmp_path / n) for n in ("log", "out", "progress"))
+    for part in range(5):
+        write_day(tmp_path / "log", f"20220401/part-{part}.json", [("A", "VOD", 1), (f"c{part}", "CHILD", part)])
+    assert run(spark, log, out, progress, "folder", files=1) == expected(spark, log, "folder")
+    write_day(tmp_path / "log", "20220401/part-late.json", [("A", "VOD", 100)])
+    final = run(spark, log, out, progress, "folder", files=1)
+    assert final == expected(spark, log, "folder")
+    assert 105 in [row[3] for row in final]
+
+
+def test_profile_from_stored_days(spark, tmp_path):
+    log, out, progress = (str(tmp_path / n) for n in ("log", "out", "progress"))
+    for d in range(1, 4):
+        write_day(tmp_path / "log", f"2022040{d}.json", [("A", "VOD", d), ("A", "VOD", None), ("B", "RELAX", None)])
+    run(spark, log, out, progress)
+    stored = as_sessions(stored_daily_totals(spark, out))
+    direct = sessions(read_log(spark, log, "20220401", "20220403"))
+    period = ("20220401", "20220403")
+    assert rows_set(profiles.customer_profile(stored, *period)) == rows_set(profiles.customer_profile(direct, *period))
