@@ -234,7 +234,16 @@ METRIC_PLANS = {
     "export_profile": lambda log, rows: export_names(_profile(log, rows), local_labels=True),
 }
 
-UNMAPPED_QUERIES: dict[str, Query] = {"pivot_unmapped": _log(EVENTS, _pivot_unmapped)}
+# Forms for one log only: unmapped apps occur in events alone, and its 30 days fit in one bit set.
+EVENT_QUERIES: dict[str, Query] = {
+    "pivot_unmapped": _log(EVENTS, _pivot_unmapped),
+    "customer_profile_one_shuffle": _sessions(
+        EVENTS, lambda log, rows: profiles.customer_profile(rows, log.start, log.end, non_negative=True)
+    ),
+    "activeness_one_shuffle": _sessions(
+        EVENTS, lambda log, rows: metrics.activeness_by_marks(rows, log.start, log.end)
+    ),
+}
 
 # --- reading and writing ------------------------------------------------------------------------
 
@@ -300,7 +309,7 @@ def all_queries() -> dict[str, Query]:
         found[key] = _sessions(EVENTS, plan)
         found[f"{key}_orders"] = _sessions(ORDERS, plan)
     found["merge_partials"], found["merge_partials_orders"] = _merged(EVENTS), _merged(ORDERS)
-    return found | UNMAPPED_QUERIES | STORAGE_QUERIES
+    return found | EVENT_QUERIES | STORAGE_QUERIES
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

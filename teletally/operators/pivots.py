@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from teletally.operators.aggregates import sum_numeric
@@ -16,17 +16,19 @@ from teletally.operators.filters import category_slice
 from teletally.schema import CATEGORIES, DURATION_COLUMNS, ERROR, duration_column
 
 
+def category_sums(*, with_unmapped: bool = False) -> list[Column]:
+    """One conditional sum per category, NULL where the category has no rows."""
+    categories = (*CATEGORIES, ERROR) if with_unmapped else CATEGORIES
+    return [F.sum(F.when(F.col("category") == c, F.col("duration"))).alias(duration_column(c)) for c in categories]
+
+
 def pivot_totals(sessions: DataFrame, *keys: str, with_unmapped: bool = False) -> DataFrame:
     """One total per key and category; NULL where the category has no rows.
 
     Conditional sums: one shuffle on the keys, and no job to discover the categories.
     ``with_unmapped`` adds a column for the rows of unmapped apps.
     """
-    categories = (*CATEGORIES, ERROR) if with_unmapped else CATEGORIES
-    sums = [
-        F.sum(F.when(F.col("category") == c, F.col("duration"))).alias(duration_column(c)) for c in categories
-    ]
-    return sessions.groupBy(*keys).agg(*sums)
+    return sessions.groupBy(*keys).agg(*category_sums(with_unmapped=with_unmapped))
 
 
 def pivot(sessions: DataFrame, *, with_unmapped: bool = False) -> DataFrame:

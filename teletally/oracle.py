@@ -241,6 +241,8 @@ def all_sql() -> dict[str, str]:
         for suffix, log in (("", EVENTS), ("_orders", ORDERS))
     }
     same |= {
+        "customer_profile_one_shuffle": events["customer_profile"],
+        "activeness_one_shuffle": events["activeness"],
         "csv_roundtrip": events["customer_profile"],
         "incremental_profile": events["customer_profile"],
         "incremental_days": events["sum_contract_category_day"],

@@ -26,6 +26,8 @@ def shuffles(text):
         ("pivot_category", 1),
         ("most_watch_max_by", 1),
         ("most_watch_session", 1),
+        ("customer_profile_one_shuffle", 1),
+        ("activeness_one_shuffle", 1),
         ("customer_profile", 2),
         ("customer_group", 2),
         ("daily_profile", 2),

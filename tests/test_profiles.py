@@ -171,3 +171,24 @@ def test_build_profile_accepts_any_log(spark):
     log = log_frame(spark, {"20220401": [("A", "x", 5)]})
     profile = build_profile(log, START, END, codes={"TV": ["x"]})
     assert as_dict(profile)["A"].tv_duration == 5
+
+
+def test_one_shuffle_forms_agree(spark):
+    listed = {
+        day: [(f"c{i % 17}", app, (i * k) % 5) for i, app in enumerate(["VOD", "KPLUS", "CHILD", "XX"] * 30)]
+        for k, day in enumerate(["20220101", "20220304", "20220305", "20220306", "20220601"])
+    }
+    listed["20220304"] += [("c1", "VOD", None), ("n", "SPORT", None)]
+    rows, period = sessions(log_frame(spark, listed)), ("20220101", "20220601")
+    assert rows_set(profiles.customer_profile(rows, *period, non_negative=True)) == rows_set(
+        profiles.customer_profile(rows, *period)
+    )
+    assert rows_set(metrics.activeness_by_marks(rows, *period)) == rows_set(metrics.activeness(rows, *period))
+
+
+def test_one_shuffle_form_refuses_what_it_cannot_count(spark):
+    rows = sessions(log_frame(spark, {"20220401": [("A", "VOD", 5), ("A", "VOD", -1)]}))
+    with pytest.raises(Exception, match="negative duration"):
+        profiles.customer_profile(rows, START, END, non_negative=True).collect()
+    with pytest.raises(Exception, match="outside the period"):
+        metrics.activeness_by_marks(rows.where("duration > 0"), "20220402", "20220403").collect()
