@@ -23,6 +23,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--files", type=int, help="number of CSV files; only for small results")
     parser.add_argument("--drop-unknown-contract", action="store_true")
     parser.add_argument("--dedup", action="store_true")
+    parser.add_argument(
+        "--non-negative",
+        action="store_true",
+        help="no duration is negative: one shuffle less, and the job fails if one is",
+    )
     parser.add_argument("--local-labels", action="store_true", help="category labels in the log's language")
     parser.add_argument("--jdbc-url", help="user and password are read from JDBC_USER and JDBC_PASSWORD")
     parser.add_argument("--jdbc-driver")
@@ -40,6 +45,7 @@ def main(argv: list[str] | None = None) -> None:
         grain=args.grain,
         drop_unknown_contract=args.drop_unknown_contract,
         dedup=args.dedup,
+        non_negative=args.non_negative,
     )
     table = export_names(profile, local_labels=args.local_labels)
     if args.format == "csv":

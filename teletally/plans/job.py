@@ -27,20 +27,25 @@ def build_profile(
     drop_unknown_contract: bool = False,
     drop_null_contract: bool = True,
     dedup: bool = False,
+    non_negative: bool = False,
 ) -> DataFrame:
     """Profile of a log at ``customer``, ``day`` or ``session`` grain.
 
     Rows without a contract are left out unless ``drop_null_contract`` is off; then they
     appear with their totals but without metrics. The session grain writes the contract
     metrics to the shared folder first, because its plan reads them three times.
+    ``non_negative`` is passed to ``customer_profile``; the day grain has no use for it.
     """
     rows = sessions(log, codes, drop_unknown_contract=drop_unknown_contract, dedup=dedup)
     if grain == "customer":
-        return profiles.customer_profile(rows, start, end, drop_null_contract=drop_null_contract)
+        return profiles.customer_profile(
+            rows, start, end, drop_null_contract=drop_null_contract, non_negative=non_negative
+        )
     if grain == "day":
         return profiles.daily_profile(rows, start, end, drop_null_contract=drop_null_contract)
     if grain == "session":
-        sized = store(profiles.customer_profile(rows, start, end, with_size=True), "contract-metrics")
+        sized = profiles.customer_profile(rows, start, end, with_size=True, non_negative=non_negative)
+        sized = store(sized, "contract-metrics")
         rows = session_columns(rows)
         if drop_null_contract:
             rows = rows.where(F.col("contract").isNotNull())

@@ -8,8 +8,9 @@ from teletally.plans.sessions import sessions
 from teletally.schema import log_schema, profile_schema
 from teletally.sinks import export_names, write_csv, write_daily_log, write_jdbc, write_parquet
 from teletally.sources import read_csv, read_jdbc, read_log, read_parquet_log
+from teletally.sources.daily_json import read_log_days
 from teletally.storage import shared_path, store
-from tests.logs import line, log_frame, rows_set, write_day
+from tests.logs import day, line, log_frame, rows_set, write_day
 
 
 def files_read(df) -> int:
@@ -57,6 +58,14 @@ def test_foreign_names_are_not_read(spark, folder):
     assert files_read(read_log(spark, str(folder), "20000101", "20991231")) == 6
 
 
+def test_many_listed_days_are_pruned_too(spark, tmp_path):
+    days = [f"202204{d:02d}" for d in range(1, 31)]
+    for name in days:
+        write_day(tmp_path, f"{name}.json", [("A", "VOD", 1)])
+    log = read_log_days(spark, str(tmp_path), [day(name) for name in days[:15]])
+    assert files_read(log) == 15 and log.count() == 15
+
+
 def test_empty_range_has_the_full_schema(spark, folder):
     log = read_log(spark, str(folder), "20230101", "20230131")
     assert log.count() == 0
