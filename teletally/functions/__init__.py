@@ -12,20 +12,22 @@ from teletally.functions.dates import compact_date, days_between, file_date
 from teletally.functions.scores import (
     active_any,
     active_rate,
+    active_sum,
     active_total,
     activity_level,
-    argmax_category,
     engagement_type,
     presence_label,
+    seen_categories,
     taste,
+    top_category,
 )
 
 __all__ = [
     "active_any",
     "active_rate",
+    "active_sum",
     "active_total",
     "activity_level",
-    "argmax_category",
     "category_by_case",
     "category_by_list",
     "check_codes",
@@ -36,6 +38,8 @@ __all__ = [
     "file_date",
     "has_category",
     "presence_label",
+    "seen_categories",
     "taste",
+    "top_category",
     "with_category_by_dimension",
 ]

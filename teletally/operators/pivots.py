@@ -19,7 +19,9 @@ from teletally.schema import CATEGORIES, DURATION_COLUMNS, ERROR, duration_colum
 def category_sums(*, with_unmapped: bool = False) -> list[Column]:
     """One conditional sum per category, NULL where the category has no rows."""
     categories = (*CATEGORIES, ERROR) if with_unmapped else CATEGORIES
-    return [F.sum(F.when(F.col("category") == c, F.col("duration"))).alias(duration_column(c)) for c in categories]
+    return [
+        F.expr(f"sum(CASE WHEN category = '{c}' THEN duration END) AS {duration_column(c)}") for c in categories
+    ]
 
 
 def pivot_totals(sessions: DataFrame, *keys: str, with_unmapped: bool = False) -> DataFrame:

@@ -14,17 +14,18 @@ from teletally.functions.scores import (
     active_rate,
     active_total,
     activity_level,
-    argmax_category,
     engagement_type,
     presence_label,
+    seen_categories,
     taste,
+    top_category,
 )
 from teletally.operators import aggregates
 from teletally.operators.active_days import DayMarks
 from teletally.operators.filters import in_period
 from teletally.operators.pivots import pivot_by_day
 from teletally.operators.quantiles import exact_quantiles
-from teletally.schema import CATEGORIES
+from teletally.schema import CATEGORIES, duration_column
 
 
 def category_rank() -> Column:
@@ -50,17 +51,14 @@ def most_watched(sessions: DataFrame, grain: str = "total") -> DataFrame:
     single ``session``. Equal to ``most_watched_ranked`` over the same rows.
     """
     if grain == "day":
-        rows, value, reduce = aggregates.daily_totals(sessions), "total", F.max
+        rows, value, best = aggregates.daily_totals(sessions), "total", "max"
     elif grain in ("total", "session"):
-        rows, value, reduce = sessions, "duration", F.sum if grain == "total" else F.max
+        rows, value, best = sessions, "duration", "sum" if grain == "total" else "max"
     else:
         raise ValueError(f"unknown grain: {grain}")
-
-    is_category = {c: F.col("category") == c for c in CATEGORIES}
-    best = [reduce(F.when(is_category[c], F.col(value))).alias(f"best_{c}") for c in CATEGORIES]
-    seen = [F.max(F.when(is_category[c], F.lit(1))).alias(f"seen_{c}") for c in CATEGORIES]
-    top = argmax_category(lambda c: F.col(f"best_{c}"), lambda c: F.col(f"seen_{c}").isNotNull())
-    return rows.groupBy("contract").agg(*best, *seen).select("contract", top.alias("most_watch"))
+    tops = [F.expr(f"{best}(CASE WHEN category = '{c}' THEN {value} END) AS {duration_column(c)}") for c in CATEGORIES]
+    per_contract = rows.groupBy("contract").agg(*tops, seen_categories())
+    return per_contract.select("contract", top_category().alias("most_watch"))
 
 
 def presence_labels(pivot: DataFrame) -> DataFrame:

@@ -3,52 +3,33 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from teletally.functions.dates import days_between
-from teletally.functions.scores import active_rate, active_total, argmax_category, taste
+from teletally.functions.scores import active_rate, active_sum, seen_categories, taste, top_category
 from teletally.operators.active_days import DayMarks
 from teletally.operators.joins import MAX_HOT_CONTRACTS, SPLIT_ROWS, attach, attach_to_sessions
 from teletally.operators.pivots import category_sums, pivot, pivot_by_day
 from teletally.plans import metrics
-from teletally.schema import CATEGORIES, DURATION_COLUMNS, duration_column
+from teletally.schema import DURATION_COLUMNS
 
 METRICS = ("most_watch", "customer_taste", "active_days", "active_rate")
 
 
-def _bit(category: str) -> int:
-    return 1 << CATEGORIES.index(category)
-
-
-def _seen() -> Column:
-    bits = [F.when(F.col("category") == c, F.lit(_bit(c))) for c in CATEGORIES]
-    return F.bit_or(F.coalesce(*bits)).alias("seen")
-
-
 def day_facts(sessions: DataFrame) -> DataFrame:
-    """Grain (contract, day): duration per category, the categories seen, the day's activity.
-
-    ``seen`` is a bit set of categories. It tells a category without rows from one whose
-    durations are all NULL, at the price of one small column in the shuffle instead of five.
-    """
+    """Grain (contract, day): duration per category, the categories seen, the day's activity."""
     facts = sessions.groupBy("contract", "log_date").agg(
-        *category_sums(), _seen(), F.count("*").alias("n_sessions")
+        *category_sums(), seen_categories(), F.count("*").alias("n_sessions")
     )
-    total = reduce(add, [F.coalesce(F.col(c), F.lit(0)) for c in DURATION_COLUMNS])
-    return facts.withColumn("is_active", active_total(total))
+    return facts.withColumn("is_active", active_sum())
 
 
 def _profile_columns(days: int) -> dict[str, Column]:
     """Metrics over contract-level columns of the same names as the day facts'."""
-    top = argmax_category(
-        lambda c: F.col(duration_column(c)), lambda c: F.col("seen").bitwiseAND(_bit(c)) != 0
-    )
     return {
-        "most_watch": top,
+        "most_watch": top_category(),
         "customer_taste": taste(),
         "active_rate": active_rate(F.col("active_days"), days),
     }
@@ -84,7 +65,7 @@ def customer_profile(
     if non_negative:
         marks = DayMarks(start, end)
         marked = sessions.groupBy("contract").agg(
-            *category_sums(), _seen(), F.count("*").alias("n_sessions"), *marks.aggregates()
+            *category_sums(), seen_categories(), F.count("*").alias("n_sessions"), *marks.aggregates()
         )
         per_contract = marked.withColumn("active_days", marks.count())
     else:
@@ -135,20 +116,14 @@ def daily_profile(
     """
     if drop_null_contract:
         sessions = sessions.where(F.col("contract").isNotNull())
-    facts = day_facts(sessions)
-    whole = Window.partitionBy("contract")
-    over = {f"all_{c}": F.sum(c).over(whole) for c in DURATION_COLUMNS}
-    over["all_seen"] = F.bit_or("seen").over(whole)
-    over["active_days"] = F.sum("is_active").over(whole)
-    wide = facts.withColumns(over)
-
-    contract_level = wide.select(
+    over = "OVER (PARTITION BY contract)"
+    contract_level = day_facts(sessions).select(
         "contract",
         "log_date",
         F.struct(*DURATION_COLUMNS).alias("day"),
-        *[F.col(f"all_{c}").alias(c) for c in DURATION_COLUMNS],
-        F.col("all_seen").alias("seen"),
-        "active_days",
+        *[F.expr(f"sum({c}) {over} AS {c}") for c in DURATION_COLUMNS],
+        F.expr(f"bit_or(seen) {over} AS seen"),
+        F.expr(f"sum(is_active) {over} AS active_days"),
     )
     profile = contract_level.withColumns(_profile_columns(days_between(start, end)))
     if not drop_null_contract:

@@ -40,3 +40,12 @@ def spark_rows(df):
 def duck_rows(con, sql):
     result = con.execute(sql)
     return rows_of([d[0] for d in result.description], result.fetchall())
+
+
+def spark_types(df):
+    names = {"string": "varchar", "int": "integer"}
+    return {f.name: names.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+
+
+def duck_types(con, sql):
+    return {row[0]: row[1].lower() for row in con.execute(f"DESCRIBE {sql}").fetchall()}

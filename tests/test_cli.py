@@ -43,4 +43,4 @@ def test_parquet_grains(spark, log, grain, rows):
 
 def test_jdbc_needs_its_connection(log):
     with pytest.raises(SystemExit):
-        main([str(log), "20220401", "20220402", "customer_statistics", "--format", "jdbc"])
+        main([str(log), "20220401", "20220402", "profiles", "--format", "jdbc"])

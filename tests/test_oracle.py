@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as spark_entry
-from tests.compare import duck, duck_rows, spark_rows
+from tests.compare import duck, duck_rows, duck_types, spark_rows, spark_types
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 QUERIES = spark_entry.queries()
@@ -18,4 +18,8 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_equals_sql(spark, key):
-    assert spark_rows(QUERIES[key](spark, FOLDER)) == duck_rows(duck(FOLDER), SQL[key])
+    con, df = duck(FOLDER), QUERIES[key](spark, FOLDER)
+    found = spark_rows(df)
+    assert found[1], "no rows"
+    assert found == duck_rows(con, SQL[key])
+    assert spark_types(df) == duck_types(con, SQL[key])

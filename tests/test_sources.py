@@ -165,8 +165,8 @@ class Holder:
 
 def test_jdbc_writer_options():
     df = Holder()
-    write_jdbc(df, "jdbc:x://h/db", "customer_statistics", {"user": "u", "driver": "d"}, connections=4)
-    assert df.write.args == ("jdbc:x://h/db", "customer_statistics")
+    write_jdbc(df, "jdbc:x://h/db", "profiles", {"user": "u", "driver": "d"}, connections=4)
+    assert df.write.args == ("jdbc:x://h/db", "profiles")
     assert df.write.kwargs["mode"] == "overwrite"
     assert df.write.kwargs["properties"] == {
         "numPartitions": "4",
