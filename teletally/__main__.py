@@ -5,9 +5,10 @@ from __future__ import annotations
 import argparse
 import os
 
-from teletally.plans.job import run
+from teletally.plans.job import build_profile, consolidate
 from teletally.session import build_session
 from teletally.sinks import export_names, write_csv, write_jdbc, write_parquet
+from teletally.sources import read_log, read_parquet_log
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -18,6 +19,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("output", help="target path, or table name with --format jdbc")
     parser.add_argument("--grain", choices=("customer", "day", "session"), default="customer")
     parser.add_argument("--layout", choices=("file", "folder"), default="file")
+    parser.add_argument("--consolidated", action="store_true", help="the log is a Parquet table by log_date")
+    parser.add_argument("--consolidate", action="store_true", help="only store the days read as such a table")
     parser.add_argument("--format", choices=("csv", "parquet", "jdbc"), default="csv")
     parser.add_argument("--mode", choices=("overwrite", "append", "errorifexists"), default="overwrite")
     parser.add_argument("--files", type=int, help="number of CSV files; only for small results")
@@ -36,12 +39,17 @@ def main(argv: list[str] | None = None) -> None:
         parser.error("--format jdbc needs --jdbc-url and --jdbc-driver")
 
     spark = build_session("teletally")
-    profile = run(
-        spark,
-        args.log,
+    if args.consolidate:
+        consolidate(spark, args.log, args.output, args.start, args.end, layout=args.layout)
+        return
+    if args.consolidated:
+        log = read_parquet_log(spark, args.log, args.start, args.end)
+    else:
+        log = read_log(spark, args.log, args.start, args.end, layout=args.layout)
+    profile = build_profile(
+        log,
         args.start,
         args.end,
-        layout=args.layout,
         grain=args.grain,
         drop_unknown_contract=args.drop_unknown_contract,
         dedup=args.dedup,

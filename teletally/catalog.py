@@ -260,9 +260,13 @@ def _scan_json(spark: SparkSession, folder: str) -> DataFrame:
     return read_log(spark, root, EVENTS.start, EVENTS.end, layout="folder", duration=AMOUNT)
 
 
+def _scan_json_range(spark: SparkSession, folder: str) -> DataFrame:
+    return read_log(spark, _write_log(spark, folder), *ONE_WEEK, layout="folder", duration=AMOUNT)
+
+
 def _consolidate(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_path(spark, "consolidated")
-    write_parquet(EVENTS.read(spark, folder), out, rebalance=True)
+    write_parquet(EVENTS.read(spark, folder), out, rebalance=True, sort=True)
     return read_parquet_log(spark, out, EVENTS.start, EVENTS.end)
 
 
@@ -295,6 +299,7 @@ def _incremental_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 STORAGE_QUERIES: dict[str, Query] = {
     "scan_json": _scan_json,
+    "scan_json_range": _scan_json_range,
     "consolidate": _consolidate,
     "csv_roundtrip": _csv_roundtrip,
     "incremental_days": lambda spark, folder: _result(_incremental(spark, folder)),

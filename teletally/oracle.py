@@ -219,6 +219,8 @@ def _row_queries() -> dict[str, str]:
         "sort_contract": "SELECT contract, log_date, category, duration FROM log",
         "mapping_audit": "SELECT DISTINCT app_name, category FROM every",
         "scan_json": "SELECT contract, app_name, duration, log_date FROM raw",
+        "scan_json_range": """SELECT contract, app_name, duration, log_date FROM raw
+            WHERE log_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'""",
         "consolidate": "SELECT * FROM raw",
     }
     found = {key: f"{EVENTS.base} x AS (SELECT 1) {sql}" for key, sql in events.items()}

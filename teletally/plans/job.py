@@ -79,7 +79,8 @@ def consolidate(
     """Daily JSON files to one Parquet table by day, replacing only the days read.
 
     Later runs read the columns they need of the days they need. Every input split belongs to
-    one day, so the rows are written where they are read, without a shuffle.
+    one day, so the rows are written where they are read, without a shuffle, and sorted by
+    contract within each file.
     """
     log = read_log(spark, root, start, end, layout=layout, duration=duration)
-    write_parquet(log, out, replace_days=True)
+    write_parquet(log, out, replace_days=True, sort=True)

@@ -38,6 +38,7 @@ def write_parquet(
     by_day: bool = True,
     rebalance: bool = False,
     replace_days: bool = False,
+    sort: bool = False,
 ) -> None:
     """Parquet, by default in one folder per ``log_date``.
 
@@ -45,9 +46,13 @@ def write_parquet(
     each write a small file into every folder; AQE then splits a day that is too large for
     one task and merges small ones. Rows scanned from one file per day need no such shuffle.
     ``replace_days`` swaps only the days present in ``df`` and leaves the others alone.
+    ``sort`` orders each task's rows by contract, so that a look-up of one contract skips most
+    row groups by their statistics.
     """
     if rebalance:
         df = df.hint("rebalance", F.col("log_date"))
+    if sort:
+        df = df.sortWithinPartitions(*(["log_date"] if by_day else []), "contract")
     writer = df.write.mode(mode)
     if by_day:
         writer = writer.partitionBy("log_date")

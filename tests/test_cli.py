@@ -41,6 +41,16 @@ def test_parquet_grains(spark, log, grain, rows):
     assert spark.read.parquet(out).count() == rows
 
 
+def test_consolidated_log_gives_the_same_profile(spark, log):
+    table, first, second = (str(log / n) for n in ("table", "first", "second"))
+    period = ["20220401", "20220402"]
+    main([str(log / "log"), *period, table, "--consolidate"])
+    main([str(log / "log"), *period, first, "--format", "parquet"])
+    main([table, *period, second, "--format", "parquet", "--consolidated"])
+    assert rows_set(spark.read.parquet(first)) == rows_set(spark.read.parquet(second))
+    assert spark.read.parquet(first).count() == 2
+
+
 def test_jdbc_needs_its_connection(log):
     with pytest.raises(SystemExit):
         main([str(log), "20220401", "20220402", "profiles", "--format", "jdbc"])

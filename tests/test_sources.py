@@ -107,6 +107,15 @@ def test_consolidate_replaces_only_its_days(spark, folder, tmp_path):
     assert files_read(read_parquet_log(spark, out, "20220402", "20220403")) == 2
 
 
+def test_sorted_days(spark, tmp_path):
+    days = {f"202204{d:02d}": [(f"c{i * 7 % 100:02d}", "VOD", i) for i in range(100)] for d in (1, 2)}
+    out = tmp_path / "sorted"
+    write_parquet(log_frame(spark, days), str(out), rebalance=True, sort=True)
+    for file in out.glob("log_date=*/*.parquet"):
+        stored = [r.contract for r in spark.read.parquet(str(file)).select("contract").coalesce(1).collect()]
+        assert stored == sorted(stored) and len(stored) == 100
+
+
 def test_rebalanced_days_get_few_files(spark, tmp_path):
     days = {f"202204{d:02d}": [(str(i), "VOD", i) for i in range(50)] for d in range(1, 6)}
     out = tmp_path / "balanced"
