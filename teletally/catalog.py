@@ -181,10 +181,9 @@ def _dedup_profile(log: TableLog, rows: DataFrame) -> DataFrame:
     return _profile(log, filters.without_repeats(rows))
 
 
-def _pivot_unmapped(log: TableLog, raw: DataFrame) -> DataFrame:
-    """One-day form: the catch-all contract left out, unmapped apps kept in a column of their own."""
-    rows = sessions(raw, log.codes, keep_unmapped=True, drop_unknown_contract=True)
-    return pivots.pivot(rows, with_unmapped=True)
+def _with_unmapped(log: TableLog, raw: DataFrame) -> DataFrame:
+    """The one-day selection: without the catch-all contract, unmapped apps kept."""
+    return sessions(raw, log.codes, keep_unmapped=True, drop_unknown_contract=True)
 
 
 def _session_profile(log: TableLog, rows: DataFrame) -> DataFrame:
@@ -236,7 +235,10 @@ METRIC_PLANS = {
 
 # Forms for one log only: unmapped apps occur in events alone, and its 30 days fit in one bit set.
 EVENT_QUERIES: dict[str, Query] = {
-    "pivot_unmapped": _log(EVENTS, _pivot_unmapped),
+    "pivot_unmapped": _log(EVENTS, lambda log, raw: pivots.pivot(_with_unmapped(log, raw), with_unmapped=True)),
+    "category_summary_unmapped": _log(
+        EVENTS, lambda log, raw: aggregates.category_summary(_with_unmapped(log, raw))
+    ),
     "customer_profile_one_shuffle": _sessions(
         EVENTS, lambda log, rows: profiles.customer_profile(rows, log.start, log.end, non_negative=True)
     ),

@@ -63,7 +63,10 @@ def _with_ranks(counts: DataFrame, fractions: Sequence[float]) -> DataFrame:
     Each fraction needs the value below its position (even target) and the one above it (odd
     target), weighted by the position's distance from the other one.
     """
-    wanted = [F.struct(F.lit(t).alias("target"), F.lit(float(fractions[t // 2])).alias("fraction")) for t in range(2 * len(fractions))]
+    wanted = [
+        F.struct(F.lit(t).alias("target"), F.lit(float(fractions[t // 2])).alias("fraction"))
+        for t in range(2 * len(fractions))
+    ]
     position = (F.sum("n").over(Window.partitionBy("target")) - 1) * F.col("fraction")
     lower = F.floor("position")
     above = F.col("target") % 2 == 1

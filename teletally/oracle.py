@@ -225,6 +225,9 @@ def _row_queries() -> dict[str, str]:
     }
     found = {key: f"{EVENTS.base} x AS (SELECT 1) {sql}" for key, sql in events.items()}
     found["stamp_result"] = f"""{EVENTS.base} {PIVOT} SELECT *, DATE '{EVENTS.first_day}' AS log_date FROM piv"""
+    found["category_summary_unmapped"] = f"""{EVENTS.base} x AS (SELECT 1)
+        SELECT category, COUNT(DISTINCT contract) AS contracts, CAST(SUM(duration) AS DECIMAL(18,2)) AS total
+        FROM every WHERE contract <> '0' GROUP BY category"""
     for key in ("categorize_isin_orders", "categorize_dim_orders"):
         found[key] = f"{ORDERS.base} x AS (SELECT 1) SELECT session_id, {paired} AS category FROM raw"
     found["pivot_unmapped"] = f"""{EVENTS.base} {PIVOT},

@@ -54,3 +54,15 @@ def test_profile_from_stored_days(spark, tmp_path):
     direct = sessions(read_log(spark, log, "20220401", "20220403"))
     period = ("20220401", "20220403")
     assert rows_set(profiles.customer_profile(stored, *period)) == rows_set(profiles.customer_profile(direct, *period))
+
+
+def test_the_stream_itself_reads_no_content(spark, tmp_path):
+    log, out, progress = (str(tmp_path / n) for n in ("log", "out", "progress"))
+    write_day(tmp_path / "log", "20220401.json", [("A", "VOD", 1)])
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, 1)
+    try:
+        assert len(run(spark, log, out, progress)) == 1
+    finally:
+        spark.conf.set(limit, before)
