@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from teletally.functions.categories import category_by_case, category_by_list, with_category_by_dimension
 from teletally.functions.dates import compact_date
@@ -22,27 +21,18 @@ from teletally.plans.sessions import sessions
 from teletally.schema import profile_schema
 from teletally.sinks import export_names, write_csv, write_daily_log, write_parquet
 from teletally.sources import read_csv, read_log, read_parquet_log
-from teletally.sources.adapters import AMOUNT, EVENTS, ORDERS, ORDERS_PAIRED, TableLog
+from teletally.sources.adapters import EVENTS, ORDERS, ORDERS_PAIRED, SCALE, TableLog, in_units
 from teletally.storage import shared_path, store
 from teletally.streaming import run_daily_totals, stored_daily_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Sums of decimal(18,2) widen to decimal(28,2); results are compared at this type.
-RESULT_AMOUNT = T.DecimalType(18, 2)
-TOTAL_AMOUNT = T.DecimalType(28, 2)
 ONE_WEEK = (dt.date(2024, 1, 5), dt.date(2024, 1, 11))
 
 
-def _result(df: DataFrame) -> DataFrame:
-    """Decimal columns at the common result type."""
-    wide = [f.name for f in df.schema if isinstance(f.dataType, T.DecimalType) and f.dataType != RESULT_AMOUNT]
-    return df.withColumns({c: F.col(c).cast(RESULT_AMOUNT) for c in wide}) if wide else df
-
-
 def _log(log: TableLog, build: Callable[[TableLog, DataFrame], DataFrame]) -> Query:
     """Query over all raw log rows of a table."""
-    return lambda spark, folder: _result(build(log, log.read(spark, folder)))
+    return lambda spark, folder: in_units(build(log, log.read(spark, folder)))
 
 
 def _sessions(log: TableLog, build: Callable[[TableLog, DataFrame], DataFrame]) -> Query:
@@ -103,7 +93,7 @@ ROW_QUERIES: dict[str, Query] = {
         EVENTS,
         lambda log, rows: filters.of_contract(rows, "7").select("session_id", *filters.session_columns(rows).columns),
     ),
-    "union_days": lambda spark, folder: filters.union_days(*_halves(EVENTS, spark, folder)),
+    "union_days": lambda spark, folder: in_units(filters.union_days(*_halves(EVENTS, spark, folder))),
     "sort_contract": _sessions(
         EVENTS, lambda log, rows: filters.by_contract(rows.select("contract", "log_date", "category", "duration"))
     ),
@@ -118,7 +108,7 @@ ROW_QUERIES: dict[str, Query] = {
 
 def _merged(log: TableLog) -> Query:
     """Daily pivots of an earlier and a later part of the period, merged."""
-    return lambda spark, folder: _result(
+    return lambda spark, folder: in_units(
         pivots.merge_partials(*[pivots.pivot_by_day(part) for part in _halves(log, spark, folder)])
     )
 
@@ -192,7 +182,9 @@ def _session_profile(log: TableLog, rows: DataFrame) -> DataFrame:
 
 
 def _engagement(log: TableLog, rows: DataFrame) -> DataFrame:
-    return metrics.engagement_levels(aggregates.totals(rows, "contract"), log.low_max, log.high_min)
+    return metrics.engagement_levels(
+        aggregates.totals(rows, "contract"), log.low_max * SCALE, log.high_min * SCALE
+    )
 
 
 def _engagement_quantile(log: TableLog, rows: DataFrame) -> DataFrame:
@@ -230,7 +222,7 @@ METRIC_PLANS = {
     "customer_group": _groups,
     "segment_counts": lambda log, rows: segments.segment_counts(_groups(log, rows)),
     "segment_dimensions": lambda log, rows: segments.segment_dimensions(_groups(log, rows)),
-    "export_profile": lambda log, rows: export_names(_profile(log, rows), local_labels=True),
+    "export_profile": lambda log, rows: export_names(in_units(_profile(log, rows)), local_labels=True),
 }
 
 # Forms for one log only: unmapped apps occur in events alone, and its 30 days fit in one bit set.
@@ -259,23 +251,23 @@ def _write_log(spark: SparkSession, folder: str) -> str:
 
 def _scan_json(spark: SparkSession, folder: str) -> DataFrame:
     root = _write_log(spark, folder)
-    return read_log(spark, root, EVENTS.start, EVENTS.end, layout="folder", duration=AMOUNT)
+    return in_units(read_log(spark, root, EVENTS.start, EVENTS.end, layout="folder"))
 
 
 def _scan_json_range(spark: SparkSession, folder: str) -> DataFrame:
-    return read_log(spark, _write_log(spark, folder), *ONE_WEEK, layout="folder", duration=AMOUNT)
+    return in_units(read_log(spark, _write_log(spark, folder), *ONE_WEEK, layout="folder"))
 
 
 def _consolidate(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_path(spark, "consolidated")
     write_parquet(EVENTS.read(spark, folder), out, rebalance=True, sort=True)
-    return read_parquet_log(spark, out, EVENTS.start, EVENTS.end)
+    return in_units(read_parquet_log(spark, out, EVENTS.start, EVENTS.end))
 
 
 def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_path(spark, "profile-csv")
     write_csv(_profile(EVENTS, sessions(EVENTS.read(spark, folder), EVENTS.codes)), out)
-    return _result(read_csv(spark, out, profile_schema(TOTAL_AMOUNT)))
+    return in_units(read_csv(spark, out, profile_schema()))
 
 
 def _incremental(spark: SparkSession, folder: str) -> DataFrame:
@@ -286,17 +278,16 @@ def _incremental(spark: SparkSession, folder: str) -> DataFrame:
         out,
         shared_path(spark, "daily-totals-progress"),
         layout="folder",
-        duration=AMOUNT,
         codes=EVENTS.codes,
     )
     run.awaitTermination()
-    return stored_daily_totals(spark, out, TOTAL_AMOUNT)
+    return stored_daily_totals(spark, out)
 
 
 def _incremental_profile(spark: SparkSession, folder: str) -> DataFrame:
     """The profile out of the stored daily totals, without going back to the log."""
     merged = aggregates.as_sessions(_incremental(spark, folder))
-    return _result(profiles.customer_profile(merged, EVENTS.start, EVENTS.end))
+    return in_units(profiles.customer_profile(merged, EVENTS.start, EVENTS.end))
 
 
 STORAGE_QUERIES: dict[str, Query] = {
@@ -304,7 +295,7 @@ STORAGE_QUERIES: dict[str, Query] = {
     "scan_json_range": _scan_json_range,
     "consolidate": _consolidate,
     "csv_roundtrip": _csv_roundtrip,
-    "incremental_days": lambda spark, folder: _result(_incremental(spark, folder)),
+    "incremental_days": lambda spark, folder: in_units(_incremental(spark, folder)),
     "incremental_profile": _incremental_profile,
 }
 

@@ -134,8 +134,11 @@ def _log_queries(log: LogSql) -> dict[str, str]:
     by_quantile = level.format(t="CAST(total AS DOUBLE)", high="hi", low="lo")
     profile, groups = _profile(log), _groups(log)
     pivot_rows = f"{PIVOT} SELECT * FROM piv"
+    daily = f"""{profile}, {DAY_PIVOT} SELECT day_piv.*, most_watch, customer_taste, active_days, active_rate
+            FROM day_piv LEFT JOIN prof USING (contract)"""
     return {
-        "sum_contract_category": "x AS (SELECT 1) SELECT contract, category, CAST(t AS DECIMAL(18,2)) AS total FROM tot",
+        "sum_contract_category": """x AS (SELECT 1) SELECT contract, category,
+            CAST(t AS DECIMAL(18,2)) AS total FROM tot""",
         "sum_contract_category_day": """x AS (SELECT 1) SELECT contract, category, log_date,
             CAST(SUM(duration) AS DECIMAL(18,2)) AS total FROM log GROUP BY contract, category, log_date""",
         "sum_contract_day": "x AS (SELECT 1) SELECT contract, log_date, CAST(t AS DECIMAL(18,2)) AS total FROM day_tot",
@@ -171,19 +174,19 @@ def _log_queries(log: LogSql) -> dict[str, str]:
             FROM ({flagged}) GROUP BY contract) {_activeness(log, 'act')}""",
         "customer_profile": f"{profile} SELECT * FROM prof",
         "customer_profile_join": f"{profile} SELECT * FROM prof",
-        "daily_profile": f"""{profile}, {DAY_PIVOT} SELECT day_piv.*, most_watch, customer_taste, active_days, active_rate
-            FROM day_piv LEFT JOIN prof USING (contract)""",
-        "daily_profile_join": f"""{profile}, {DAY_PIVOT} SELECT day_piv.*, most_watch, customer_taste, active_days,
-            active_rate FROM day_piv LEFT JOIN prof USING (contract)""",
+        "daily_profile": daily,
+        "daily_profile_join": daily,
         "session_profile": f"""{profile} SELECT session_id, contract, category, duration, log_date, most_watch,
             customer_taste, active_days, active_rate FROM log LEFT JOIN prof USING (contract)""",
         "engagement_level": f"""{contract_total} SELECT contract, CAST(total AS DECIMAL(18,2)) AS total, {by_amount}
             FROM ct""",
-        "engagement_percentile": f"""{contract_total}, cut AS (SELECT QUANTILE_CONT(CAST(total AS DOUBLE), 1.0 / 3) AS lo,
-            QUANTILE_CONT(CAST(total AS DOUBLE), 2.0 / 3) AS hi FROM ct)
+        "engagement_percentile": f"""{contract_total}, cut AS (
+            SELECT QUANTILE_CONT(CAST(total AS DOUBLE), 1.0 / 3) AS lo,
+              QUANTILE_CONT(CAST(total AS DOUBLE), 2.0 / 3) AS hi FROM ct)
             SELECT contract, {by_quantile} FROM ct, cut""",
         "active_level": f"""{ACTIVE} SELECT contract, active_days / {log.days} AS active_rate,
-            CASE WHEN active_days / {log.days} >= {log.threshold} THEN 'High' ELSE 'Low' END AS active_level FROM act""",
+            CASE WHEN active_days / {log.days} >= {log.threshold} THEN 'High' ELSE 'Low' END AS active_level
+            FROM act""",
         "customer_group": f"{groups} SELECT * FROM grp",
         "segment_counts": f"""{groups} SELECT most_watch, customer_taste, active_level, COUNT(*) AS customers
             FROM grp GROUP BY ALL""",

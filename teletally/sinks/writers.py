@@ -76,6 +76,8 @@ def write_jdbc(
 
     Connection details come from the caller. ``connections`` limits the parallel writers to
     what the database can take; with ``truncate`` the table keeps its definition and grants.
+    The partitions commit one by one, so a failed job can leave part of the rows behind: run
+    it again, or write to a staging table where readers must not see that.
     """
     options = {
         "numPartitions": str(connections),

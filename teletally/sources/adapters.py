@@ -1,26 +1,29 @@
 """Other event tables presented as a viewing log.
 
-Every adapter gives the log columns plus ``session_id``, the row's own key. Amounts become
-``decimal(18,2)``: sums of decimals are exact whatever the order of the rows.
+Every adapter gives the log columns plus ``session_id``, the row's own key. Amounts are rounded
+to two digits and counted in hundredths, as a bigint like the log's own durations: sums are then
+exact whatever the order of the rows, and stay in fixed-width aggregation buffers.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from teletally.schema import CategoryCodes
 
-AMOUNT = T.DecimalType(18, 2)
+# Hundredths per unit, and the type of an amount in units.
+SCALE = 100
+AMOUNT = "decimal(18,2)"
 
 
 @dataclass(frozen=True)
 class TableLog:
-    """How one table maps to the log, and the period and cut-offs its metrics use."""
+    """How one table maps to the log, and the period and cut-offs (in units) its metrics use."""
 
     table: str
     key: str
@@ -57,11 +60,17 @@ class TableLog:
             F.col(self.key).alias("session_id"),
             F.col(self.contract).cast("string").alias("contract"),
             F.col(self.app_name).alias("app_name"),
-            F.col(self.amount).cast(AMOUNT).alias("duration"),
+            (F.col(self.amount).cast(AMOUNT) * SCALE).cast("bigint").alias("duration"),
             F.to_date(self.time).alias("log_date"),
         )
 
 
+def in_units(df: DataFrame) -> DataFrame:
+    """Duration columns of a result back in units, as ``decimal(18,2)``."""
+    amounts = [c for c in df.columns if c in ("duration", "total") or c.endswith("_duration")]
+    return df.withColumns({c: (F.col(c) * F.lit(Decimal(1) / SCALE)).cast(AMOUNT) for c in amounts})
+
+
 def _midnight(day: dt.date) -> Column:
     return F.lit(day.isoformat()).cast("timestamp_ntz")
 

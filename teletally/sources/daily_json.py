@@ -4,21 +4,29 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from teletally.functions.dates import file_date, parse_day
+from teletally.functions.dates import days_between, file_date, parse_day
 from teletally.schema import raw_log_schema
 
 # Where the files of one layout lie below the log's root folder. Other names, hidden files and
 # tables stored next to the log are not listed.
 LAYOUT_GLOBS = {"file": "[^._]*.json*", "folder": "[^._]*/[^._]*.json*"}
+# The same for given days, so that a long history is not listed for a short range.
+DAY_GLOBS = {"file": "{,[^._]*_}%s.json*", "folder": "{,[^._]*[_=]}%s{,.*}/[^._]*.json*"}
+# Beyond this many days the pattern gets long and the general one is used.
+_MAX_NAMED_DAYS = 400
 
 
-def log_paths(root: str, layout: str = "file") -> str:
-    """Path pattern of the log's data files."""
-    return f"{root.rstrip('/')}/{LAYOUT_GLOBS[layout]}"
+def log_paths(root: str, layout: str = "file", days: list[dt.date] | None = None) -> str:
+    """Path pattern of the log's data files, of all days or of the listed ones."""
+    glob = LAYOUT_GLOBS[layout]
+    if days and len(days) <= _MAX_NAMED_DAYS:
+        glob = DAY_GLOBS[layout] % ("{" + ",".join(f"{day:%Y%m%d}" for day in days) + "}")
+    return f"{root.rstrip('/')}/{glob}"
 
 
 def _read_days(
@@ -26,17 +34,27 @@ def _read_days(
     root: str,
     layout: str,
     duration: T.DataType | None,
-    wanted: Column | None,
+    days: list[dt.date],
+    wanted: Column,
 ) -> DataFrame:
+    reader = spark.read.schema(raw_log_schema(duration))
+    try:
+        raw = reader.json(log_paths(root, layout, days))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # No file of these days; over the whole log the date filter leaves an empty frame.
+        raw = reader.json(log_paths(root, layout))
     day = file_date(F.col("_metadata.file_path"), layout)
-    raw = spark.read.schema(raw_log_schema(duration)).json(log_paths(root, layout))
-    rows = raw.select("_source", day.alias("log_date"))
-    rows = rows.where(F.col("log_date").isNotNull() if wanted is None else wanted)
-    return rows.select(
-        F.col("_source.Contract").alias("contract"),
-        F.col("_source.AppName").alias("app_name"),
-        F.col("_source.TotalDuration").alias("duration"),
-        "log_date",
+    return (
+        raw.select("_source", day.alias("log_date"))
+        .where(wanted)
+        .select(
+            F.col("_source.Contract").alias("contract"),
+            F.col("_source.AppName").alias("app_name"),
+            F.col("_source.TotalDuration").alias("duration"),
+            "log_date",
+        )
     )
 
 
@@ -51,12 +69,14 @@ def read_log(
 ) -> DataFrame:
     """Flattened log rows of an inclusive date range, in one scan over all its files.
 
-    The schema is declared, so no job infers it, and the date comes from the file path: the
-    range is decided per file before anything is opened, and files whose name holds no date
-    are left out. A range without files gives an empty frame with the full schema.
+    The schema is declared, so no job infers it, and the date comes from the file path: only
+    files of the range are listed and opened, and files whose name holds no date are left
+    out. A range without files gives an empty frame with the full schema.
     """
-    bounds = F.col("log_date").between(F.lit(parse_day(start)), F.lit(parse_day(end)))
-    return _read_days(spark, root, layout, duration, bounds)
+    first, last = parse_day(start), parse_day(end)
+    days = [first + dt.timedelta(days=i) for i in range(days_between(first, last))]
+    bounds = F.col("log_date").between(F.lit(first), F.lit(last))
+    return _read_days(spark, root, layout, duration, days, bounds)
 
 
 def read_log_days(
@@ -68,4 +88,4 @@ def read_log_days(
     duration: T.DataType | None = None,
 ) -> DataFrame:
     """Flattened log rows of the listed days; other days' files are not opened."""
-    return _read_days(spark, root, layout, duration, F.col("log_date").isin(days))
+    return _read_days(spark, root, layout, duration, days, F.col("log_date").isin(days))

@@ -1,0 +1,67 @@
+"""Different forms of one result, on random logs with NULLs, repeats and one dominant contract."""
+
+import random
+
+import pytest
+
+from teletally.operators import aggregates, joins, pivots
+from teletally.plans import metrics, profiles
+from teletally.plans.sessions import sessions
+from teletally.schema import APP_CODES, DURATION_COLUMNS
+from tests.logs import log_frame, rows_set
+
+PERIOD = ("20220330", "20220402")
+APPS = [*(code for codes in APP_CODES.values() for code in codes), "XX", None]
+
+
+def random_rows(spark, seed, durations):
+    rng = random.Random(seed)
+    days = ["20220330", "20220331", "20220401", "20220402"]
+    log = {
+        day: [
+            (rng.choice(["hot", f"c{rng.randrange(40)}", "0", None]), rng.choice(APPS), rng.choice(durations))
+            for _ in range(rng.randrange(50, 150))
+        ]
+        for day in days
+    }
+    return sessions(log_frame(spark, log)).repartition(6)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("durations", [[None, 0, 1, 2, 3600], [None, -4, -1, 0, 1, 4]], ids=["usual", "negative"])
+def test_forms_agree(spark, seed, durations):
+    everything = random_rows(spark, seed, durations).cache()
+    rows = everything.where("contract IS NOT NULL")
+
+    wide = rows_set(pivots.pivot(rows))
+    totals = aggregates.category_totals(rows)
+    assert rows_set(pivots.pivot_by_join(totals), "contract", *DURATION_COLUMNS) == wide
+    parts = [pivots.pivot_by_day(rows.where(f"log_date {test} DATE'2022-04-01'")) for test in ("<", ">=")]
+    assert rows_set(pivots.merge_partials(*parts)) == wide
+
+    ranked = {
+        "total": (totals, "total"),
+        "day": (aggregates.daily_totals(rows), "total"),
+        "session": (rows, "duration"),
+    }
+    for grain, (frame, value) in ranked.items():
+        assert rows_set(metrics.most_watched(rows, grain)) == rows_set(metrics.most_watched_ranked(frame, value))
+
+    profile = profiles.customer_profile(everything, *PERIOD, with_size=True)
+    expected = rows_set(profile.drop("n_sessions"))
+    stored = aggregates.as_sessions(aggregates.daily_totals(rows))
+    assert rows_set(profiles.customer_profile_joined(rows, *PERIOD)) == expected
+    assert rows_set(profiles.customer_profile(stored, *PERIOD)) == expected
+    if min(d for d in durations if d is not None) >= 0:
+        assert rows_set(profiles.customer_profile(rows, *PERIOD, non_negative=True)) == expected
+        assert rows_set(profiles.customer_profile(stored, *PERIOD, non_negative=True)) == expected
+        by_any = metrics.activeness_from_pivot(rows, *PERIOD)
+        assert rows_set(by_any) == rows_set(metrics.activeness(rows, *PERIOD))
+
+    daily = profiles.daily_profile(everything, *PERIOD, drop_null_contract=False)
+    assert rows_set(daily) == rows_set(profiles.daily_profile_joined(everything, profile))
+
+    plain = joins.attach(everything, profile.select("contract", *profiles.METRICS))
+    split = profiles.session_profile(everything, profile, split_rows=5)
+    assert rows_set(split, *plain.columns) == rows_set(plain)
+    everything.unpersist()

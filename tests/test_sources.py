@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import types as T
@@ -51,6 +52,27 @@ def test_range_is_inclusive_and_prunes_files(spark, folder):
     assert files_read(read_log(spark, str(folder), "20220402", "20220403")) == 2
 
 
+@pytest.mark.parametrize("layout", ["file", "folder"])
+def test_only_the_range_is_listed(spark, tmp_path, layout):
+    names = {
+        "file": ["20220401.json", "log_x_20220402.json.1", "20220403.json", "120220402.json", ".20220402.json"],
+        "folder": ["20220401/a.json", "day=20220402/b.json", "l_20220402.json/c.json", "20220403/d.json", "x/e.json"],
+    }[layout]
+    for name in names:
+        write_day(tmp_path, name, [(name, "VOD", 1)])
+    log = read_log(spark, str(tmp_path), "20220401", "20220402", layout=layout)
+    expected = names[:2] if layout == "file" else names[:3]
+    assert len(log.inputFiles()) == len(expected)
+    assert sorted(r.contract for r in log.collect()) == sorted(expected)
+    long_range = read_log(spark, str(tmp_path), "20200101", "20220402", layout=layout)
+    assert sorted(r.contract for r in long_range.collect()) == sorted(expected)
+
+
+def test_a_missing_log_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_log(spark, str(tmp_path), "20220401", "20220402")
+
+
 def test_foreign_names_are_not_read(spark, folder):
     log = read_log(spark, str(folder), "20000101", "20991231")
     assert log.where("contract = 'Z'").count() == 0
@@ -96,6 +118,12 @@ def test_folder_layout_round_trip(spark, tmp_path):
     assert files_read(read_log(spark, str(tmp_path / "log"), "20220402", "20220402", layout="folder")) == 1
 
 
+def test_decimal_durations(spark, tmp_path):
+    write_day(tmp_path, "20220401.json", [("A", "VOD", 1.25), ("A", "VOD", 2)])
+    log = read_log(spark, str(tmp_path), "20220401", "20220401", duration=T.DecimalType(18, 2))
+    assert sessions(log).groupBy().sum("duration").first()[0] == Decimal("3.25")
+
+
 def test_consolidate_replaces_only_its_days(spark, folder, tmp_path):
     out = str(tmp_path / "all.parquet")
     consolidate(spark, str(folder), out, "20220401", "20220406")
