@@ -22,7 +22,7 @@ from teletally.schema import profile_schema
 from teletally.sinks import export_names, write_csv, write_daily_log, write_parquet
 from teletally.sources import read_csv, read_log, read_parquet_log
 from teletally.sources.adapters import EVENTS, ORDERS, ORDERS_PAIRED, SCALE, TableLog, in_units
-from teletally.storage import shared_path, store
+from teletally.storage import shared_path, store, store_by_contract
 from teletally.streaming import run_daily_totals, stored_daily_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,8 +154,8 @@ def _stored_metrics(log: TableLog, rows: DataFrame) -> DataFrame:
 
 
 def _stored_days(rows: DataFrame) -> DataFrame:
-    """Daily totals, written once, in place of the sessions they sum up."""
-    return aggregates.as_sessions(store(aggregates.daily_totals(rows), "daily-totals"))
+    """Daily totals, written once by contract, in place of the sessions they sum up."""
+    return aggregates.as_sessions(store_by_contract(aggregates.daily_totals(rows), "daily-totals"))
 
 
 def _profile_joined(log: TableLog, rows: DataFrame) -> DataFrame:
@@ -164,7 +164,7 @@ def _profile_joined(log: TableLog, rows: DataFrame) -> DataFrame:
 
 def _daily_joined(log: TableLog, rows: DataFrame) -> DataFrame:
     days = _stored_days(rows)
-    return profiles.daily_profile_joined(days, _stored_metrics(log, days))
+    return profiles.daily_profile_joined(days, profiles.customer_profile(days, log.start, log.end))
 
 
 def _dedup_profile(log: TableLog, rows: DataFrame) -> DataFrame:

@@ -27,7 +27,10 @@ class DayMarks:
         offset = F.date_diff("log_date", F.lit(self.start))
         active = (
             F.when(duration < 0, F.raise_error(F.lit("negative duration")))
-            .when(~offset.between(0, self.days - 1), F.raise_error(F.lit("session outside the period")))
+            .when(
+                offset.isNull() | ~offset.between(0, self.days - 1),
+                F.raise_error(F.lit("session outside the period")),
+            )
             .otherwise(duration > 0)
         )
         marks = []

@@ -37,3 +37,19 @@ def store(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
     path = shared_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store_by_contract(df: DataFrame, name: str, buckets: int | None = None) -> DataFrame:
+    """Write ``df`` once, bucketed and sorted by contract, and read it back as a table.
+
+    Whatever is then grouped, joined or windowed by contract needs no further shuffle. Only
+    for frames with a bounded number of rows per contract, such as daily totals: a contract
+    lies in one bucket, so raw sessions of a dominant one would end up in a single task.
+    """
+    spark = df.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_path(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    bucketed = df.repartition(count, "contract").write.bucketBy(count, "contract").sortBy("contract")
+    bucketed.option("path", path).saveAsTable(table)
+    return spark.table(table)

@@ -33,6 +33,8 @@ def shuffles(text):
         ("daily_profile", 2),
         ("activeness", 2),
         ("incremental_profile", 2),
+        ("customer_profile_join", 0),
+        ("daily_profile_join", 0),
     ],
 )
 def test_number_of_shuffles(spark, key, expected):

@@ -7,6 +7,7 @@ from teletally.plans import metrics, profiles, segments
 from teletally.plans.job import build_profile, run
 from teletally.plans.sessions import sessions
 from teletally.schema import DURATION_COLUMNS, profile_schema
+from teletally.storage import store_by_contract
 from tests.logs import as_dict, log_frame, rows_set, write_day
 from tests.test_metrics import END, START, edge_log
 
@@ -192,3 +193,13 @@ def test_one_shuffle_form_refuses_what_it_cannot_count(spark):
         profiles.customer_profile(rows, START, END, non_negative=True).collect()
     with pytest.raises(Exception, match="outside the period"):
         metrics.activeness_by_marks(rows.where("duration > 0"), "20220402", "20220403").collect()
+
+
+def test_totals_stored_by_contract(spark, rows):
+    known = rows.where("contract IS NOT NULL")
+    stored = aggregates.as_sessions(store_by_contract(aggregates.daily_totals(known), "totals", 3))
+    joined = profiles.customer_profile_joined(stored, START, END)
+    assert rows_set(joined) == rows_set(profiles.customer_profile(rows, START, END))
+    daily = profiles.daily_profile(stored, START, END)
+    assert "Exchange" not in daily._jdf.queryExecution().executedPlan().toString()
+    assert rows_set(daily) == rows_set(profiles.daily_profile(rows, START, END))
