@@ -32,12 +32,13 @@ def run_daily_totals(
     layout: str = "file",
     duration: T.DataType | None = None,
     codes: CategoryCodes = APP_CODES,
-    files_per_batch: int = 1000,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Process every file not seen before, then stop.
 
-    Each run goes through the backlog in micro-batches of ``files_per_batch`` files, which
-    is also the most days one batch can name.
+    By default a run takes its whole backlog as one batch, so that each day is read once.
+    ``files_per_batch`` cuts a long backlog into batches; a day whose files fall into several
+    of them is read again for each. The driver only sees the dates of a batch.
     """
 
     def replace_days(batch: DataFrame, _: int) -> None:
@@ -48,15 +49,12 @@ def run_daily_totals(
             totals = daily_totals(sessions(log, codes))
             write_parquet(totals, out, rebalance=True, replace_days=True)
 
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(_FILES)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(log_paths(root, layout))
-        .select("path")
-    )
+    source = spark.readStream.format("binaryFile").schema(_FILES)
+    if files_per_batch is not None:
+        source = source.option("maxFilesPerTrigger", files_per_batch)
+    paths = source.load(log_paths(root, layout)).select("path")
     return (
-        files.writeStream.foreachBatch(replace_days)
+        paths.writeStream.foreachBatch(replace_days)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

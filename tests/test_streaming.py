@@ -45,6 +45,17 @@ def test_a_day_may_be_split_over_batches_and_runs(spark, tmp_path):
     assert 105 in [row[3] for row in final]
 
 
+def test_a_run_is_one_batch_by_default(spark, tmp_path):
+    log, out, progress = (str(tmp_path / n) for n in ("log", "out", "progress"))
+    for d in (1, 2, 3):
+        write_day(tmp_path / "log", f"2022040{d}/part-0.json", [("A", "VOD", d)])
+        write_day(tmp_path / "log", f"2022040{d}/part-1.json", [("A", "VOD", 10)])
+    query = run_daily_totals(spark, log, out, progress, layout="folder")
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 1
+    assert rows_set(stored_daily_totals(spark, out), *COLUMNS) == expected(spark, log, "folder")
+
+
 def test_profile_from_stored_days(spark, tmp_path):
     log, out, progress = (str(tmp_path / n) for n in ("log", "out", "progress"))
     for d in range(1, 4):
