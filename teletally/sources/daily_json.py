@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from teletally.functions.dates import days_between, file_date, parse_day
+from teletally.functions.dates import day_text, days_between, listed_date, parse_day
 from teletally.schema import raw_log_schema
 
 # Where the files of one layout lie below the log's root folder. Other names, hidden files and
@@ -35,7 +35,6 @@ def _read_days(
     layout: str,
     duration: T.DataType | None,
     days: list[dt.date],
-    wanted: Column,
 ) -> DataFrame:
     reader = spark.read.schema(raw_log_schema(duration))
     try:
@@ -45,16 +44,12 @@ def _read_days(
             raise
         # No file of these days; over the whole log the date filter leaves an empty frame.
         raw = reader.json(log_paths(root, layout))
-    day = file_date(F.col("_metadata.file_path"), layout)
-    return (
-        raw.select("_source", day.alias("log_date"))
-        .where(wanted)
-        .select(
-            F.col("_source.Contract").alias("contract"),
-            F.col("_source.AppName").alias("app_name"),
-            F.col("_source.TotalDuration").alias("duration"),
-            "log_date",
-        )
+    wanted, day = listed_date(day_text(F.col("_metadata.file_path"), layout), days)
+    return raw.where(wanted).select(
+        F.col("_source.Contract").alias("contract"),
+        F.col("_source.AppName").alias("app_name"),
+        F.col("_source.TotalDuration").alias("duration"),
+        day.alias("log_date"),
     )
 
 
@@ -75,8 +70,7 @@ def read_log(
     """
     first, last = parse_day(start), parse_day(end)
     days = [first + dt.timedelta(days=i) for i in range(days_between(first, last))]
-    bounds = F.col("log_date").between(F.lit(first), F.lit(last))
-    return _read_days(spark, root, layout, duration, days, bounds)
+    return _read_days(spark, root, layout, duration, days)
 
 
 def read_log_days(
@@ -88,4 +82,4 @@ def read_log_days(
     duration: T.DataType | None = None,
 ) -> DataFrame:
     """Flattened log rows of the listed days; other days' files are not opened."""
-    return _read_days(spark, root, layout, duration, days, F.col("log_date").isin(days))
+    return _read_days(spark, root, layout, duration, days)

@@ -12,6 +12,7 @@ from teletally.functions import (
     has_category,
     with_category_by_dimension,
 )
+from teletally.functions.dates import listed_date
 from teletally.functions.categories import check_codes
 from teletally.functions.scores import engagement_type
 from teletally.schema import APP_CODES, CATEGORIES, LOCAL_LABELS
@@ -90,6 +91,15 @@ def test_file_date(spark, layout, path, expected):
     assert df.select(file_date(F.col("p"), layout).alias("d")).first().d == expected
 
 
+def test_listed_date(spark):
+    days = [dt.date(2020, 2, 28) + dt.timedelta(days=i) for i in range(400)]
+    texts = [f"{day:%Y%m%d}" for day in days] + ["20200230", "20201301", "20200001", "120200301", "data", "", "-1", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    wanted, day = listed_date(F.col("t"), days)
+    assert [r.d for r in df.where(wanted).select(day.alias("d")).orderBy("d").collect()] == days
+    assert len(df.select(day.cast("string")).collect()) == len(texts)
+
+
 def test_days_between_is_inclusive():
     assert days_between("20220401", "20220403") == 3
     assert days_between(dt.date(2022, 4, 1), "20220401") == 1
