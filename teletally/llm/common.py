@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,20 +22,15 @@ def map_rows(df: DataFrame, schema: str, rows: Callable[[dict[str, list]], dict[
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             if part.num_rows:
-                found = rows(part.to_pydict())
-                arrow = pa.Table.from_pydict(found, schema=target)
-                yield from arrow.to_batches()
+                yield pa.RecordBatch.from_pydict(rows(part.to_pydict()), schema=target)
 
-    target = arrow_schema(df.sparkSession, schema)
+    target = arrow_schema(schema)
     return df.mapInArrow(batches, schema)
 
 
-def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
+def arrow_schema(ddl: str) -> pa.Schema:
     """Arrow schema of a Spark DDL string."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    return to_arrow_schema(_parse_datatype_string(ddl), timezone="UTC")
+    return to_arrow_schema(StructType.fromDDL(ddl))
 
 
 def text_or_empty(column: str = "text") -> Column:

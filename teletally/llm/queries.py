@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from teletally.llm import bpe
+from teletally.llm import bpe, mixing, sharding
 from teletally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,8 +23,18 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
+    "op3_mixing": op3_mixing,
+    "op4_sharding": op4_sharding,
 }
 
 SQL: dict[str, str] = {}
