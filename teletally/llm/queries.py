@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from teletally.llm import bpe, mixing, sharding
+from teletally.llm import bpe, fingerprints, mixing, sharding
 from teletally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,10 +31,15 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_report(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op4_sharding": op4_sharding,
+    "op8_fingerprints": op8_fingerprints,
 }
 
 SQL: dict[str, str] = {}
