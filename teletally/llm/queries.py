@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from teletally.llm import bpe, fingerprints, mixing, sharding
+from teletally.llm import bpe, fingerprints, mixing, pii, sharding
 from teletally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digests(table(spark, folder, "documents"))
+
+
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), tokenizer_path())
 
@@ -36,6 +40,7 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pii": op1_pii,
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op4_sharding": op4_sharding,
