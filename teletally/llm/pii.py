@@ -138,9 +138,11 @@ def _url(text: str, at: int, floor: int) -> tuple[Span | None, int]:
     return ((at, end), end) if end > host and text[host] in LABEL else (None, host)
 
 
-def _behind(text: str, at: int, cue_end: int) -> int:
-    """First character of a value behind a cue: past up to 12 letters, signs and blanks."""
-    start = _run(text, cue_end, LETTERS)
+def _behind(text: str, cue_end: int) -> int:
+    """First character of a value behind a cue: past up to 12 letters and 12 signs and blanks."""
+    start = cue_end
+    while start < min(cue_end + 12, len(text)) and text[start] in LETTERS:
+        start += 1
     stop = min(start + 12, len(text))
     while start < stop and text[start] in " :.#=\tnNoOr":
         start += 1
@@ -148,7 +150,7 @@ def _behind(text: str, at: int, cue_end: int) -> int:
 
 
 def _iban(text: str, at: int, floor: int) -> tuple[Span | None, int]:
-    start = _behind(text, at, at + 4)
+    start = _behind(text, at + 4)
     end, found = start, []
     while end < len(text) and len(found) < 34:
         if text[end] in DIGITS or text[end] in CAPITALS:
@@ -167,7 +169,7 @@ def _iban(text: str, at: int, floor: int) -> tuple[Span | None, int]:
 
 
 def _account(text: str, at: int, floor: int) -> tuple[Span | None, int]:
-    start = _behind(text, at, at)
+    start = _behind(text, at)
     end = start
     while end < len(text) and (text[end] in DIGITS or text[end] in CAPITALS or text[end] == "-"):
         end += 1

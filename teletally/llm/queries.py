@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from teletally.llm import bpe, fingerprints, mixing, pii, sharding
+from teletally.llm import bpe, fingerprints, mixing, order_minhash, pii, sharding
 from teletally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,12 +39,18 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_report(table(spark, folder, "documents"))
 
 
+def op9_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = order_minhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", "component_id", "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op4_sharding": op4_sharding,
     "op8_fingerprints": op8_fingerprints,
+    "op9_order_minhash": op9_order_minhash,
 }
 
 SQL: dict[str, str] = {}
