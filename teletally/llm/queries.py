@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from teletally.llm import bpe, fingerprints, mixing, order_minhash, pii, sharding
+from teletally.llm import bpe, fingerprints, mixing, order_minhash, pii, sharding, toxicity
 from teletally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op9_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "class_id", "component_id", "kept")
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_bpe": op2_bpe,
@@ -51,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op4_sharding": op4_sharding,
     "op8_fingerprints": op8_fingerprints,
     "op9_order_minhash": op9_order_minhash,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {}
