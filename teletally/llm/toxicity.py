@@ -11,7 +11,8 @@ document. A feature is kept if its log-likelihood ratio exceeds the logarithm of
 features looked at, so that chance rarely keeps one, whatever the size of the data, and the features
 kept either cover the toxic documents one after the other, each counted on those that the ones before
 it do not explain, or stand behind many different words. So what toxic documents share because they
-are copies of each other is not learnt. A text's score comes from its strongest feature.
+are copies of each other is not learnt. A text's score is a logistic function of its strongest feature
+and of the sum of the others.
 
 The classifier is fitted on at most ``TRAINING_ROWS`` labelled rows (those whose ids hash lowest); the
 character model counts every whole text.
@@ -211,7 +212,7 @@ class ToxicityModel:
 
     costs: list[float]
     weights: dict[str, float]
-    prior: float
+    scale: tuple[float, float, float]
     key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
@@ -246,23 +247,30 @@ class Scorer:
                     best = max(best, weights[joined[at : at + k] + "$"])
         return best
 
-    def logit(self, text: str) -> float:
+    def evidence(self, text: str) -> tuple[float, float]:
+        """Weight of the strongest token, and of all other distinct ones together."""
         lower = text.lower()
         known, token = self._known.get, self._token
-        best = 0.0
+        best = total = 0.0
         for word in set(lower.split()):
             weight = known(word)
             if weight is None:
                 weight = token(word)
-            if weight > best:
-                best = weight
+            if weight:
+                total += weight
+                if weight > best:
+                    best = weight
         for run in _SPACED.finditer(lower):
-            best = max(best, self._spaced(run.group()))
-        # Without any kept feature a text is less suspect than the average one.
-        return self._model.prior + (best or -3.0)
+            weight = self._spaced(run.group())
+            total += weight
+            best = max(best, weight)
+        return best, total - best
 
     def score(self, text: str) -> float:
-        return 1 / (1 + math.exp(-self.logit(text)))
+        none, strongest, others = self._model.scale
+        best, rest = self.evidence(text)
+        logit = none + strongest * best + others * rest
+        return 1 / (1 + math.exp(-max(-50.0, min(50.0, logit))))
 
 
 _scorers: dict[str, Scorer] = {}
@@ -364,7 +372,7 @@ def fit(
     totals = summary.first()
     toxic, clean = totals["toxic"] or 0, totals["clean"] or 0
     if not toxic or not clean:
-        return ToxicityModel(costs, {}, math.log((toxic + 1) / (clean + 1)))
+        return ToxicityModel(costs, {}, (math.log((toxic + 1) / (clean + 1)), 0.0, 0.0))
     least = math.log(totals["n"])
     share = F.col("toxic") / (F.col("toxic") + F.col("clean"))
     base = toxic / (toxic + clean)
@@ -393,7 +401,39 @@ def fit(
     chosen = _without_borrowed(chosen, counts)
     spread = math.log((clean + 1) / (toxic + 1))
     weights = {f: math.log((counts[f][1] + 0.5) / (counts[f][0] + 0.5)) + spread for f in chosen}
-    return ToxicityModel(costs, weights, -spread)
+    unscaled = spark.sparkContext.broadcast(ToxicityModel(costs, weights, (0.0, 0.0, 0.0)))
+
+    def evidence(batch: dict[str, list]) -> dict[str, list]:
+        scorer = _worker_scorer(unscaled)
+        found = [scorer.evidence(text) for text in batch["text"]]
+        return {"best": [f[0] for f in found], "rest": [f[1] for f in found], "toxic": batch["toxic"]}
+
+    seen = map_rows(marked, "best double, rest double, toxic int", evidence)
+    seen = seen.groupBy("best", "rest", "toxic").count().orderBy("best", "rest", "toxic").collect()
+    return ToxicityModel(costs, weights, _scaled(np.array([tuple(r) for r in seen], dtype=float)))
+
+
+def _scaled(seen: np.ndarray) -> tuple[float, float, float]:
+    """Logistic regression of the label on the evidence, by Newton's method with a small ridge.
+
+    ``seen``: rows of strongest weight, other weights, label, number of documents.
+    """
+    x = np.column_stack([np.ones(len(seen)), seen[:, :2]])
+    label, number = seen[:, 2], seen[:, 3]
+    ridge = np.diag([0.01, 0.01, 0.01])
+    found = np.zeros(3)
+    for _ in range(50):
+        chance = 1 / (1 + np.exp(-np.clip(x @ found, -50, 50)))
+        slope = x.T @ (number * (label - chance)) - ridge @ found
+        bend = (x * (number * chance * (1 - chance))[:, None]).T @ x + ridge
+        step = np.linalg.solve(bend, slope)
+        # Short steps: on separable evidence the full one would overshoot.
+        found = found + step / max(1.0, float(np.abs(step).max()))
+        if np.abs(step).max() < 1e-6:
+            break
+    return tuple(found.tolist())
+
+
 
 
 def _ratio(clean: int, toxic: int, base: float) -> float:
