@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from teletally.llm import bpe, fingerprints, mixing, order_minhash, pii, sharding, toxicity
+from teletally.llm import bpe, embedding_dedup, fingerprints, mixing, order_minhash, pii, sharding, toxicity
 from teletally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,11 +49,16 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
+def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op4_sharding": op4_sharding,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op8_fingerprints": op8_fingerprints,
     "op9_order_minhash": op9_order_minhash,
     "op10_toxicity": op10_toxicity,
