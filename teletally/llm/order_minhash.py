@@ -42,6 +42,7 @@ KEPT = 3
 # and each class is compared with many others), and classes drawn per key and round.
 SHARED_KEYS = 4
 DRAWN = 8
+ID_HASHES = 2**19
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -122,7 +123,10 @@ def sketch(found: np.ndarray) -> np.ndarray:
 
 
 def aligned_similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
-    """Aligned share of the union of two label sequences, 0.0 as soon as it must miss the threshold."""
+    """Aligned share of the union of two label sequences, 0.0 as soon as it must miss the threshold.
+
+    Of labels that collide within a sequence the first one counts.
+    """
     total = len(a) + len(b)
     if not len(a) or not len(b):
         return float(total == 0)
@@ -130,7 +134,7 @@ def aligned_similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOL
     band = total * (1 - threshold) / (1 + threshold) + 1e-9
     if abs(len(a) - len(b)) > band:
         return 0.0
-    _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    _, at_a, at_b = np.intersect1d(a, b, return_indices=True)
     near = np.abs(at_a - at_b) <= band
     at_a, at_b = at_a[near], at_b[near]
     if total - 2 * len(at_a) > band:
@@ -170,10 +174,10 @@ def _keys(text: str) -> np.ndarray:
 
 
 def _with_labels(texts: DataFrame) -> DataFrame:
-    """``rep`` and the label sequence as bytes, from ``rep``, ``text``."""
+    """``rep`` and the label sequence as bytes (32 bits a label), from ``rep``, ``text``."""
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
-        found = [labels(word_hashes(text)).tobytes() for text in batch["text"]]
+        found = [(labels(word_hashes(text)) >> np.uint64(32)).astype(np.uint32).tobytes() for text in batch["text"]]
         return {"rep": batch["rep"], "labels": found}
 
     return map_rows(texts, "rep long, labels binary", rows)
@@ -189,7 +193,7 @@ def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
             left, right = part.column("labels_a"), part.column("labels_b")
             found = [
                 aligned_similarity(
-                    np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64), threshold
+                    np.frombuffer(x.as_buffer(), dtype=np.uint32), np.frombuffer(y.as_buffer(), dtype=np.uint32), threshold
                 )
                 for x, y in zip(left, right, strict=True)
             ]
@@ -256,6 +260,10 @@ def near_duplicates(
     company = store(heads.join(in_company, "rep"), "candidates")
 
     texts = docs.select(F.col(id_column).cast("long").alias("rep"), text_or_empty(text_column).alias("text"))
+    # Most texts have no company. Filters by hashed id before the shuffle: at most ``ID_HASHES`` numbers.
+    hashed = F.pmod(F.xxhash64("rep"), F.lit(ID_HASHES).cast("long")).cast("int").alias("_hash")
+    texts = texts.withColumn("_hash", hashed)
+    texts = texts.join(F.broadcast(company.select(hashed).distinct()), "_hash", "left_semi").drop("_hash")
     texts = texts.join(company.select("rep"), "rep", "left_semi")
     labelled = store(_with_labels(texts), "labels")
     shared = store(
