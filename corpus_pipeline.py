@@ -1,18 +1,64 @@
-"""The training-data pipeline: documents to encoded ids in stages."""
+"""The training-data pipeline: documents to encoded ids in five stages.
+
+Every stage works on all rows that its predecessor kept and is written as Parquet before the next one
+reads it. All but the last return the columns of the documents table.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from teletally.llm import bpe, mixing, order_minhash, pii, toxicity
 from teletally.llm.common import table
+from teletally.llm.queries import tokenizer_path
+from teletally.storage import shared_path
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents not predicted toxic by a model learnt from the labels table."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.without_toxic(docs, model)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of exact and near copies."""
+    return order_minhash.without_near_duplicates(docs)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind; ``n_chars`` follows the text."""
+    return pii.mask(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in their target shares, rows in mixed order; small sources begin anew when they end."""
+    mixed = mixing.mix(docs, keep=tuple(docs.columns))
+    ordered = mixed.repartitionByRange("turn", "place").sortWithinPartitions("turn", "place", "doc_id")
+    return ordered.select(*docs.columns)
+
+
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether they decode to it again."""
+    return bpe.encode(docs, tokenizer_path())
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("pii", mask_personal_data),
+    ("mixing", mix_sources),
+    ("bpe", encode_texts),
+]
 
-# No stage but the mixing can be written in SQL; the tests hold run() against brute force.
+# Only the mixing could be written in SQL; the tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table, each written as Parquet and read again."""
     docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = shared_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -18,16 +18,19 @@ of pieces already encoded; texts with repeated spaces go through the pattern as
 
 from __future__ import annotations
 
+import gc
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from hashlib import sha256
 
 import ahocorasick
+import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from teletally.llm.common import map_rows, text_or_empty
+from teletally.llm.common import arrow_schema, map_rows, text_or_empty
 
 # Fixed value: how the vocabulary's tokenizer cuts a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -72,9 +75,12 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes and decodes with the tables of one vocabulary."""
+    """Encodes and decodes with the tables of one vocabulary.
 
-    def __init__(self, vocabulary: Vocabulary):
+    ``form`` makes of a piece's ids what is kept and returned for it, by default the ids themselves.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, form: Callable[[Encoder, list[int]], object] | None = None):
         self.bytes_of = dict(vocabulary.tokens)
         for text, i in vocabulary.special.items():
             self.bytes_of[i] = text.encode()
@@ -91,7 +97,8 @@ class Encoder:
             self._merged[a, b] = rank
             self._parts.setdefault(made, (rank, a, b))
         self._separates: dict[int, bool] = {}
-        self._pieces: dict[str, tuple[tuple[int, ...], bytes, bytes]] = {}
+        self._form = form or (lambda encoder, ids: tuple(ids))
+        self._pieces: dict[str, object] = {}
         self._parts_seen: dict[str, list[int]] = {}
         self._automaton = ahocorasick.Automaton()
         for i, token in vocabulary.tokens.items():
@@ -172,17 +179,17 @@ class Encoder:
                 return [text[:-1], text[-1]]
         return self._cut(text)
 
-    def _piece(self, text: str) -> tuple[tuple[int, ...], bytes, bytes]:
-        """Ids of a text without special tokens, their decimal form and their bytes."""
+    def _piece(self, text: str) -> object:
+        """The form of a text without special tokens."""
         ids: list[int] = []
         for part in self._cut_piece(text):
             ids += self._part(part)
-        found = tuple(ids), ",".join(map(str, ids)).encode(), b"".join([self.bytes_of[i] for i in ids])
+        found = self._form(self, ids)
         if len(self._pieces) < PIECES and len(text) <= 64:
             self._pieces[text] = found
         return found
 
-    def _encoded(self, text: str) -> list[tuple[tuple[int, ...], bytes, bytes]]:
+    def _encoded(self, text: str) -> list[object]:
         known, piece = self._pieces.get, self._piece
         if "  " in text:
             return [known(part) or piece(part) for part in self._cut(text)]
@@ -190,36 +197,44 @@ class Encoder:
         found = [known(part) or piece(part) for part in [" " + p for p in parts[1:]]]
         return [piece(parts[0]), *found] if parts[0] else found
 
-    def pieces(self, text: str) -> list[tuple[tuple[int, ...], bytes, bytes]]:
-        """Encoded pieces of a whole text; special tokens in it keep their own ids."""
-        if self._at_special is None or not self._at_special.search(text):
+    def pieces(self, text: str, specials: bool = True) -> list[object]:
+        """Forms of the pieces of a whole text; with ``specials``, special tokens in it keep their own ids."""
+        if not specials or self._at_special is None or not self._at_special.search(text):
             return self._encoded(text)
         found = []
         for part in self._at_special.split(text):
             if part in self._special:
-                i = self._special[part]
-                found.append(((i,), str(i).encode(), self.bytes_of[i]))
+                found.append(self._form(self, [self._special[part]]))
             elif part:
                 found += self._encoded(part)
         return found
 
-    def encode(self, text: str) -> list[int]:
-        return [i for ids, _, _ in self.pieces(text) for i in ids]
+    def encode(self, text: str, specials: bool = True) -> list[int]:
+        """Ids of a whole text, for an encoder whose form is the ids."""
+        return [i for ids in self.pieces(text, specials) for i in ids]
 
     def decode(self, ids: Sequence[int]) -> str:
         """Text of the ids; bytes that are no UTF-8 become replacement characters."""
         return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
 
 
-_encoders: dict[int, Encoder] = {}
+def digest_form(encoder: Encoder, ids: list[int]) -> tuple[int, bytes, bytes]:
+    """Number of ids, their decimal form, the bytes they decode to."""
+    return len(ids), ",".join(map(str, ids)).encode(), b"".join([encoder.bytes_of[i] for i in ids])
+
 
+_encoders: dict[tuple, Encoder] = {}
 
-def worker_encoder(shared) -> Encoder:
+
+def worker_encoder(shared, form: Callable[[Encoder, list[int]], object] | None = None) -> Encoder:
     """The encoder of a broadcast vocabulary, built once per worker process."""
-    if shared.value.key not in _encoders:
+    key = shared.value.key, form and form.__qualname__
+    if key not in _encoders:
         _encoders.clear()
-        _encoders[shared.value.key] = Encoder(shared.value)
-    return _encoders[shared.value.key]
+        _encoders[key] = Encoder(shared.value, form)
+        # The tables live as long as the worker and hold no cycles.
+        gc.freeze()
+    return _encoders[key]
 
 
 def broadcast_vocabulary(spark: SparkSession, path: str):
@@ -229,19 +244,39 @@ def broadcast_vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(vocabulary)
 
 
+def ids_form(encoder: Encoder, ids: list[int]) -> tuple[bytes, bytes]:
+    """The ids in 32 bits each, and the bytes they decode to."""
+    return np.array(ids, dtype="<i4").tobytes(), b"".join([encoder.bytes_of[i] for i in ids])
+
+
 def encode(docs: DataFrame, path: str, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Ids of every whole text: ``doc_id``, ``ids`` (array of int).
+    """Ids of every whole text: ``doc_id``, ``n_tokens``, ``ids`` (array of int), ``round_trip``.
 
-    One row per input row, repeated rows and ids included. A null text counts as empty and has no
-    ids; an empty table gives an empty result; other columns are ignored, so their names may clash.
+    ``round_trip``: whether the ids decode to the text again. One row per input row, repeated rows and ids
+    included. A null text counts as empty and has no ids; an empty table gives an empty result; other
+    columns are ignored, so their names may clash.
     """
     shared = broadcast_vocabulary(docs.sparkSession, path)
-
-    def rows(batch: dict[str, list]) -> dict[str, list]:
-        encoder = worker_encoder(shared)
-        return {"doc_id": batch["doc_id"], "ids": [encoder.encode(text) for text in batch["text"]]}
-
-    return map_rows(_named(docs, id_column, text_column), "doc_id long, ids array<int>", rows)
+    schema = "doc_id long, n_tokens long, ids array<int>, round_trip boolean"
+    target = arrow_schema(schema)
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = worker_encoder(shared, ids_form)
+        for part in parts:
+            texts = part.column(1).to_pylist()
+            packed, same = [], []
+            for text in texts:
+                pieces = encoder.pieces(text)
+                packed.append(b"".join([p[0] for p in pieces]))
+                same.append(b"".join([p[1] for p in pieces]).decode("utf-8", "replace") == text)
+            counts = np.array([len(p) // 4 for p in packed], dtype=np.int64)
+            ends = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+            ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(packed), dtype="<i4")))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(counts), ids.cast(target.field("ids").type), pa.array(same)], schema=target
+            )
+
+    return _named(docs, id_column, text_column).mapInArrow(batches, schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -264,11 +299,11 @@ def digests(docs: DataFrame, path: str, *, id_column: str = "doc_id", text_colum
     shared = broadcast_vocabulary(docs.sparkSession, path)
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
-        encoder = worker_encoder(shared)
+        encoder = worker_encoder(shared, digest_form)
         counts, ids, texts = [], [], []
         for text in batch["text"]:
             pieces = encoder.pieces(text)
-            counts.append(sum([len(p[0]) for p in pieces]))
+            counts.append(sum([p[0] for p in pieces]))
             ids.append(sha256(b",".join([p[1] for p in pieces])).hexdigest())
             decoded = b"".join([p[2] for p in pieces]).decode("utf-8", "replace")
             texts.append(sha256(decoded.encode()).hexdigest())

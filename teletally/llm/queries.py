@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from teletally.llm import bpe, embedding_dedup, fingerprints, language_model, mixing, order_minhash, pii, sharding, toxicity
+from teletally.llm import bpe, embedding_dedup, fingerprints, language_model, mixing, order_minhash, pii, sharding, token_counts, toxicity
 from teletally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,12 +57,17 @@ def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score_documents(table(spark, folder, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.document_token_counts(table(spark, folder, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op4_sharding": op4_sharding,
     "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_token_counts": op6_token_counts,
     "op7_language_model": op7_language_model,
     "op8_fingerprints": op8_fingerprints,
     "op9_order_minhash": op9_order_minhash,
