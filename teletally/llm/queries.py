@@ -74,4 +74,78 @@ QUERIES: dict[str, Query] = {
     "op10_toxicity": op10_toxicity,
 }
 
-SQL: dict[str, str] = {}
+# The schedule of one period, turn by turn: counts of turns so far per source, and the source that takes
+# the turn, among released blocks the one due first.
+MIXING_SQL = """
+WITH RECURSIVE docs AS (
+    SELECT doc_id, source, strlen(coalesce(text, '')) AS bytes,
+        CASE WHEN source IS NULL THEN 'null' ELSE '=' || source END AS key,
+        CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 2) AS INTEGER) AS bucket
+    FROM documents),
+sources AS (SELECT key, CAST(sum(bytes) AS BIGINT) AS total FROM docs GROUP BY key),
+shares AS (
+    SELECT key, greatest(1, (total + 16383) // 16384) AS blocks, greatest(1000, 16 * count(*) OVER ()) AS period,
+        (greatest(1000, 16 * count(*) OVER ()) - count(*) OVER ()) * power(greatest(total, 1), 0.9)
+            / sum(power(greatest(total, 1), 0.9)) OVER (ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+            AS exact
+    FROM sources),
+weights AS (
+    SELECT key, blocks, period, 1 + CAST(floor(exact) AS BIGINT)
+        + CASE WHEN row_number() OVER (ORDER BY floor(exact) - exact, key)
+            <= period - sum(1 + CAST(floor(exact) AS BIGINT)) OVER () THEN 1 ELSE 0 END AS w
+    FROM shares),
+lists AS (SELECT list(w ORDER BY key) AS w, list(key ORDER BY key) AS keys, any_value(period) AS period FROM weights),
+schedule AS (
+    SELECT CAST(-1 AS BIGINT) AS turn, [CAST(0 AS BIGINT) FOR x IN w] AS used, CAST(0 AS BIGINT) AS pick FROM lists
+    UNION ALL
+    SELECT turn + 1, list_transform(used, lambda x, i: x + CASE WHEN i = next THEN 1 ELSE 0 END), next
+    FROM (
+        SELECT turn, used, list_min(list_transform(range(1, len(w) + 1), lambda i: CASE
+            WHEN used[i] < w[i] AND used[i] * period // w[i] <= turn + 1
+            THEN ((used[i] + 1) * period + w[i] - 1) // w[i] * 1000000 + i END)) % 1000000 AS next
+        FROM schedule, lists WHERE turn + 1 < period)),
+turns AS (SELECT keys[pick] AS key, used[pick] - 1 AS index, turn FROM schedule, lists WHERE pick > 0),
+run AS (
+    SELECT max(period * ((blocks - 1) // w) + turn + 1) AS turns
+    FROM weights JOIN turns ON turns.key = weights.key AND turns.index = (blocks - 1) % w),
+starts AS (
+    SELECT *, CAST(sum(bytes) OVER (PARTITION BY key ORDER BY bucket, doc_id, bytes
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - bytes AS start FROM docs),
+placed AS (
+    SELECT doc_id, source, bytes, starts.key, start, least(start // 16384, blocks - 1) AS block, blocks, w, period, run.turns AS run
+    FROM starts JOIN weights ON weights.key = starts.key, run),
+repeated AS (
+    SELECT *, unnest(range(0, (run // period + 1) * w // blocks + 1)) AS epoch FROM placed)
+SELECT doc_id, source, bytes, CAST(block AS BIGINT) AS block, CAST(epoch AS BIGINT) AS epoch,
+    CAST((epoch * blocks + block) // w * period + turns.turn AS BIGINT) AS turn,
+    CAST(start - block * 16384 AS BIGINT) AS place
+FROM repeated JOIN turns ON turns.key = repeated.key AND turns.index = (epoch * blocks + block) % w
+WHERE (epoch * blocks + block) // w * period + turns.turn < run
+"""
+
+EMBEDDING_SQL = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reached AS (
+    SELECT vec_id, vec_id AS other FROM embeddings
+    UNION
+    SELECT reached.vec_id, links.b FROM reached JOIN links ON reached.other = links.a),
+components AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id),
+degrees AS (SELECT a AS vec_id, count(DISTINCT b) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(d.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN components c ON c.vec_id = e.vec_id LEFT JOIN degrees d ON d.vec_id = e.vec_id
+"""
+
+# The others rest on hashes, checksums, merges or models that SQL does not have; tests hold them against
+# brute force.
+SQL: dict[str, str] = {
+    "op3_mixing": MIXING_SQL,
+    "op5_embedding_dedup": EMBEDDING_SQL,
+}
