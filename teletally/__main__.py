@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 import os
 
+from pyspark.sql import types as T
+
 from teletally.plans.job import build_profile, consolidate
 from teletally.session import build_session
 from teletally.sinks import export_names, write_csv, write_jdbc, write_parquet
@@ -24,6 +26,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", choices=("csv", "parquet", "jdbc"), default="csv")
     parser.add_argument("--mode", choices=("overwrite", "append", "errorifexists"), default="overwrite")
     parser.add_argument("--files", type=int, help="number of CSV files; only for small results")
+    parser.add_argument("--duration", default="bigint", help="type of the durations, such as decimal(18,2)")
+    parser.add_argument("--fail-on-broken", action="store_true", help="fail on a line that is no JSON")
     parser.add_argument("--drop-unknown-contract", action="store_true")
     parser.add_argument("--dedup", action="store_true")
     parser.add_argument(
@@ -39,13 +43,15 @@ def main(argv: list[str] | None = None) -> None:
         parser.error("--format jdbc needs --jdbc-url and --jdbc-driver")
 
     spark = build_session("teletally")
+    kind = T.StructType.fromDDL(f"duration {args.duration}")["duration"].dataType
+    reading = {"layout": args.layout, "duration": kind, "fail_on_broken": args.fail_on_broken}
     if args.consolidate:
-        consolidate(spark, args.log, args.output, args.start, args.end, layout=args.layout)
+        consolidate(spark, args.log, args.output, args.start, args.end, **reading)
         return
     if args.consolidated:
         log = read_parquet_log(spark, args.log, args.start, args.end)
     else:
-        log = read_log(spark, args.log, args.start, args.end, layout=args.layout)
+        log = read_log(spark, args.log, args.start, args.end, **reading)
     profile = build_profile(
         log,
         args.start,

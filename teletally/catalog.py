@@ -20,7 +20,7 @@ from teletally.plans import metrics, profiles, segments
 from teletally.plans.sessions import sessions
 from teletally.schema import profile_schema
 from teletally.sinks import export_names, write_csv, write_daily_log, write_parquet
-from teletally.sources import read_csv, read_log, read_parquet_log
+from teletally.sources import read_csv, read_log, read_parquet_log, read_whole_log
 from teletally.sources.adapters import EVENTS, ORDERS, ORDERS_PAIRED, SCALE, TableLog, in_units
 from teletally.storage import shared_path, store, store_by_contract
 from teletally.streaming import run_daily_totals, stored_daily_totals
@@ -84,14 +84,20 @@ ROW_QUERIES: dict[str, Query] = {
     "filter_contract": _log(EVENTS, lambda log, raw: filters.known_contracts(raw).select("session_id")),
     "filter_mapped": _log(
         EVENTS,
-        lambda log, raw: filters.mapped(sessions(raw, log.codes, keep_unmapped=True)).select("session_id", "category"),
+        lambda log, raw: filters.mapped(sessions(raw, log.codes, keep_unmapped=True), log.codes).select(
+            "session_id", "category"
+        ),
     ),
-    "category_slice": _sessions(
-        EVENTS, lambda log, rows: filters.category_slice(rows, "TV").select("session_id", "contract", "duration")
-    ),
-    "contract_lookup": _sessions(
+    "category_slice": _log(
         EVENTS,
-        lambda log, rows: filters.of_contract(rows, "7").select("session_id", *filters.session_columns(rows).columns),
+        lambda log, raw: filters.category_slice(sessions(raw, log.codes, keep_unmapped=True), "TV", log.codes).select(
+            "session_id", "contract", "duration"
+        ),
+    ),
+    "contract_lookup": lambda spark, folder: in_units(
+        sessions(EVENTS.read(spark, folder, contract="7"), EVENTS.codes).select(
+            "session_id", "contract", "category", "duration", "log_date"
+        )
     ),
     "union_days": lambda spark, folder: in_units(filters.union_days(*_halves(EVENTS, spark, folder))),
     "sort_contract": _sessions(
@@ -107,14 +113,14 @@ ROW_QUERIES: dict[str, Query] = {
 
 
 def _merged(log: TableLog) -> Query:
-    """Daily pivots of an earlier and a later part of the period, merged."""
+    """Stored pivots of an earlier and a later part of the period, merged."""
     return lambda spark, folder: in_units(
-        pivots.merge_partials(*[pivots.pivot_by_day(part) for part in _halves(log, spark, folder)])
+        pivots.merge_partials(*[store(pivots.pivot(part), "partial-pivot") for part in _halves(log, spark, folder)])
     )
 
 
 def _joined_pivot(log: TableLog, rows: DataFrame) -> DataFrame:
-    return pivots.pivot_by_join(store(aggregates.category_totals(rows), "category-totals", ["category"]))
+    return pivots.pivot_by_join(store_by_contract(aggregates.category_totals(rows), "category-totals"))
 
 
 def _flag_any(log: TableLog, rows: DataFrame) -> DataFrame:
@@ -251,7 +257,7 @@ def _write_log(spark: SparkSession, folder: str) -> str:
 
 def _scan_json(spark: SparkSession, folder: str) -> DataFrame:
     root = _write_log(spark, folder)
-    return in_units(read_log(spark, root, EVENTS.start, EVENTS.end, layout="folder"))
+    return in_units(read_whole_log(spark, root, layout="folder"))
 
 
 def _scan_json_range(spark: SparkSession, folder: str) -> DataFrame:
@@ -261,7 +267,7 @@ def _scan_json_range(spark: SparkSession, folder: str) -> DataFrame:
 def _consolidate(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_path(spark, "consolidated")
     write_parquet(EVENTS.read(spark, folder), out, rebalance=True, sort=True)
-    return in_units(read_parquet_log(spark, out, EVENTS.start, EVENTS.end))
+    return in_units(read_parquet_log(spark, out))
 
 
 def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:

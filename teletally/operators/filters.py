@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from teletally.functions.categories import has_category
 from teletally.functions.dates import parse_day
-from teletally.schema import ERROR, UNKNOWN_CONTRACT
+from teletally.schema import ERROR, UNKNOWN_CONTRACT, CategoryCodes
 
 
 def known_contracts(df: DataFrame) -> DataFrame:
@@ -17,13 +18,20 @@ def known_contracts(df: DataFrame) -> DataFrame:
     return df.where(F.col("contract") != UNKNOWN_CONTRACT)
 
 
-def mapped(df: DataFrame) -> DataFrame:
-    """Rows whose app code has a category."""
+def mapped(df: DataFrame, codes: CategoryCodes | None = None) -> DataFrame:
+    """Rows whose app code has a category.
+
+    With ``codes`` the test is made on the stored app code, so that the scan can skip row groups.
+    """
+    if codes is not None:
+        return df.where(has_category(F.col("app_name"), codes))
     return df.where(F.col("category") != ERROR)
 
 
-def category_slice(df: DataFrame, category: str) -> DataFrame:
-    """Rows of one category."""
+def category_slice(df: DataFrame, category: str, codes: CategoryCodes | None = None) -> DataFrame:
+    """Rows of one category; with ``codes`` tested on the stored app code as well, as in ``mapped``."""
+    if codes is not None:
+        df = df.where(F.col("app_name").isin(*codes.get(category, ())))
     return df.where(F.col("category") == category)
 
 

@@ -57,15 +57,19 @@ def merge_partials(*partials: DataFrame) -> DataFrame:
 
 
 def pivot_by_join(category_totals: DataFrame) -> DataFrame:
-    """The contract-grain pivot as a chain of full outer joins over category slices.
+    """The contract-grain pivot as a chain of joins over category slices.
 
     ``category_totals`` is already one row per (contract, category), so a join never meets
-    two rows of one contract and nothing is counted twice. It is read once per category:
-    hand in a stored table, best partitioned by category. ``pivot`` gives the same result
-    with a single shuffle; this form is for slices that already exist as tables.
+    two rows of one contract and nothing is counted twice. Every slice is joined to the list
+    of all contracts, not to the slices before it: a left join keeps the partitioning that a
+    full outer one loses, so a table stored by contract is never shuffled. A join does not
+    match rows without a contract; they are one row, summed by itself. ``pivot`` gives the
+    same result with a single shuffle; this form is for slices that already exist as tables.
     """
+    known = category_totals.where(F.col("contract").isNotNull())
     slices = [
-        category_slice(category_totals, c).select("contract", F.col("total").alias(duration_column(c)))
-        for c in CATEGORIES
+        category_slice(known, c).select("contract", F.col("total").alias(duration_column(c))) for c in CATEGORIES
     ]
-    return reduce(lambda a, b: a.join(b, "contract", "full_outer"), slices)
+    joined = reduce(lambda a, b: a.join(b, "contract", "left"), slices, known.select("contract").distinct())
+    unknown = category_totals.where(F.col("contract").isNull()).withColumnRenamed("total", "duration")
+    return joined.unionByName(pivot(unknown))

@@ -110,7 +110,7 @@ def _profile(log: LogSql) -> str:
     return f"""{PIVOT}, {_most_watch("tot", "t")}, {ACTIVE},
 prof AS (SELECT piv.*, most_watch, {_taste()} AS customer_taste, active_days,
        active_days / {log.days} AS active_rate
-  FROM piv LEFT JOIN mw USING (contract) LEFT JOIN act USING (contract))"""
+  FROM piv LEFT JOIN mw USING (contract) LEFT JOIN act USING (contract) WHERE contract IS NOT NULL)"""
 
 
 def _groups(log: LogSql) -> str:
@@ -129,13 +129,14 @@ def _log_queries(log: LogSql) -> dict[str, str]:
     """Queries that run on both logs. A value is the part after the common CTEs."""
     flagged = f"SELECT contract, log_date, {FLAG_ANY} AS is_active FROM day_piv"
     contract_total = "ct AS (SELECT contract, SUM(duration) AS total FROM log GROUP BY contract)"
-    level = "CASE WHEN {t} >= {high} THEN 'high' WHEN {t} >= {low} THEN 'normal' ELSE 'low' END AS engagement_type"
+    level = """CASE WHEN {t} >= {high} THEN 'high' WHEN {t} >= {low} THEN 'normal' WHEN {t} < {low} THEN 'low' END
+            AS engagement_type"""
     by_amount = level.format(t="total", high=log.high_min, low=log.low_max)
     by_quantile = level.format(t="CAST(total AS DOUBLE)", high="hi", low="lo")
     profile, groups = _profile(log), _groups(log)
     pivot_rows = f"{PIVOT} SELECT * FROM piv"
     daily = f"""{profile}, {DAY_PIVOT} SELECT day_piv.*, most_watch, customer_taste, active_days, active_rate
-            FROM day_piv LEFT JOIN prof USING (contract)"""
+            FROM day_piv JOIN prof USING (contract)"""
     return {
         "sum_contract_category": """x AS (SELECT 1) SELECT contract, category,
             CAST(t AS DECIMAL(18,2)) AS total FROM tot""",

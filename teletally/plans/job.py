@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from teletally.functions.dates import days_between, parse_day
 from teletally.operators.filters import session_columns
 from teletally.plans import profiles
 from teletally.plans.sessions import sessions
@@ -60,10 +61,13 @@ def run(
     end: str | dt.date,
     *,
     layout: str = "file",
+    duration: T.DataType | None = None,
+    fail_on_broken: bool = False,
     **options,
 ) -> DataFrame:
-    """``build_profile`` over the daily JSON log in ``root``."""
-    return build_profile(read_log(spark, root, start, end, layout=layout), start, end, **options)
+    """``build_profile`` over the daily JSON log in ``root``, with durations of a chosen type."""
+    log = read_log(spark, root, start, end, layout=layout, duration=duration, fail_on_broken=fail_on_broken)
+    return build_profile(log, start, end, **options)
 
 
 def consolidate(
@@ -75,12 +79,15 @@ def consolidate(
     *,
     layout: str = "file",
     duration: T.DataType | None = None,
+    fail_on_broken: bool = False,
 ) -> None:
-    """Daily JSON files to one Parquet table by day, replacing only the days read.
+    """Daily JSON files to one Parquet table by day, replacing the days of the period.
 
-    Later runs read the columns they need of the days they need. Every input split belongs to
-    one day, so the rows are written where they are read, without a shuffle, and sorted by
-    contract within each file.
+    Later runs read the columns they need of the days they need. Rows are written where they
+    are read, without a shuffle, and sorted by contract within each file; a task that read
+    small files of several days writes one file for each. A day without rows is emptied.
     """
-    log = read_log(spark, root, start, end, layout=layout, duration=duration)
-    write_parquet(log, out, replace_days=True, sort=True)
+    log = read_log(spark, root, start, end, layout=layout, duration=duration, fail_on_broken=fail_on_broken)
+    first = parse_day(start)
+    days = [first + dt.timedelta(days=i) for i in range(days_between(start, end))]
+    write_parquet(log, out, replace_days=True, days=days, sort=True)

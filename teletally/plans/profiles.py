@@ -85,14 +85,16 @@ def customer_profile(
     return profile.select("contract", *DURATION_COLUMNS, *METRICS, *(["n_sessions"] if with_size else []))
 
 
-def customer_profile_joined(sessions: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
+def customer_profile_joined(
+    sessions: DataFrame, start: str | dt.date, end: str | dt.date, *, drop_null_contract: bool = True
+) -> DataFrame:
     """The same rows composed from the separate metrics by left joins.
 
     ``sessions`` is read once per metric: hand in stored daily totals, whose sums are the
     log's (``as_sessions``).
     """
     known = sessions.where(F.col("contract").isNotNull())
-    wide = pivot(known)
+    wide = pivot(known if drop_null_contract else sessions)
     joined = attach(
         wide,
         metrics.most_watched(known),
@@ -131,11 +133,15 @@ def daily_profile(
     return profile.select("contract", "log_date", "day.*", *METRICS)
 
 
-def daily_profile_joined(sessions: DataFrame, contract_metrics: DataFrame) -> DataFrame:
+def daily_profile_joined(
+    sessions: DataFrame, contract_metrics: DataFrame, *, drop_null_contract: bool = True
+) -> DataFrame:
     """The same rows by left joins of the metrics to the daily pivot.
 
     ``contract_metrics`` has one row per contract, so no day is repeated.
     """
+    if drop_null_contract:
+        sessions = sessions.where(F.col("contract").isNotNull())
     most_watch = contract_metrics.select("contract", "most_watch")
     tastes = contract_metrics.select("contract", "customer_taste")
     active = contract_metrics.select("contract", "active_days", "active_rate")

@@ -63,13 +63,16 @@ def duration_column(category: str) -> str:
 DURATION_COLUMNS = tuple(duration_column(c) for c in CATEGORIES)
 
 
-def raw_log_schema(duration: T.DataType | None = None) -> T.StructType:
-    """Schema of one raw JSON line; only the three payload fields in use are parsed."""
+def raw_log_schema() -> T.StructType:
+    """Schema of one raw JSON line; only the three payload fields in use are parsed.
+
+    The duration is read as text: a declared number would turn what does not fit into NULL.
+    """
     payload = T.StructType(
         [
             T.StructField("Contract", T.StringType()),
             T.StructField("AppName", T.StringType()),
-            T.StructField("TotalDuration", duration or T.LongType()),
+            T.StructField("TotalDuration", T.StringType()),
         ]
     )
     return T.StructType([T.StructField("_source", payload)])

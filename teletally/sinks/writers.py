@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from teletally.functions.categories import export_label
 from teletally.schema import EXPORT_NAMES
+from teletally.storage import delete, file_names
 
 
 def export_names(df: DataFrame, *, local_labels: bool = False) -> DataFrame:
@@ -19,15 +22,29 @@ def export_names(df: DataFrame, *, local_labels: bool = False) -> DataFrame:
     return df.withColumnsRenamed({old: new for old, new in EXPORT_NAMES.items() if old in df.columns})
 
 
-def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite", files: int | None = None) -> None:
-    """CSV with a header row.
+def write_csv(
+    df: DataFrame, path: str, *, mode: str = "overwrite", files: int | None = None, line_breaks: bool = False
+) -> None:
+    """CSV with a header row; blanks around a value are kept.
 
     ``files=1`` gives a single file, but then one task writes the whole result; leave it out
-    for anything that is not known to be small.
+    for anything that is not known to be small. A line break in a value fails the job, since
+    readers that split files would cut the row there; ``line_breaks`` lets it through, for
+    readers told of it (``read_csv``).
     """
+    if not line_breaks:
+        texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+        df = df.withColumns({c: _one_line(F.col(f"`{c}`"), c) for c in texts})
     if files is not None:
         df = df.repartition(files)
-    df.write.mode(mode).csv(path, header=True)
+    df.write.mode(mode).csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+
+
+def _one_line(text: Column, name: str) -> Column:
+    broken = text.contains("\n") | text.contains("\r")
+    return F.when(broken, F.raise_error(F.lit(f"line break in column {name}")).cast("string")).otherwise(text)
 
 
 def write_parquet(
@@ -38,6 +55,7 @@ def write_parquet(
     by_day: bool = True,
     rebalance: bool = False,
     replace_days: bool = False,
+    days: Sequence[dt.date] = (),
     sort: bool = False,
 ) -> None:
     """Parquet, by default in one folder per ``log_date``.
@@ -45,7 +63,8 @@ def write_parquet(
     ``rebalance`` brings a day's rows together first, so that tasks holding many days do not
     each write a small file into every folder; AQE then splits a day that is too large for
     one task and merges small ones. Rows scanned from one file per day need no such shuffle.
-    ``replace_days`` swaps only the days present in ``df`` and leaves the others alone.
+    ``replace_days`` swaps only the days present in ``df`` and leaves the others alone; of
+    ``days``, the days that ``df`` was read from, those without rows are emptied too.
     ``sort`` orders each task's rows by contract, so that a look-up of one contract skips most
     row groups by their statistics.
     """
@@ -58,7 +77,14 @@ def write_parquet(
         writer = writer.partitionBy("log_date")
     if replace_days:
         writer = writer.option("partitionOverwriteMode", "dynamic")
+    spark = df.sparkSession
+    folders = [f"{path.rstrip('/')}/log_date={day.isoformat()}" for day in days] if replace_days and by_day else []
+    before = {folder: file_names(spark, folder) for folder in folders}
     writer.parquet(path)
+    for folder, names in before.items():
+        # Rows of a day come in new files; a day that kept its old ones got none.
+        if names and file_names(spark, folder) == names:
+            delete(spark, folder)
 
 
 def write_jdbc(
@@ -77,7 +103,8 @@ def write_jdbc(
     Connection details come from the caller. ``connections`` limits the parallel writers to
     what the database can take; with ``truncate`` the table keeps its definition and grants.
     The partitions commit one by one, so a failed job can leave part of the rows behind: run
-    it again, or write to a staging table where readers must not see that.
+    it again, or write to a staging table where readers must not see that. The rows are dealt
+    out to the writers by a shuffle, so that the stage which computes them keeps its width.
     """
     options = {
         "numPartitions": str(connections),
@@ -85,7 +112,7 @@ def write_jdbc(
         "truncate": str(truncate).lower(),
         **properties,
     }
-    df.write.jdbc(url, table, mode=mode, properties=options)
+    df.repartition(connections).write.jdbc(url, table, mode=mode, properties=options)
 
 
 def write_daily_log(log: DataFrame, root: str, *, mode: str = "overwrite") -> None:

@@ -45,17 +45,23 @@ class TableLog:
         folder: str,
         start: dt.date | None = None,
         end: dt.date | None = None,
+        contract: str | None = None,
     ) -> DataFrame:
-        """Log rows of the whole table, or of an inclusive date range.
+        """Log rows of the whole table, of an inclusive date range, or of one contract.
 
-        The range is tested on the stored time, not on the date derived from it, so that the
-        scan can skip row groups.
+        Range and contract are tested on the stored columns, not on what is derived from them, so
+        that the scan can skip row groups.
         """
         rows = spark.read.parquet(f"{folder}/{self.table}.parquet")
         if start is not None:
             rows = rows.where(F.col(self.time) >= _midnight(start))
         if end is not None:
             rows = rows.where(F.col(self.time) < _midnight(end + dt.timedelta(days=1)))
+        if contract is not None:
+            stored = F.col(self.contract)
+            wanted = F.lit(contract).try_cast(rows.schema[self.contract].dataType)
+            # Other spellings of a number are other contracts.
+            rows = rows.where((stored == wanted) & (stored.cast("string") == contract))
         return rows.select(
             F.col(self.key).alias("session_id"),
             F.col(self.contract).cast("string").alias("contract"),

@@ -12,20 +12,34 @@ from pyspark.sql import types as T
 from teletally.functions.dates import parse_day
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, *, line_breaks: bool = False) -> DataFrame:
     """CSV with a header row and a declared schema; the header is checked against it.
 
     An unquoted empty field is NULL and a quoted one an empty string, as the writer puts them;
-    the null marker only keeps Spark from reading both as NULL.
+    the null marker only keeps Spark from reading both as NULL. Blanks around a value belong to
+    it. ``line_breaks``: values may hold line breaks; a file is then read by one task.
     """
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False, nullValue="\0")
+    return spark.read.schema(schema).csv(
+        path,
+        header=True,
+        enforceSchema=False,
+        nullValue="\0",
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+        multiLine=line_breaks,
+    )
 
 
 def read_parquet_log(
-    spark: SparkSession, path: str, start: str | dt.date, end: str | dt.date
+    spark: SparkSession, path: str, start: str | dt.date | None = None, end: str | dt.date | None = None
 ) -> DataFrame:
-    """Consolidated log of an inclusive date range; other ``log_date`` partitions are pruned."""
+    """Consolidated log, whole or of an inclusive date range; other ``log_date`` partitions are pruned."""
     log = spark.read.parquet(path)
+    if start is None and end is None:
+        return log
+    if start is None or end is None:
+        raise ValueError("a period has a start and an end")
     return log.where(F.col("log_date").between(F.lit(parse_day(start)), F.lit(parse_day(end))))
 
 

@@ -2,30 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_base: str | None = None
+# What this process stored and has not dropped: path to table name, if it is a table.
+_stored: dict[str, str | None] = {}
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under ``spark.checkpoint.dir``.
 
-    Only a local session may run without the setting (as in tests); on a cluster a
-    machine-local folder would be lost together with its executor, so that is refused.
+    Where that is not set, a folder in the session's warehouse, which executors share as well:
+    a machine-local folder would be lost together with its executor.
     """
-    global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        if _local_base is None:
-            _local_base = tempfile.mkdtemp(prefix="teletally-")
-        base = _local_base
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediates"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _stored[path] = None
+    return path
 
 
 def store(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -52,4 +49,39 @@ def store_by_contract(df: DataFrame, name: str, buckets: int | None = None) -> D
     table = path.rsplit("/", 1)[1].replace("-", "_")
     bucketed = df.repartition(count, "contract").write.bucketBy(count, "contract").sortBy("contract")
     bucketed.option("path", path).saveAsTable(table)
+    _stored[path] = table
     return spark.table(table)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Drop all that this process stored, tables included; results that read it must be done with."""
+    for path, table in list(_stored.items()):
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        delete(spark, path)
+        del _stored[path]
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def file_names(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the files in a folder of any file system; none if there is no such folder."""
+    files, place = _file_system(spark, folder)
+    return {found.getPath().getName() for found in files.listStatus(place)} if files.exists(place) else set()
+
+
+def empty_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the files without content that a path pattern finds; Spark's readers pass over them."""
+    files, place = _file_system(spark, pattern)
+    found = files.globStatus(place) or []
+    return [f.getPath().toString() for f in found if f.isFile() and f.getLen() == 0]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system, if it is there."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)

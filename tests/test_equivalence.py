@@ -30,14 +30,15 @@ def random_rows(spark, seed, durations):
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("durations", [[None, 0, 1, 2, 3600], [None, -4, -1, 0, 1, 4]], ids=["usual", "negative"])
 def test_forms_agree(spark, seed, durations):
-    everything = random_rows(spark, seed, durations).cache()
-    rows = everything.where("contract IS NOT NULL")
+    everything = rows = random_rows(spark, seed, durations).cache()
+    known = rows.where("contract IS NOT NULL")
 
     wide = rows_set(pivots.pivot(rows))
     totals = aggregates.category_totals(rows)
     assert rows_set(pivots.pivot_by_join(totals), "contract", *DURATION_COLUMNS) == wide
-    parts = [pivots.pivot_by_day(rows.where(f"log_date {test} DATE'2022-04-01'")) for test in ("<", ">=")]
-    assert rows_set(pivots.merge_partials(*parts)) == wide
+    for partial in (pivots.pivot_by_day, pivots.pivot):
+        parts = [partial(rows.where(f"log_date {test} DATE'2022-04-01'")) for test in ("<", ">=")]
+        assert rows_set(pivots.merge_partials(*parts)) == wide
 
     ranked = {
         "total": (totals, "total"),
@@ -58,8 +59,14 @@ def test_forms_agree(spark, seed, durations):
         by_any = metrics.activeness_from_pivot(rows, *PERIOD)
         assert rows_set(by_any) == rows_set(metrics.activeness(rows, *PERIOD))
 
-    daily = profiles.daily_profile(everything, *PERIOD, drop_null_contract=False)
-    assert rows_set(daily) == rows_set(profiles.daily_profile_joined(everything, profile))
+    whole = profiles.customer_profile(everything, *PERIOD, drop_null_contract=False)
+    joined = profiles.customer_profile_joined(everything, *PERIOD, drop_null_contract=False)
+    assert rows_set(whole) == rows_set(joined)
+    for drop in (True, False):
+        daily = profiles.daily_profile(everything, *PERIOD, drop_null_contract=drop)
+        other = profiles.daily_profile_joined(everything, profile, drop_null_contract=drop)
+        assert rows_set(daily) == rows_set(other)
+    assert profiles.daily_profile(known, *PERIOD).count() == profiles.daily_profile(everything, *PERIOD).count()
 
     plain = joins.attach(everything, profile.select("contract", *profiles.METRICS))
     split = profiles.session_profile(everything, profile, split_rows=5)

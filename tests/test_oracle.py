@@ -4,12 +4,12 @@ import os
 
 import pytest
 
-import __spark_entry__ as spark_entry
+from teletally import catalog, oracle
 from tests.compare import duck, duck_rows, duck_types, spark_rows, spark_types
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = spark_entry.queries()
-SQL = spark_entry.oracle_sql()
+QUERIES = catalog.all_queries()
+SQL = oracle.all_sql()
 
 
 def test_every_query_has_sql():

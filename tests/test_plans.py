@@ -4,10 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as spark_entry
+from teletally import catalog
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = spark_entry.queries()
+QUERIES = catalog.all_queries()
 
 
 def plan(spark, key):
@@ -35,6 +35,10 @@ def shuffles(text):
         ("incremental_profile", 2),
         ("customer_profile_join", 0),
         ("daily_profile_join", 0),
+        ("merge_partials", 1),
+        ("merge_partials_orders", 1),
+        ("pivot_by_join", 0),
+        ("pivot_by_join_orders", 0),
     ],
 )
 def test_number_of_shuffles(spark, key, expected):
@@ -53,6 +57,17 @@ def test_only_needed_columns_and_rows_are_read(spark):
     assert "GreaterThanOrEqual(ts" in plan(spark, "date_range")
 
 
+def pushed(spark, key):
+    return re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan(spark, key))[1]
+
+
+def test_small_filters_reach_the_scan(spark):
+    assert "EqualTo(user_id,7)" in pushed(spark, "contract_lookup")
+    assert "EqualTo(event_type,view)" in pushed(spark, "category_slice")
+    assert "click" not in pushed(spark, "category_slice")
+    assert "In(event_type" in pushed(spark, "filter_mapped")
+
+
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_cross_join_and_no_sort_based_aggregate(spark, key):
     text = plan(spark, key)

@@ -1,16 +1,19 @@
 import datetime as dt
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import types as T
 
-from teletally.plans.job import consolidate
+from teletally import storage
+from teletally.plans.job import consolidate, run
 from teletally.plans.sessions import sessions
 from teletally.schema import log_schema, profile_schema
 from teletally.sinks import export_names, write_csv, write_daily_log, write_jdbc, write_parquet
-from teletally.sources import read_csv, read_jdbc, read_log, read_parquet_log
+from teletally.sources import read_csv, read_jdbc, read_log, read_parquet_log, read_whole_log
 from teletally.sources.daily_json import read_log_days
-from teletally.storage import shared_path, store
+from teletally.storage import drop_stored, shared_path, store, store_by_contract
+from teletally.streaming import run_daily_totals, stored_daily_totals
 from tests.logs import day, line, log_frame, rows_set, write_day
 
 
@@ -62,15 +65,60 @@ def test_only_the_range_is_listed(spark, tmp_path, layout):
         write_day(tmp_path, name, [(name, "VOD", 1)])
     log = read_log(spark, str(tmp_path), "20220401", "20220402", layout=layout)
     expected = names[:2] if layout == "file" else names[:3]
-    assert len(log.inputFiles()) == len(expected)
     assert sorted(r.contract for r in log.collect()) == sorted(expected)
+    assert files_read(read_log(spark, str(tmp_path), "20220401", "20220402", layout=layout)) == len(expected)
     long_range = read_log(spark, str(tmp_path), "20200101", "20220402", layout=layout)
     assert sorted(r.contract for r in long_range.collect()) == sorted(expected)
 
 
-def test_a_missing_log_is_an_error(spark, tmp_path):
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        read_log(spark, str(tmp_path), "20220401", "20220402")
+def test_a_missing_log_is_an_error_and_an_empty_one_is_empty(spark, tmp_path):
+    for read in (
+        lambda root: read_log(spark, root, "20220401", "20220402"),
+        lambda root: read_log_days(spark, root, [day("20220401")]),
+        lambda root: read_whole_log(spark, root),
+    ):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            read(str(tmp_path / "none"))
+        (tmp_path / "empty").mkdir(exist_ok=True)
+        found = read(str(tmp_path / "empty"))
+        assert found.count() == 0 and found.schema == log_schema()
+
+
+@pytest.mark.parametrize("names", [["20220401.json", "20220401.part2.json"], ["20220401.part2.json"]])
+def test_the_same_files_for_every_period(spark, tmp_path, names):
+    log, out = tmp_path / "log", str(tmp_path / "out")
+    for k, name in enumerate(names):
+        write_day(log, name, [(f"c{k}", "VOD", 1)])
+    for name in ("20220401x.json", "notes.json", "20220401.txt", "a_20220401_b.json"):
+        write_day(log, name, [("Z", "VOD", 1)])
+    expected = sorted(f"c{k}" for k in range(len(names)))
+    first = dt.date(2022, 3, 20)
+    for length in (30, 400, 401):
+        period = first, first + dt.timedelta(days=length - 1)
+        assert sorted(r.contract for r in read_log(spark, str(log), *period).collect()) == expected
+        assert files_read(read_log(spark, str(log), *period)) == len(names)
+    assert sorted(r.contract for r in read_log_days(spark, str(log), [day("20220401")]).collect()) == expected
+    assert sorted(r.contract for r in read_whole_log(spark, str(log)).collect()) == expected
+    run_daily_totals(spark, str(log), out, str(tmp_path / "progress")).awaitTermination()
+    assert sorted(r.contract for r in stored_daily_totals(spark, out).collect()) == expected
+
+
+def test_durations_of_another_type(spark, tmp_path):
+    write_day(tmp_path, "20220401.json", [("A", "VOD", 10.5), ("A", "VOD", "12"), ("A", "VOD", None)])
+    with pytest.raises(Exception, match="duration is no bigint: 10.5"):
+        run(spark, str(tmp_path), "20220401", "20220401").collect()
+    profile = run(spark, str(tmp_path), "20220401", "20220401", duration=T.DecimalType(18, 2)).first()
+    assert profile.movie_duration == Decimal("22.50") and profile.active_days == 1
+    texts = tmp_path / "texts"
+    write_day(texts, "20220401.json", [("A", "VOD", "12")])
+    assert run(spark, str(texts), "20220401", "20220401").first().movie_duration == 12
+
+
+def test_broken_lines_can_fail_the_job(spark, tmp_path):
+    write_day(tmp_path, "20220401.json", [("A", "VOD", 1)], "no json\n")
+    assert run(spark, str(tmp_path), "20220401", "20220401").count() == 1
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        run(spark, str(tmp_path), "20220401", "20220401", fail_on_broken=True).collect()
 
 
 def test_foreign_names_are_not_read(spark, folder):
@@ -135,6 +183,18 @@ def test_consolidate_replaces_only_its_days(spark, folder, tmp_path):
     assert files_read(read_parquet_log(spark, out, "20220402", "20220403")) == 2
 
 
+def test_consolidate_empties_days_without_rows(spark, folder, tmp_path):
+    out = str(tmp_path / "all.parquet")
+    consolidate(spark, str(folder), out, "20220401", "20220406")
+    (folder / "20220402.json").write_text("")
+    (folder / "20220403.json").unlink()
+    consolidate(spark, str(folder), out, "20220401", "20220403")
+    stored = read_parquet_log(spark, out)
+    assert stored.count() == read_log(spark, str(folder), "20220401", "20220406").count() == 8
+    with pytest.raises(ValueError):
+        read_parquet_log(spark, out, start="20220401")
+
+
 def test_sorted_days(spark, tmp_path):
     days = {f"202204{d:02d}": [(f"c{i * 7 % 100:02d}", "VOD", i) for i in range(100)] for d in (1, 2)}
     out = tmp_path / "sorted"
@@ -164,6 +224,19 @@ def test_csv_keeps_nulls_and_empty_tastes(spark, tmp_path):
     assert rows_set(back) == rows_set(df)
 
 
+def test_csv_keeps_blanks_quotes_and_line_breaks(spark, tmp_path):
+    rows = [(" A ", 1), ('q"u,o\\"te', 2), ("\ttab", 3), ("", 4), (None, 5), ("#x", 6), ("\\", 7)]
+    df = spark.createDataFrame(rows, "contract string, n int")
+    path = str(tmp_path / "csv")
+    write_csv(df, path)
+    assert rows_set(read_csv(spark, path, df.schema)) == rows_set(df)
+    broken = spark.createDataFrame([("a\nb", 1), ("c\r", 2)], "contract string, n int")
+    with pytest.raises(Exception, match="line break in column contract"):
+        write_csv(broken, path)
+    write_csv(broken, path, line_breaks=True)
+    assert rows_set(read_csv(spark, path, broken.schema, line_breaks=True)) == rows_set(broken)
+
+
 def test_csv_header_is_checked(spark, tmp_path):
     write_csv(spark.createDataFrame([(1, 2)], "b int, a int"), str(tmp_path / "csv"))
     wrong = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
@@ -199,11 +272,15 @@ class Holder:
     def __init__(self):
         self.read = self.write = Recorder()
 
+    def repartition(self, partitions):
+        self.partitions = partitions
+        return self
+
 
 def test_jdbc_writer_options():
     df = Holder()
     write_jdbc(df, "jdbc:x://h/db", "profiles", {"user": "u", "driver": "d"}, connections=4)
-    assert df.write.args == ("jdbc:x://h/db", "profiles")
+    assert df.write.args == ("jdbc:x://h/db", "profiles") and df.partitions == 4
     assert df.write.kwargs["mode"] == "overwrite"
     assert df.write.kwargs["properties"] == {
         "numPartitions": "4",
@@ -240,13 +317,25 @@ def test_store_keeps_rows_and_schema(spark):
     assert rows_set(back.select(*df.columns)) == rows_set(df)
 
 
-def test_refuses_a_machine_local_folder_on_a_cluster():
+def test_without_a_setting_the_warehouse_is_used(monkeypatch):
+    monkeypatch.setattr(storage, "_stored", {})
+
     class Conf:
         def get(self, key, default=None):
-            return {"spark.master": "yarn"}.get(key, default)
+            return {"spark.sql.warehouse.dir": "hdfs://h/warehouse"}.get(key, default)
 
     class Cluster:
         conf = Conf()
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_path(Cluster(), "x")
+    assert shared_path(Cluster(), "x").startswith("hdfs://h/warehouse/_intermediates/x-")
+
+
+def test_what_was_stored_can_be_dropped(spark):
+    days = log_frame(spark, {"20220401": [("A", "VOD", 1)]})
+    path = Path(store(days, "t").inputFiles()[0].removeprefix("file:")).parent
+    for _ in range(2):
+        assert store_by_contract(days, "daily-totals", 2).count() == 1
+    assert path.exists() and [t for t in spark.catalog.listTables() if t.name.startswith("daily_totals")]
+    drop_stored(spark)
+    assert not path.exists()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("daily_totals")]

@@ -2,8 +2,8 @@ from teletally.operators.aggregates import as_sessions, daily_totals
 from teletally.plans import profiles
 from teletally.plans.sessions import sessions
 from teletally.sources import read_log
-from teletally.streaming import run_daily_totals, stored_daily_totals
-from tests.logs import rows_set, write_day
+from teletally.streaming import refresh_days, run_daily_totals, stored_daily_totals
+from tests.logs import day, rows_set, write_day
 
 COLUMNS = ("contract", "category", "log_date", "total")
 
@@ -77,3 +77,23 @@ def test_the_stream_itself_reads_no_content(spark, tmp_path):
         assert len(run(spark, log, out, progress)) == 1
     finally:
         spark.conf.set(limit, before)
+
+
+def test_days_without_rows_are_emptied(spark, tmp_path):
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    for d in (1, 2, 3):
+        write_day(tmp_path / "log", f"2022040{d}.json", [("A", "VOD", d)])
+    assert len(run(spark, log, out, str(tmp_path / "first"))) == 3
+    (tmp_path / "log" / "20220402.json").write_text("")
+    assert run(spark, log, out, str(tmp_path / "fresh")) == expected(spark, log, "file")
+    assert len(expected(spark, log, "file")) == 2
+
+
+def test_a_rewritten_file_needs_a_refresh(spark, tmp_path):
+    log, out, progress = (str(tmp_path / n) for n in ("log", "out", "progress"))
+    write_day(tmp_path / "log", "20220401.json", [("A", "VOD", 1)])
+    first = run(spark, log, out, progress)
+    write_day(tmp_path / "log", "20220401.json", [("A", "VOD", 2), ("B", "VOD", 3)])
+    assert run(spark, log, out, progress) == first
+    refresh_days(spark, log, out, [day("20220401")])
+    assert rows_set(stored_daily_totals(spark, out), *COLUMNS) == expected(spark, log, "file")
