@@ -1,0 +1,139 @@
+"""Near-duplicates: alignment by hand, planted copies, brute force over all pairs."""
+
+import random
+
+import numpy as np
+import pytest
+
+from teletally.llm import order_minhash as omh
+from teletally.llm.components import connected_components
+from tests.llm.cases import ODD, docs, texts
+
+
+def shingles(text):
+    words = text.lower().split()
+    if not words:
+        return []
+    count = {}
+    found = []
+    for k in range(max(1, len(words) - 4)):
+        part = tuple(words[k : k + 5])
+        count[part] = count.get(part, 0) + 1
+        found.append((part, count[part]))
+    return found
+
+
+def aligned(a, b):
+    """Similarity by the plain longest common subsequence of labelled shingles."""
+    a, b = shingles(a), shingles(b)
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before, row = row, [0]
+        for k, y in enumerate(b):
+            row.append(before[k] + 1 if x == y else max(before[k + 1], row[-1]))
+    return row[-1] / (len(a) + len(b) - row[-1]) if a and b else 0.0
+
+
+def changed(rng, text, edits):
+    words = text.split()
+    for _ in range(edits):
+        at = rng.randrange(len(words))
+        kind = rng.randrange(3)
+        if kind == 0:
+            words[at] = f"new{rng.randrange(999)}"
+        elif kind == 1:
+            words.insert(at, f"more{rng.randrange(999)}")
+        elif len(words) > 1:
+            del words[at]
+    return " ".join(words)
+
+
+def test_alignment_equals_the_plain_one():
+    rng = random.Random(1)
+    for base in texts(1, 60, 80, 60):
+        other = changed(rng, base, rng.randrange(12))
+        wanted = aligned(base, other)
+        a, b = (omh.labels(omh.word_hashes(t)) for t in (base, other))
+        found = omh.aligned_similarity(a, b)
+        assert found == (pytest.approx(wanted) if wanted >= 0.8 else 0.0)
+
+
+def test_labels_and_words():
+    assert len(omh.word_hashes(" A\tb\n a ")) == 3
+    a = omh.word_hashes("x a y")
+    assert len(set(a.tolist())) == 3 and (omh.word_hashes("X  A\nY") == a).all()
+    found = omh.labels(omh.word_hashes("a b " * 50))
+    assert len(set(found.tolist())) == len(found) == 96
+    assert len(omh.labels(omh.word_hashes("a b"))) == 1 and len(omh.labels(omh.word_hashes(""))) == 0
+
+
+def test_keys_depend_on_the_order():
+    (text,) = texts(3, 1, 300, 5000)
+    words = text.split()
+    turned = " ".join(words[len(words) // 2 :] + words[: len(words) // 2])
+    keys = [omh.sketch(omh.labels(omh.word_hashes(t))) for t in (text, turned, text + " end")]
+    assert np.sum(keys[0] == keys[2]) > np.sum(keys[0] == keys[1])
+
+
+def components(links, nodes):
+    label = {n: n for n in nodes}
+    moved = True
+    while moved:
+        moved = False
+        for a, b in links:
+            low = min(label[a], label[b])
+            moved |= label[a] != low or label[b] != low
+            label[a] = label[b] = low
+    return label
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_planted_copies_against_all_pairs(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for base in texts(seed, 25, 120, 2000):
+        rows.append(base)
+        rows += [changed(rng, base, rng.choice([0, 1, 2, 3, 30])) for _ in range(rng.choice([0, 0, 1, 6]))]
+    rng.shuffle(rows)
+    table = list(enumerate(rows))
+    links = [(i, j) for i, x in table for j, y in table if i < j and (x == y or aligned(x, y) >= 0.8)]
+    wanted = components(links, range(len(table)))
+    found = {r.doc_id: r for r in omh.near_duplicates(docs(spark, table)).collect()}
+    assert {i: r.component_id for i, r in found.items()} == wanted
+    assert {i for i, r in found.items() if r.kept} == set(wanted.values())
+    stay = omh.without_near_duplicates(docs(spark, table)).collect()
+    assert sorted(r.doc_id for r in stay) == sorted(set(wanted.values()))
+
+
+def test_a_large_group_of_copies(spark):
+    rng = random.Random(5)
+    (base,) = texts(7, 1, 200, 3000)
+    rows = [(k, changed(rng, base, rng.randrange(1, 4))) for k in range(300)]
+    rows += [(1000 + k, base) for k in range(300)] + [(2000 + k, t) for k, t in enumerate(texts(8, 50))]
+    found = omh.near_duplicates(docs(spark, rows, 8)).collect()
+    assert {r.component_id for r in found if r.doc_id < 2000} == {0}
+    assert sum(r.kept for r in found) == 51
+
+
+def test_odd_rows(spark):
+    found = omh.near_duplicates(docs(spark, ODD)).collect()
+    assert len(found) == len(ODD)
+    part = {r.doc_id: (r.class_id, r.component_id) for r in found}
+    assert part[1] == part[2] == (1, 1) and part[3] == (3, 3)
+    assert part[5] == part[6] == (5, 5) and part[7] == part[8] == (7, 7)
+    assert all(r.kept and r.component_id is None for r in found if r.doc_id is None)
+    stay = omh.without_near_duplicates(docs(spark, ODD))
+    assert sorted(str(r.doc_id) for r in stay.collect()) == sorted(map(str, [1, 3, 4, 5, 7, None, None, 9, -10]))
+    assert stay.columns == docs(spark, ODD).columns
+    assert omh.near_duplicates(docs(spark, [])).count() == 0
+    assert omh.without_near_duplicates(docs(spark, [])).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)]
+    links += [(k, k + 1) for k in range(1000, 1200)] + [(5000, 5000 + k) for k in range(300)] + [(7, None)]
+    found = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
+    known = [(a, b) for a, b in links if b is not None]
+    assert {r.node: r.component for r in found} == components(known, {n for link in known for n in link})
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -1,0 +1,92 @@
+"""The pipeline: stage by stage on a small folder, and what its stages promise."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from teletally.llm import pii
+from tests.llm.cases import texts
+from tests.llm.test_order_minhash import aligned, changed, components
+from tests.llm.test_toxicity import INSULTS
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    rng = random.Random(4)
+    rows, labels = [], []
+
+    def add(text, toxic=0):
+        i = len(rows)
+        source = "big" if rng.random() < 0.4 else f"s{rng.randrange(4)}"
+        rows.append((i, text, "en", source, None if text is None else len(text)))
+        labels.append((i, 1, toxic))
+
+    for text in texts(11, 260):
+        if rng.random() < 0.2:
+            words = text.split()
+            for _ in range(2):
+                words.insert(rng.randrange(len(words)), rng.choice(INSULTS))
+            add(" ".join(words), 1)
+        else:
+            if rng.random() < 0.1:
+                text += " write to a.b@c.example or +1 (415) 555-0100"
+            add(text)
+            if rng.random() < 0.15:
+                add(text)
+            if rng.random() < 0.15:
+                add(changed(rng, text, 1))
+    add(None)
+    add("")
+    path = tmp_path_factory.mktemp("sf")
+    spark.createDataFrame(rows, COLUMNS).write.parquet(str(path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(path / "labels.parquet"))
+    return str(path), rows, labels
+
+
+def test_stages(spark, folder, tmp_path):
+    path, rows, labels = folder
+    toxic = {i for i, _, t in labels if t}
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    results = {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, path).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        results[name] = docs.collect()
+        if name != "bpe":
+            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+    kept = {r.doc_id for r in results["toxicity"]}
+    assert {r[0] for r in rows} - kept == toxic
+
+    clean = [(r.doc_id, r.text or "") for r in results["toxicity"]]
+    links = [(i, j) for i, x in clean for j, y in clean if i < j and (x == y or aligned(x, y) >= 0.8)]
+    heads = set(components(links, kept).values())
+    assert {r.doc_id for r in results["near_duplicates"]} == heads and len(results["near_duplicates"]) == len(heads)
+
+    texts_of = {r[0]: r[1] for r in rows}
+    for row in results["pii"]:
+        text = texts_of[row.doc_id]
+        assert row.text == (text if text is None else pii.masked(text, pii.spans(text)))
+        assert "@" not in (row.text or "")
+    assert {r.doc_id for r in results["mixing"]} == heads
+
+    assert sorted(r.doc_id for r in results["bpe"]) == sorted(r.doc_id for r in results["mixing"])
+    assert all(r.round_trip for r in results["bpe"])
+
+
+def test_run_gives_the_last_stage(spark, folder):
+    path, rows, _ = folder
+    found = corpus_pipeline.run(spark, path)
+    assert found.columns == ["doc_id", "n_tokens", "ids", "round_trip"]
+    assert 0 < len({r.doc_id for r in found.collect()}) < len(rows)
+
+
+def test_registered_queries():
+    import __spark_entry__ as entry
+
+    names = entry.queries()
+    assert "pipeline" in names and [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert set(entry.oracle_sql()) <= set(names)

@@ -1,0 +1,67 @@
+"""Token counts out of flat files."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from teletally.llm import token_counts
+from tests.llm.cases import ODD, docs, texts
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+LIBRARY.encode_special_tokens = True
+
+
+def library(text):
+    return len(LIBRARY.encode(text or "", add_special_tokens=False).ids)
+
+
+def stitched(tokens, end, block):
+    """Lengths of documents out of the pieces, by hand."""
+    lengths, held = [], 0
+    for _, _, n, whole, closed, _ in token_counts.scan(tokens, end, block):
+        if whole:
+            assert held == 0
+        held += n
+        if closed:
+            lengths.append(held)
+            held = 0
+    return lengths, held
+
+
+def test_scan_at_every_block_size():
+    rng = random.Random(1)
+    for _ in range(200):
+        tokens = np.array([rng.choice([1, 2, 3, 9]) for _ in range(rng.randint(0, 60))], dtype="<u2")
+        parts = "".join(map(str, tokens.tolist())).split("9")
+        wanted = [len(p) for p in parts]
+        for block in (1, 2, 3, 7, 60, 100):
+            lengths, rest = stitched(tokens, 9, block)
+            assert [*lengths, rest] == wanted
+
+
+def test_counts_equal_the_library_for_any_block(spark, tmp_path):
+    rows = [*ODD, *[(100 + k, t) for k, t in enumerate(texts(2, 40))], (2**62 + 5, "far"), (-(2**63), "low")]
+    path = str(tmp_path / "files")
+    token_counts.write_token_files(docs(spark, rows), path, PATH, file_documents=7)
+    wanted = sorted((str(i), library(t), True) for i, t in rows)
+    for block in (3, 50, 2**20):
+        found = token_counts.count_tokens(spark, path, block=block).collect()
+        assert sorted((str(r.doc_id), r.n_tokens, r.closed) for r in found) == wanted
+
+
+def test_a_cut_file_is_reported(spark, tmp_path):
+    token_counts.write_token_files(docs(spark, [(1, "some words here")], 1), str(tmp_path / "files"), PATH)
+    data = b"".join(f.read_bytes() for f in (tmp_path / "files").glob("part-*"))
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut" / "part-0").write_bytes(data[:-2])
+    (row,) = token_counts.count_tokens(spark, str(tmp_path / "cut"), block=4).collect()
+    assert (row.doc_id, row.n_tokens, row.closed) == (1, library("some words here"), False)
+
+
+def test_query(spark):
+    assert token_counts.document_token_counts(docs(spark, []), PATH).count() == 0
+    found = token_counts.document_token_counts(docs(spark, ODD), PATH).collect()
+    assert sorted((str(r.doc_id), r.n_tokens) for r in found) == sorted((str(i), library(t)) for i, t in ODD)
