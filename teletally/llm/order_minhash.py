@@ -291,6 +291,8 @@ def near_duplicates(
     grouped = classes.join(parts, "rep", "left").select(
         "text_key", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")
     )
+    # Stored, so that the join deals out both sides anew and Spark can split a text with very many copies.
+    grouped = store(grouped, "groups")
     named = named.select("doc_id", "text_key").join(grouped, "text_key")
     kept = (F.col("doc_id") == F.col("component_id")) & (F.col("class_id") == F.col("component_id"))
     unnamed = rows.where(F.col("doc_id").isNull()).select(
