@@ -18,8 +18,8 @@ of pieces already encoded; texts with repeated spaces go through the pattern as
 
 from __future__ import annotations
 
-import gc
 import json
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 from hashlib import sha256
 
@@ -30,14 +30,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from teletally.llm.common import arrow_schema, map_rows, text_or_empty
+from teletally.llm.common import arrow_schema, map_rows, text_or_empty, worker_tool
 
 # Fixed value: how the vocabulary's tokenizer cuts a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # Entries of the per-worker tables of encoded pieces and of tested pairs.
 PIECES = 200_000
-PAIRS = 600_000
+PAIRS = 400_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -52,9 +52,9 @@ def byte_letters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Tokens and merges of a byte-level vocabulary: what is broadcast to the tasks."""
+    """Tokens and merges of a byte-level vocabulary."""
 
-    def __init__(self, content: str):
+    def __init__(self, content: str | bytes):
         read = json.loads(content)
         letters = byte_letters()
 
@@ -223,25 +223,17 @@ def digest_form(encoder: Encoder, ids: list[int]) -> tuple[int, bytes, bytes]:
     return len(ids), ",".join(map(str, ids)).encode(), b"".join([encoder.bytes_of[i] for i in ids])
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
 def worker_encoder(shared, form: Callable[[Encoder, list[int]], object] | None = None) -> Encoder:
-    """The encoder of a broadcast vocabulary, built once per worker process."""
-    key = shared.value.key, form and form.__qualname__
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(shared.value, form)
-        # The tables live as long as the worker and hold no cycles.
-        gc.freeze()
-    return _encoders[key]
+    """The encoder of a broadcast vocabulary file, built once per worker process."""
+    content = shared.value
+    key = "bpe", zlib.crc32(content), form and form.__qualname__
+    return worker_tool(key, lambda: Encoder(Vocabulary(content), form))
 
 
 def broadcast_vocabulary(spark: SparkSession, path: str):
-    """The vocabulary (its size is that of the file, a few MB) on every executor."""
-    vocabulary = Vocabulary.read(path)
-    vocabulary.key = hash((path, len(vocabulary.tokens), len(vocabulary.merges)))
-    return spark.sparkContext.broadcast(vocabulary)
+    """The vocabulary file (a few MB) on every executor; it is read on the driver only."""
+    with open(path, "rb") as file:
+        return spark.sparkContext.broadcast(file.read())
 
 
 def ids_form(encoder: Encoder, ids: list[int]) -> tuple[bytes, bytes]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -28,6 +29,23 @@ def map_rows(df: DataFrame, schema: str, rows: Callable[[dict[str, list]], dict[
     return df.mapInArrow(batches, schema)
 
 
+_tool: tuple[object, object] | None = None
+
+
+def worker_tool(key: object, build: Callable[[], object]) -> object:
+    """What a worker process built last, if it is for ``key``, else a new one in its place.
+
+    Workers outlive their tasks. One tool at a time bounds their memory by the largest one.
+    """
+    global _tool
+    if _tool is None or _tool[0] != key:
+        _tool = None
+        _tool = key, build()
+        # What was built holds no cycles; the collector need not look at it again.
+        gc.freeze()
+    return _tool[1]
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     """Arrow schema of a Spark DDL string."""
     return to_arrow_schema(StructType.fromDDL(ddl))

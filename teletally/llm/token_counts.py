@@ -21,7 +21,7 @@ from teletally.llm.common import arrow_schema, text_or_empty
 from teletally.storage import shared_path
 
 BLOCK = 2**20
-FILE_DOCUMENTS = 20_000
+FILE_DOCUMENTS = 5_000
 HEADER = 5
 # A header value holds 13 bits of the id; in the header of a row without an id all bits of the first are set.
 BITS = 13
@@ -59,7 +59,7 @@ def write_token_files(
     """
     spark = docs.sparkSession
     shared = bpe.broadcast_vocabulary(spark, tokenizer)
-    if end >= 2**16 or max(shared.value.tokens) >= 2**16:
+    if end >= 2**16 or max(bpe.Vocabulary.read(tokenizer).tokens) >= 2**16:
         raise ValueError("ids must fit in 16 bits")
     target = arrow_schema("record binary")
 
@@ -70,6 +70,9 @@ def write_token_files(
             for doc_id, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
                 pieces = encoder.pieces(text.as_py(), specials=False)
                 found.append(b"".join([np.array(header(doc_id), dtype="<u2").tobytes(), *pieces]))
+                if len(found) == 500:
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], schema=target)
+                    found = []
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], schema=target)
 
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teletally.llm.common import arrow_schema, fold, map_rows, text_or_empty
+from teletally.llm.common import arrow_schema, fold, map_rows, text_or_empty, worker_tool
 
 TRAINING_ROWS = 20_000
 HOLD_OUT = 5
@@ -219,7 +219,7 @@ class ToxicityModel:
 class Scorer:
     """Scores whole texts with one model; tokens seen before are looked up."""
 
-    TOKENS = 400_000
+    TOKENS = 250_000
 
     def __init__(self, model: ToxicityModel):
         self._model = model
@@ -273,15 +273,9 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, logit))))
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def _worker_scorer(shared) -> Scorer:
     model = shared.value
-    if model.key not in _scorers:
-        _scorers.clear()
-        _scorers[model.key] = Scorer(model)
-    return _scorers[model.key]
+    return worker_tool(("toxicity", model.key), lambda: Scorer(model))
 
 
 def _letter_model(docs: DataFrame, text_column: str) -> list[float]:
