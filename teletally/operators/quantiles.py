@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Bits still open after each counting pass; every pass settles 16.
-_SHIFTS = (48, 32, 16, 0)
+# Of the sketch that finds the first brackets, and the counts per bracket that a task may hold.
+_ACCURACY = 10_000
+_BINS = 65_536
 
 
 def _as_integer(df: DataFrame, column: str) -> tuple[Column, int]:
@@ -23,57 +25,68 @@ def _as_integer(df: DataFrame, column: str) -> tuple[Column, int]:
     raise TypeError(f"exact quantiles need an integer or decimal column, not {kind.simpleString()}")
 
 
-def exact_quantiles(df: DataFrame, column: str, fractions: Sequence[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, fractions: Sequence[float], *, bins: int = _BINS) -> DataFrame:
     """One row with columns ``q0, q1, ...``: linearly interpolated quantiles of ``column``.
 
-    Spark's own ``percentile`` gathers all distinct values in one task. Here four counting
-    passes each settle 16 more bits of the wanted values: a pass counts rows per next 16
-    bits, among the rows that share the bits found so far. No task ever holds more than
-    65,536 counts per wanted value. ``df`` is read once per pass: hand in a stored table.
+    Spark's own ``percentile`` gathers all distinct values in one task. Here a sketch brackets
+    the wanted values in one pass, and a second one counts the rows below and per part of each
+    bracket, which names the part that holds the wanted rank: a single value, unless a bracket
+    is wider than ``bins`` values; then the part is the next bracket. A bracket that misses its
+    rank is replaced by the rest of the range on that side. No task holds more than ``bins``
+    counts per wanted value. ``df`` is read once per pass: hand in a stored table.
     """
     key, factor = _as_integer(df, column)
     keys = df.select(key.alias("k")).where(F.col("k").isNotNull())
-    target = Window.partitionBy("target")
+    near = [min(max(f + side * 2 / _ACCURACY, 0.0), 1.0) for f in fractions for side in (-1, 1)]
+    ends = F.percentile_approx("k", near, _ACCURACY).alias("ends")
+    seen = keys.agg(F.count("*").alias("n"), F.min("k").alias("low"), F.max("k").alias("high"), ends).first()
+    if not seen.n:
+        return df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(f"q{i}") for i in range(len(fractions))])
 
-    found = None
-    for shift in _SHIFTS:
-        bits = F.shiftright("k", shift).alias("bits")
-        if found is None:
-            counts = _with_ranks(keys.groupBy(bits).agg(F.count("*").alias("n")), fractions)
-        else:
-            settled = F.shiftright("k", shift + 16).alias("settled")
-            matching = keys.select("k", settled).join(F.broadcast(found), "settled")
-            counts = matching.groupBy("target", "rank", "weight", bits).agg(F.count("*").alias("n"))
-        before = F.sum("n").over(target.orderBy("bits")) - F.col("n")
-        inside = F.col("rank").between(F.col("before"), F.col("before") + F.col("n") - 1)
-        found = (
-            counts.withColumn("before", before)
-            .where(inside)
-            .select("target", (F.col("rank") - F.col("before")).alias("rank"), "weight", F.col("bits").alias("settled"))
-        )
-
-    value = F.col("settled").cast("double") / F.lit(float(factor)) * F.col("weight")
-    parts = [F.sum(F.when(F.col("target").isin(2 * i, 2 * i + 1), value)).alias(f"q{i}") for i in range(len(fractions))]
-    return found.agg(*parts)
+    positions = [(seen.n - 1) * f for f in fractions]
+    brackets = {}
+    for i, position in enumerate(positions):
+        for rank in (math.floor(position), math.ceil(position)):
+            brackets.setdefault(rank, (seen.ends[2 * i], seen.ends[2 * i + 1]))
+    values = {}
+    while brackets:
+        for rank, (low, high) in _narrowed(keys, brackets, (seen.low, seen.high), bins).items():
+            brackets[rank] = low, high
+            if low == high:
+                values[rank] = brackets.pop(rank)[0]
 
+    found = []
+    for i, position in enumerate(positions):
+        low, high = math.floor(position), math.ceil(position)
+        below, above = values[low] / factor, values[high] / factor
+        found.append(F.lit(below * (1 - (position - low)) + above * (position - low)).alias(f"q{i}"))
+    return df.sparkSession.range(1).select(*found)
 
-def _with_ranks(counts: DataFrame, fractions: Sequence[float]) -> DataFrame:
-    """The first pass's counts once per wanted value, with its zero-based rank and weight.
 
-    Each fraction needs the value below its position (even target) and the one above it (odd
-    target), weighted by the position's distance from the other one.
-    """
-    wanted = [
-        F.struct(F.lit(t).alias("target"), F.lit(float(fractions[t // 2])).alias("fraction"))
-        for t in range(2 * len(fractions))
-    ]
-    position = (F.sum("n").over(Window.partitionBy("target")) - 1) * F.col("fraction")
-    lower = F.floor("position")
-    above = F.col("target") % 2 == 1
-    return (
-        counts.select("bits", "n", F.inline(F.array(*wanted)))
-        .withColumn("position", position)
-        .withColumn("rank", F.when(above, F.ceil("position")).otherwise(lower).cast("bigint"))
-        .withColumn("weight", F.when(above, F.col("position") - lower).otherwise(1 - (F.col("position") - lower)))
-        .drop("position", "fraction")
-    )
+def _narrowed(
+    keys: DataFrame, brackets: dict[int, tuple[int, int]], whole: tuple[int, int], bins: int
+) -> dict[int, tuple[int, int]]:
+    """For every zero-based rank a smaller bracket that holds it, by one counting pass."""
+    width = {rank: -(-(high - low + 1) // bins) for rank, (low, high) in brackets.items()}
+    parts = []
+    for rank, (low, high) in brackets.items():
+        # A difference of two bigints may not be one.
+        offset = F.col("k").cast("decimal(20,0)") - F.lit(low) if high - low >= 2**63 else F.col("k") - low
+        part = F.when(F.col("k") >= low, F.call_function("div", offset, F.lit(width[rank])).cast("bigint")).otherwise(-1)
+        parts.append(F.when(F.col("k") <= high, F.struct(F.lit(rank).cast("bigint").alias("rank"), part.alias("part"))))
+    counts = keys.select(F.explode(F.array_compact(F.array(*parts))).alias("in")).groupBy("in.rank", "in.part")
+    order = Window.partitionBy("rank").orderBy("part")
+    counts = counts.agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(order) - F.col("n"))
+    holds = F.col("rank").between(F.col("before"), F.col("before") + F.col("n") - 1)
+    held = {row.rank: row.part for row in counts.where(holds).select("rank", "part").collect()}
+    found = {}
+    for rank, (low, high) in brackets.items():
+        part = held.get(rank)
+        if part is None:
+            found[rank] = high + 1, whole[1]
+        elif part < 0:
+            found[rank] = whole[0], low - 1
+        else:
+            start = low + part * width[rank]
+            found[rank] = start, min(high, start + width[rank] - 1)
+    return found
