@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from teletally.llm.common import text_or_empty
+from teletally.storage import store
 
 PERIOD = 1000
 BLOCK_BYTES = 16 * 1024
@@ -67,9 +68,9 @@ def source_key(source: Column) -> Column:
 
 
 def bucket_of(doc_id: Column) -> Column:
-    """Part of a source's stream, one of 256 by a digest of the id, so that no source is one task."""
+    """Part of a source's stream, one of 4,096 by a digest of the id, so that no source is one task."""
     digest = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
-    return F.conv(F.substring(digest, 1, 2), 16, 10).cast("int")
+    return F.conv(F.substring(digest, 1, 3), 16, 10).cast("int")
 
 
 def mix(
@@ -108,8 +109,11 @@ def mix(
         # One struct, so that kept columns never clash with those used here.
         *([F.struct(*keep).alias("_kept")] if keep else []),
     )
-    sums = rows.groupBy("_key", "_bucket").agg(F.sum("bytes").alias("total")).collect()  # 256 rows a source at most
-    offsets, totals = _offsets([(r["_key"], r["_bucket"], r["total"]) for r in sums])
+    # At most 4,096 rows a source; the driver sees one row per source.
+    sums = store(rows.groupBy("_key", "_bucket").agg(F.sum("bytes").alias("total")), "source-parts")
+    totals = {r["_key"]: r["total"] for r in sums.groupBy("_key").agg(F.sum("total").alias("total")).collect()}
+    by_part = Window.partitionBy("_key").orderBy("_bucket")
+    starts = sums.select("_key", "_bucket", (F.sum("total").over(by_part) - F.col("total")).alias("_first"))
     weights = _weights(totals, shares, max(period, 16 * len(totals)))
     blocks = {key: max(1, -(-total // block_bytes)) for key, total in totals.items()}
     turns = fair_turns(weights) if weights else []
@@ -119,7 +123,6 @@ def mix(
     end = max(
         (length * ((n - 1) // weights[k]) + turn_of[k, (n - 1) % weights[k]] + 1 for k, n in blocks.items()), default=0
     )
-    starts = spark.createDataFrame(offsets, "_key string, _bucket int, _first long")
     plan = [(k, weights[k], blocks[k]) for k in weights]
     plan = spark.createDataFrame(plan, "_key string, _weight long, _blocks long")
     period_table = spark.createDataFrame(turns, "_key string, _index long, _turn long")
@@ -129,7 +132,7 @@ def mix(
     before = F.sum("bytes").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)) - F.col("bytes")
     placed = (
         rows.withColumn("_before", before)
-        .join(F.broadcast(starts), ["_key", "_bucket"])
+        .join(starts, ["_key", "_bucket"])
         .join(F.broadcast(plan), "_key")
         .withColumn("_start", F.col("_first") + F.col("_before"))
         # A text of no bytes behind the last byte of its source belongs to the last block.
@@ -150,15 +153,6 @@ def mix(
     return repeated.select("doc_id", "source", "bytes", "block", "epoch", "turn", place.alias("place"), *kept)
 
 
-def _offsets(sums: list[tuple[str, int, int]]) -> tuple[list[tuple[str, int, int]], dict[str, int]]:
-    """First byte of each bucket in its source's stream, and the bytes of each source."""
-    offsets, totals = [], {}
-    for key, bucket, total in sorted(sums):
-        offsets.append((key, bucket, totals.get(key, 0)))
-        totals[key] = totals.get(key, 0) + total
-    return offsets, totals
-
-
 def _weights(totals: dict[str, int], shares: Mapping[str, float] | None, period: int) -> dict[str, int]:
     if not totals:
         return {}

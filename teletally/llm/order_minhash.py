@@ -271,7 +271,7 @@ def near_duplicates(
         "shared-keys",
     )
 
-    parts = company.select("rep", F.col("rep").alias("component")).limit(0)
+    parts = docs.sparkSession.createDataFrame([], "rep long, component long")
     turn = 0
     while True:
         if turn == 0:

@@ -80,7 +80,7 @@ MIXING_SQL = """
 WITH RECURSIVE docs AS (
     SELECT doc_id, source, strlen(coalesce(text, '')) AS bytes,
         CASE WHEN source IS NULL THEN 'null' ELSE '=' || source END AS key,
-        CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 2) AS INTEGER) AS bucket
+        CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 3) AS INTEGER) AS bucket
     FROM documents),
 sources AS (SELECT key, CAST(sum(bytes) AS BIGINT) AS total FROM docs GROUP BY key),
 shares AS (
