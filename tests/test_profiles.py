@@ -58,10 +58,11 @@ def test_null_contract(rows):
     kept = as_dict(profiles.customer_profile(rows, START, END, drop_null_contract=False))[None]
     assert kept.child_duration == 2
     assert [kept[c] for c in profiles.METRICS] == [None] * 4
-    joined = profiles.daily_profile_joined(rows, profiles.customer_profile(rows, START, END))
-    daily = profiles.daily_profile(rows, START, END, drop_null_contract=False)
-    assert rows_set(daily) == rows_set(joined)
-    assert daily.where("contract IS NULL").count() == 1
+    metrics = profiles.customer_profile(rows, START, END)
+    for drop, without in ((False, 1), (True, 0)):
+        daily = profiles.daily_profile(rows, START, END, drop_null_contract=drop)
+        assert rows_set(daily) == rows_set(profiles.daily_profile_joined(rows, metrics, drop_null_contract=drop))
+        assert daily.where("contract IS NULL").count() == without
 
 
 def test_session_profile_keeps_every_row(rows):
