@@ -40,6 +40,9 @@ HOLD_OUT = 5
 MAX_FEATURES = 50_000
 STEMS = (4, 5, 6)
 LONGEST = 24
+# Entries of the tables of a counting task before they are emptied.
+HELD_TOKENS = 100_000
+HELD_FEATURES = 200_000
 MIN_DOCS = 3
 WIDESPREAD = 0.25
 
@@ -312,7 +315,7 @@ def training_labels(labels: DataFrame, rows: int = TRAINING_ROWS, hold_out: int
     A document with several labels is toxic if one says so; labels without an id or a value are left out.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
     known = known.where(fold(F.col("doc_id"), hold_out) != 0)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -339,24 +342,29 @@ def fit(
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
     marked = texts.join(chosen, "doc_id").select("text", "toxic")
 
-    def features(batch: dict[str, list]) -> dict[str, list]:
-        costs, known, counts = shared.value, {}, {}
-        totals = [0, 0]
-        for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-            found = set()
-            for token in set(text.lower().split()):
-                if token not in known:
-                    known[token] = [f for word in hidden_words(token, costs) for f in features_of(word)]
-                found.update(known[token])
-            totals[toxic] += 1
-            for feature in found:
-                pair = counts.setdefault(feature, [0, 0])
-                pair[toxic] += 1
-        counts[""] = totals
-        pairs = counts.values()
-        return {"feature": list(counts), "clean": [p[0] for p in pairs], "toxic": [p[1] for p in pairs]}
-
-    counted = map_rows(marked, "feature string, clean long, toxic long", features)
+    schema = "feature string, clean long, toxic long"
+    target = arrow_schema(schema)
+
+    def features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[str]] = {}
+        counts: dict[str, list[int]] = {"": [0, 0]}  # under "" the documents
+        for part in parts:
+            for text, toxic in zip(part.column(0), part.column(1).to_pylist(), strict=True):
+                found = {""}
+                for token in set(text.as_py().lower().split()):
+                    if token not in known:
+                        known[token] = [f for word in hidden_words(token, shared.value) for f in features_of(word)]
+                    found.update(known[token])
+                for feature in found:
+                    counts.setdefault(feature, [0, 0])[toxic] += 1
+                if len(known) > HELD_TOKENS:
+                    known.clear()
+                if len(counts) > HELD_FEATURES:
+                    yield _counted(counts, target)
+                    counts = {"": [0, 0]}
+        yield _counted(counts, target)
+
+    counted = marked.mapInArrow(features, schema)
     counted = counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     summary = counted.agg(
         F.count(F.when(F.col("clean") + F.col("toxic") >= MIN_DOCS, True)).alias("n"),
@@ -430,6 +438,11 @@ def _scaled(seen: np.ndarray) -> tuple[float, float, float]:
 
 
 
+def _counted(counts: dict[str, list[int]], target: pa.Schema) -> pa.RecordBatch:
+    clean, toxic = ([pair[k] for pair in counts.values()] for k in (0, 1))
+    return pa.RecordBatch.from_pydict({"feature": list(counts), "clean": clean, "toxic": toxic}, schema=target)
+
+
 def _ratio(clean: int, toxic: int, base: float) -> float:
     """Log-likelihood ratio of a feature's counts against the share of toxic documents."""
     share = toxic / (toxic + clean) if toxic else 0.0
