@@ -300,9 +300,8 @@ def mask(docs: DataFrame, *, text_column: str = "text", length_column: str | Non
     All columns are kept in order and type, whatever their names; null texts stay null. The length
     column, if it is there, is set to the new text's code points.
     """
-    from pyspark.sql.functions import pandas_udf
 
-    @pandas_udf("string")
+    @F.pandas_udf("string")
     def cleaned(texts):
         return texts.map(lambda t: masked(t, spans(t)), na_action="ignore")
 

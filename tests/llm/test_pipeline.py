@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from teletally.llm import pii
+from teletally.llm import pii, queries
 from tests.llm.cases import texts
 from tests.llm.test_order_minhash import aligned, changed, components
 from tests.llm.test_toxicity import INSULTS
@@ -90,3 +90,14 @@ def test_registered_queries():
     names = entry.queries()
     assert "pipeline" in names and [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
     assert set(entry.oracle_sql()) <= set(names)
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_queries_cover_their_whole_tables(spark, name):
+    folder = "/root/testdata/sf0.001"
+    column = "vec_id" if name.startswith("op5") else "doc_id"
+    table = "embeddings" if name.startswith("op5") else "documents"
+    found = queries.QUERIES[name](spark, folder).select(column).collect()
+    wanted = spark.read.parquet(f"{folder}/{table}.parquet").select(column).collect()
+    assert {r[0] for r in found} == {r[0] for r in wanted}
+    assert len(found) == len(wanted) or name == "op3_mixing"
