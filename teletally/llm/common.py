@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gc
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +14,22 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did.
+
+    Needed where workers share the driver's files but not its module path. On a cluster the package is
+    shipped (``--py-files``), and a path that is not there does no harm.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A driver table; the folder may lie in any store that Spark reads."""
+    reach_workers(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
