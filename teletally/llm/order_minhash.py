@@ -190,13 +190,11 @@ def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
-            left, right = part.column("labels_a"), part.column("labels_b")
-            found = [
-                aligned_similarity(
-                    np.frombuffer(x.as_buffer(), dtype=np.uint32), np.frombuffer(y.as_buffer(), dtype=np.uint32), threshold
-                )
-                for x, y in zip(left, right, strict=True)
-            ]
+            left, right = (
+                [np.frombuffer(value.as_buffer(), dtype=np.uint32) for value in part.column(name)]
+                for name in ("labels_a", "labels_b")
+            )
+            found = [aligned_similarity(x, y, threshold) for x, y in zip(left, right, strict=True)]
             kept = [k for k, value in enumerate(found) if value >= threshold]
             columns = {"a": [a[k] for k in kept], "b": [b[k] for k in kept], "similarity": [found[k] for k in kept]}
             yield pa.RecordBatch.from_pydict(columns, schema=target)

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from teletally.llm import bpe, embedding_dedup, fingerprints, language_model, mixing, order_minhash, pii, sharding, token_counts, toxicity
+from teletally.llm import (
+    bpe,
+    embedding_dedup,
+    fingerprints,
+    language_model,
+    mixing,
+    order_minhash,
+    pii,
+    sharding,
+    token_counts,
+    toxicity,
+)
 from teletally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
