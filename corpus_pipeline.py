@@ -14,19 +14,32 @@ from teletally.llm.queries import tokenizer_path
 from teletally.storage import shared_path
 
 
+# Documents are long, and a Python worker holds a few batches of them.
+BATCH_ROWS = "2000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches, unless the session has a size of its own."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted toxic by a model learnt from the labels table."""
+    small_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.without_toxic(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of exact and near copies."""
+    small_batches(spark)
     return order_minhash.without_near_duplicates(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; ``n_chars`` follows the text."""
+    small_batches(spark)
     return pii.mask(docs)
 
 
@@ -39,6 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether they decode to it again."""
+    small_batches(spark)
     return bpe.encode(docs, tokenizer_path())
 
 

@@ -36,7 +36,7 @@ from teletally.llm.common import arrow_schema, map_rows, text_or_empty, worker_t
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # Entries of the per-worker tables of encoded pieces and of tested pairs.
-PIECES = 200_000
+PIECES = 160_000
 PAIRS = 400_000
 
 
@@ -280,7 +280,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         texts = [None if ids is None else encoder.decode(ids) for ids in batch["ids"]]
         return {"doc_id": batch["doc_id"], "text": texts}
 
-    return map_rows(encoded.select("doc_id", "ids"), "doc_id long, text string", rows)
+    return map_rows(encoded.select("doc_id", "ids"), "doc_id long, text string", rows, with_tool=True)
 
 
 def digests(docs: DataFrame, path: str, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -302,7 +302,7 @@ def digests(docs: DataFrame, path: str, *, id_column: str = "doc_id", text_colum
         return {"doc_id": batch["doc_id"], "n_tokens": counts, "ids_sha256": ids, "decoded_sha256": texts}
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_rows(_named(docs, id_column, text_column), schema, rows)
+    return map_rows(_named(docs, id_column, text_column), schema, rows, with_tool=True)
 
 
 def _named(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:

@@ -33,10 +33,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def map_rows(df: DataFrame, schema: str, rows: Callable[[dict[str, list]], dict[str, list]]) -> DataFrame:
-    """``mapInArrow`` over columns as Python lists; ``rows`` maps one batch to one batch."""
+def map_rows(
+    df: DataFrame, schema: str, rows: Callable[[dict[str, list]], dict[str, list]], *, with_tool: bool = False
+) -> DataFrame:
+    """``mapInArrow`` over columns as Python lists; ``rows`` maps one batch to one batch.
+
+    ``with_tool``: it uses ``worker_tool``; else the worker's tool of an earlier operator is dropped.
+    """
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not with_tool:
+            drop_tool()
         for part in parts:
             if part.num_rows:
                 yield pa.RecordBatch.from_pydict(rows(part.to_pydict()), schema=target)
@@ -62,6 +69,12 @@ def worker_tool(key: object, build: Callable[[], object]) -> object:
     return _tool[1]
 
 
+def drop_tool() -> None:
+    """Free the tool of an earlier operator in this worker process."""
+    global _tool
+    _tool = None
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     """Arrow schema of a Spark DDL string."""
     return to_arrow_schema(StructType.fromDDL(ddl))

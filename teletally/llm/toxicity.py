@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from teletally.llm.common import arrow_schema, fold, map_rows, text_or_empty, worker_tool
+from teletally.llm.common import arrow_schema, drop_tool, fold, map_rows, text_or_empty, worker_tool
 
 TRAINING_ROWS = 20_000
 HOLD_OUT = 5
@@ -286,15 +286,15 @@ def _letter_model(docs: DataFrame, text_column: str) -> list[float]:
     target = arrow_schema("gram int, n long")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tool()
         total = np.zeros(SIZE**3, dtype=np.int64)
         for part in parts:
-            texts = part.column(0).to_pylist()
             # A bounded number of characters at a time.
             group, size = [], 0
-            for text in texts:
-                group.append(text)
-                size += len(text)
-                if size > 2_000_000:
+            for text in part.column(0):
+                group.append(text.as_py())
+                size += len(group[-1])
+                if size > 1_000_000:
                     total += trigram_counts(group)
                     group, size = [], 0
             if group:
@@ -346,6 +346,7 @@ def fit(
     target = arrow_schema(schema)
 
     def features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tool()
         known: dict[str, list[str]] = {}
         counts: dict[str, list[int]] = {"": [0, 0]}  # under "" the documents
         for part in parts:
@@ -410,7 +411,7 @@ def fit(
         found = [scorer.evidence(text) for text in batch["text"]]
         return {"best": [f[0] for f in found], "rest": [f[1] for f in found], "toxic": batch["toxic"]}
 
-    seen = map_rows(marked, "best double, rest double, toxic int", evidence)
+    seen = map_rows(marked, "best double, rest double, toxic int", evidence, with_tool=True)
     seen = seen.groupBy("best", "rest", "toxic").count().orderBy("best", "rest", "toxic").collect()
     return ToxicityModel(costs, weights, _scaled(np.array([tuple(r) for r in seen], dtype=float)))
 
@@ -540,7 +541,7 @@ def score(
         (fold(F.col(id_column), hold_out) == 0).alias("held_out"),
         text_or_empty(text_column).alias("text"),
     )
-    return map_rows(texts, "doc_id long, held_out boolean, score double, predicted int", rows)
+    return map_rows(texts, "doc_id long, held_out boolean, score double, predicted int", rows, with_tool=True)
 
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, *, text_column: str = "text") -> DataFrame:
