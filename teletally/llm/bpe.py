@@ -36,7 +36,7 @@ from teletally.llm.common import arrow_schema, map_rows, text_or_empty, worker_t
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # Entries of the per-worker tables of encoded pieces and of tested pairs.
-PIECES = 160_000
+PIECES = 200_000
 PAIRS = 400_000
 
 
