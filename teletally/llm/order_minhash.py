@@ -12,11 +12,12 @@ matches that rises on both sides, and matches farther off the diagonal than the
 of insertions and deletions cannot belong to an alignment that reaches the threshold. The
 similarity is the aligned share of the union of shingles.
 
-Documents of a key are never all paired. Only classes of equal texts are compared. In the first round
-every class is compared with the most connected one of each of its keys; classes that are linked
-then count as one component, and in every further round the keys whose classes lie in several
-components compare them with some classes drawn afresh, until a round links nothing. So work is
-linear in the members of a key; what that misses is measured (README).
+Only classes of equal texts are compared. In the first round every class is compared with the most
+connected one of each of its keys; classes that are linked then count as one component, and in every
+further round the keys whose classes lie in several components compare them with some classes drawn
+afresh, until a round links nothing. These rounds only save work: afterwards every pair of candidates
+that still lies in two components is compared, in square tiles of a key's classes, so that no task holds
+more than two tiles and no row is made per pair.
 """
 
 from __future__ import annotations
@@ -38,10 +39,13 @@ WIDTH = 5
 THRESHOLD = 0.8
 SKETCHES = 16
 KEPT = 3
-# Keys that a candidate must share (at the threshold a pair shares 8 of 16 on average, under 4 in 1 case of 100,
-# and each class is compared with many others), and classes drawn per key and round.
+# Keys that a candidate must share (at the threshold a pair shares 8 of 16 on average, under 4 in 1 case of 100),
+# and classes drawn per key and round.
 SHARED_KEYS = 4
 DRAWN = 8
+# Classes in one side of a tile, and buckets of the label counts that bound a similarity from above.
+TILE = 256
+BUCKETS = 256
 ID_HASHES = 2**19
 
 _BASE = 0x9E3779B97F4A7C15
@@ -230,6 +234,118 @@ def _candidates(shared: DataFrame, parts: DataFrame, drawn: list[Column], at_lea
     return pairs.select(*ends).distinct()
 
 
+def _tiled(shared: DataFrame, parts: DataFrame, tile: int) -> DataFrame:
+    """Every class once per tile of each of its keys that lie in several components.
+
+    ``shared``: rep, key, keys. ``parts``: rep, component. Returns rep, part, key, keys, own, first, second. The classes
+    of a key's largest component are not compared with each other, so their blocks only meet the other ones.
+    """
+    rows = shared.join(parts, "rep", "left").withColumn("part", F.coalesce("component", "rep"))
+    rows = store(rows.select("rep", "part", "key", "keys"), "key-parts")
+    spans = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    counts = rows.join(spans.select("key"), "key").groupBy("key", "part").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("key").agg(
+        F.max_by("part", F.struct("n", "part")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n")
+    )
+    small = F.col("n") <= tile
+    blocks = sizes.select(
+        "key",
+        "main",
+        F.when(small, 0).otherwise(F.ceil(F.col("n_main") / tile)).cast("int").alias("of_main"),
+        F.when(small, 1).otherwise(F.ceil((F.col("n") - F.col("n_main")) / tile)).cast("int").alias("of_others"),
+    )
+    rows = rows.join(blocks, "key").withColumn("inside", (F.col("part") == F.col("main")) & (F.col("of_main") > 0))
+    spread = F.xxhash64("rep", "key")
+    own = F.when(F.col("inside"), F.pmod(spread, F.col("of_main"))).otherwise(
+        F.col("of_main") + F.pmod(spread, F.col("of_others"))
+    )
+    rows = rows.withColumn("own", own.cast("int"))
+    start = F.when(F.col("inside"), F.col("of_main")).otherwise(F.lit(0))
+    rows = rows.withColumn("with", F.explode(F.sequence(start, F.col("of_main") + F.col("of_others") - 1)))
+    ends = F.least("own", "with").alias("first"), F.greatest("own", "with").alias("second")
+    return rows.select("rep", "part", "key", "keys", "own", *ends)
+
+
+class _Tile:
+    """Classes of one tile, and their links across components."""
+
+    def __init__(self, rows: list[dict], threshold: float, at_least: int):
+        self.rows, self.threshold, self.at_least = rows, threshold, at_least
+        self.labels = [np.frombuffer(r["labels"], dtype=np.uint32) for r in rows]
+        self.root = {r["part"]: r["part"] for r in rows}
+
+    def _find(self, part: int) -> int:
+        while self.root[part] != part:
+            self.root[part] = part = self.root[self.root[part]]
+        return part
+
+    def links(self) -> Iterator[tuple[int, int]]:
+        """Links that join two components each; pairs that are joined already are not compared."""
+        rows, found, threshold = self.rows, self.labels, self.threshold
+        if len(self.root) < 2:
+            return
+        part, own = (np.array([r[c] for r in rows]) for c in ("part", "own"))
+        keys = np.array([r["keys"] for r in rows])
+        size = np.array([len(x) for x in found])
+        apart = rows[0]["first"] != rows[0]["second"]
+        counts = None
+        if len(rows) > 4:
+            counts = np.stack([np.bincount(x % BUCKETS, minlength=BUCKETS) for x in found]).astype(np.int32)
+        for i in range(len(rows) - 1):
+            band = (size[i] + size) * (1 - threshold) / (1 + threshold) + 1e-9
+            wanted = (part != part[i]) & (np.abs(size - size[i]) <= band)
+            wanted[: i + 1] = False
+            if apart:
+                wanted &= own != own[i]
+            at = np.flatnonzero(wanted)
+            if not len(at):
+                continue
+            # A pair is compared in the tile of the first key that it shares.
+            same = keys[at] == keys[i]
+            here = keys[i][same.argmax(axis=1)] == rows[i]["key"]
+            at = at[here & (same.sum(axis=1) >= self.at_least)]
+            if counts is not None and len(at):
+                # Labels that are in one of both only are at least as many as the counts differ.
+                at = at[np.abs(counts[at] - counts[i]).sum(axis=1) <= band[at]]
+            for j in at.tolist():
+                a, b = self._find(rows[i]["part"]), self._find(rows[j]["part"])
+                if a != b and aligned_similarity(found[i], found[j], threshold) >= threshold:
+                    self.root[max(a, b)] = min(a, b)
+                    yield rows[i]["rep"], rows[j]["rep"]
+
+
+def _tile_links(tiled: DataFrame, threshold: float, at_least: int) -> DataFrame:
+    """Links ``a``, ``b`` found within all tiles; ``tiled`` has the rows of ``_tiled`` with labels."""
+    target = arrow_schema("a long, b long")
+
+    def tiles(parts: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+        held, held_of = [], None
+        for part in parts:
+            for row in part.to_pylist():
+                tile = row["key"], row["first"], row["second"]
+                if tile != held_of and held:
+                    yield held
+                    held = []
+                held_of = tile
+                held.append(row)
+        if held:
+            yield held
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = [], []
+        for rows in tiles(parts):
+            for x, y in _Tile(rows, threshold, at_least).links():
+                a.append(x)
+                b.append(y)
+            if len(a) >= 10_000:
+                yield pa.RecordBatch.from_pydict({"a": a, "b": b}, schema=target)
+                a, b = [], []
+        yield pa.RecordBatch.from_pydict({"a": a, "b": b}, schema=target)
+
+    tile = ["key", "first", "second"]
+    return tiled.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(batches, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -238,6 +354,7 @@ def near_duplicates(
     threshold: float = THRESHOLD,
     shared_keys: int = SHARED_KEYS,
     drawn: int = DRAWN,
+    tile: int = TILE,
 ) -> DataFrame:
     """Groups of exact and near copies: one row per input row.
 
@@ -286,6 +403,12 @@ def near_duplicates(
         parts = connected_components(links.select("a", "b").union(so_far)).withColumnRenamed("node", "rep")
         turn += 1
 
+    tiled = _tiled(shared, parts, tile).join(labelled, "rep")
+    links = store(_tile_links(tiled, threshold, shared_keys), "tile-links")
+    if not links.isEmpty():
+        so_far = parts.select(F.col("rep").alias("a"), F.col("component").alias("b"))
+        parts = connected_components(links.union(so_far)).withColumnRenamed("node", "rep")
+
     grouped = classes.join(parts, "rep", "left").select(
         "text_key", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")
     )

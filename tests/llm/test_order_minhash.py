@@ -137,3 +137,33 @@ def test_components(spark):
     known = [(a, b) for a, b in links if b is not None]
     assert {r.node: r.component for r in found} == components(known, {n for link in known for n in link})
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_pairs_below_a_shared_passage_are_all_found(spark):
+    # Families with a passage in common are below 0.8 to each other; each holds one pair at 0.8 or above.
+    rng = random.Random(11)
+    (passage,) = texts(12, 1, 200, 5000)
+    passage = " ".join(passage.split()[:180])
+    rows = []
+    for k in range(250):
+        own = " ".join(f"own{k}x{n}" for n in range(24))
+        rows += [f"{passage} {own}", f"{passage} {own} {' '.join(f'tail{k}x{n}' for n in range(44))}"]
+    table = list(enumerate(rows))
+    assert aligned(rows[0], rows[1]) >= 0.8 > max(aligned(rows[0], rows[3]), aligned(rows[0], rows[2]))
+    rng.shuffle(table)
+    found = omh.near_duplicates(docs(spark, table, 8)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {k: k - k % 2 for k in range(500)}
+
+
+def test_tiles_compare_what_the_first_rounds_leave(spark):
+    # Large and small groups whose members share few keys, in tiles of several blocks and in one tile per key.
+    rng = random.Random(13)
+    rows = []
+    for base in texts(14, 4, 60, 2000):
+        rows += [changed(rng, base, rng.choice([0, 1, 2, 3, 5, 8, 12])) for _ in range(rng.choice([3, 40]))]
+    table = list(enumerate(rows))
+    links = [(i, j) for i, x in table for j, y in table if i < j and (x == y or aligned(x, y) >= 0.8)]
+    exact = components(links, range(len(table)))
+    for tile in (4, 1000):
+        found = omh.near_duplicates(docs(spark, table), drawn=1, shared_keys=1, tile=tile).collect()
+        assert {r.doc_id: r.component_id for r in found} == exact
