@@ -39,9 +39,10 @@ WIDTH = 5
 THRESHOLD = 0.8
 SKETCHES = 16
 KEPT = 3
-# Keys that a candidate must share (at the threshold a pair shares 8 of 16 on average, under 4 in 1 case of 100),
-# and classes drawn per key and round.
-SHARED_KEYS = 4
+# Keys that a candidate must share, those it must share to be compared in a round already, and classes drawn per
+# key and round. The last two decide the work only, not the result.
+SHARED_KEYS = 1
+ROUND_KEYS = 4
 DRAWN = 8
 # Classes in one side of a tile, and buckets of the label counts that bound a similarity from above.
 TILE = 256
@@ -266,6 +267,23 @@ def _tiled(shared: DataFrame, parts: DataFrame, tile: int) -> DataFrame:
     return rows.select("rep", "part", "key", "keys", "own", *ends)
 
 
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``rep``, ``component`` after links ``a``, ``b`` between components; only the linked components are searched."""
+    found = connected_components(links)
+    moved = found.select(F.col("node").alias("component"), F.col("component").alias("onward"))
+    known = parts.join(moved, "component", "left").select("rep", F.coalesce("onward", "component").alias("component"))
+    new = found.withColumnRenamed("node", "rep").join(parts.select("rep"), "rep", "left_anti")
+    return store(known.union(new.select("rep", "component")), "parts")
+
+
+def _of_components(links: DataFrame, parts: DataFrame) -> DataFrame:
+    """The links as links between the components of their ends."""
+    for end in ("a", "b"):
+        of_end = parts.select(F.col("rep").alias(end), "component")
+        links = links.join(of_end, end, "left").withColumn(end, F.coalesce("component", end)).select("a", "b")
+    return links.distinct()
+
+
 class _Tile:
     """Classes of one tile, and their links across components."""
 
@@ -311,11 +329,11 @@ class _Tile:
                 a, b = self._find(rows[i]["part"]), self._find(rows[j]["part"])
                 if a != b and aligned_similarity(found[i], found[j], threshold) >= threshold:
                     self.root[max(a, b)] = min(a, b)
-                    yield rows[i]["rep"], rows[j]["rep"]
+                    yield a, b
 
 
 def _tile_links(tiled: DataFrame, threshold: float, at_least: int) -> DataFrame:
-    """Links ``a``, ``b`` found within all tiles; ``tiled`` has the rows of ``_tiled`` with labels."""
+    """Links ``a``, ``b`` between components, found within all tiles; ``tiled`` has the rows of ``_tiled`` with labels."""
     target = arrow_schema("a long, b long")
 
     def tiles(parts: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
@@ -393,21 +411,19 @@ def near_duplicates(
             order = [F.struct("weight", -F.col("rep"))]
         else:
             order = [F.xxhash64("rep", "key", F.lit(turn * drawn + k)) for k in range(drawn)]
-        pairs = _candidates(shared, parts, order, shared_keys)
+        pairs = _candidates(shared, parts, order, max(shared_keys, ROUND_KEYS))
         pairs = pairs.join(labelled.select(F.col("rep").alias("a"), F.col("labels").alias("labels_a")), "a")
         pairs = pairs.join(labelled.select(F.col("rep").alias("b"), F.col("labels").alias("labels_b")), "b")
         links = store(_verified(pairs, threshold), "near-links")
         if links.isEmpty():
             break
-        so_far = parts.select(F.col("rep").alias("a"), F.col("component").alias("b"))
-        parts = connected_components(links.select("a", "b").union(so_far)).withColumnRenamed("node", "rep")
+        parts = _joined(parts, _of_components(links.select("a", "b"), parts))
         turn += 1
 
     tiled = _tiled(shared, parts, tile).join(labelled, "rep")
     links = store(_tile_links(tiled, threshold, shared_keys), "tile-links")
     if not links.isEmpty():
-        so_far = parts.select(F.col("rep").alias("a"), F.col("component").alias("b"))
-        parts = connected_components(links.union(so_far)).withColumnRenamed("node", "rep")
+        parts = _joined(parts, links)
 
     grouped = classes.join(parts, "rep", "left").select(
         "text_key", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")

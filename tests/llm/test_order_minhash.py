@@ -167,3 +167,16 @@ def test_tiles_compare_what_the_first_rounds_leave(spark):
     for tile in (4, 1000):
         found = omh.near_duplicates(docs(spark, table), drawn=1, shared_keys=1, tile=tile).collect()
         assert {r.doc_id: r.component_id for r in found} == exact
+
+
+def test_short_pairs_at_the_threshold_are_found(spark):
+    # Five shingles against four, nine against nine: 0.8 exactly, against all pairs of the fixture.
+    rows = []
+    for k in range(400):
+        words = [f"a{k}x{n}" for n in range(13)]
+        rows += [" ".join(words[:9]), " ".join(words[:8])]
+        words = [f"b{k}x{n}" for n in range(14)]
+        rows += [" ".join(words[:13]), " ".join(words[1:14])]
+    assert aligned(rows[0], rows[1]) == aligned(rows[2], rows[3]) == 0.8
+    found = omh.near_duplicates(docs(spark, list(enumerate(rows)), 8)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {k: k - k % 2 for k in range(len(rows))}
