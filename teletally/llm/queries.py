@@ -16,6 +16,7 @@ from teletally.llm import (
     pii,
     sharding,
     token_counts,
+    token_planes,
     toxicity,
 )
 from teletally.llm.common import table
@@ -72,6 +73,10 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.document_token_counts(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op13_token_planes(spark: SparkSession, folder: str) -> DataFrame:
+    return token_planes.document_checksums(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_bpe": op2_bpe,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_order_minhash": op9_order_minhash,
     "op10_toxicity": op10_toxicity,
+    "op13_token_planes": op13_token_planes,
 }
 
 # The schedule of one period, turn by turn: counts of turns so far per source, and the source that takes
