@@ -17,26 +17,31 @@ only one number per writing task is summed up to find where its part begins.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from teletally.llm.common import arrow_schema, text_or_empty, worker_tool
-from teletally.storage import shared_path
+from teletally.storage import shared_path, store
 
 CHUNK = 2**16
 END = 1
 LEVEL = 3
 # Entries of the per-worker table of encoded words, and the longest word kept in it.
-WORDS = 400_000
+WORDS = 500_000
 LONGEST = 48
+# Signs that are words of their own behind letters.
+SIGNS = ".,!?:;"
+# Bytes of text that are encoded at a time.
+SLICE = 2**23
 
 _CHUNKS = (
     "part int, chunk long, first long, n int, crc long, carried long, open boolean, "
@@ -80,48 +85,66 @@ class WordEncoder:
         self._library.no_padding()
         self._words: dict[str, bytes] = {}
 
-    def _encoded(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words that the table does not hold, by the library."""
-        parts: dict[str, tuple[str, ...]] = {}
-        for word in words:
-            # Letters of Latin-1 stay single letters when the library normalises them, so a word ends behind them.
-            core = word.rstrip(".,!?:;")
-            ends = core != word and core[-1:].isalpha() and core[-1:] < "\u0100"
-            parts[word] = (core, word[len(core) :]) if ends else (word,)
+    @staticmethod
+    def _stems(words: pa.Array) -> tuple[pa.Array, list[int], list[str]]:
+        """Words without the signs behind them, ASCII letters in lower case; which words had signs, and those."""
+        plain = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<")))
+        low = pc.if_else(plain, pc.ascii_lower(words), words)
+        stems = pc.utf8_rtrim(low, characters=SIGNS)
+        # Letters of Latin-1 stay single letters when the library normalises them, so a word ends behind them.
+        stems = pc.if_else(pc.match_substring_regex(stems, "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]$"), stems, low)
+        sizes = pc.subtract(pc.binary_length(low), pc.binary_length(stems)).to_numpy()
+        at = np.flatnonzero(sizes)
+        signs = [word[-n:] for word, n in zip(low.take(pa.array(at)).to_pylist(), sizes[at].tolist(), strict=True)]
+        return stems, at.tolist(), signs
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of single words, by the table or else by the library."""
         known = self._words
-        wanted = list({part for both in parts.values() for part in both if part not in known})
-        encodings = self._library.encode_batch_fast(wanted, add_special_tokens=False)
-        fresh = {part: np.array(e.ids, dtype="<u4").tobytes() for part, e in zip(wanted, encodings, strict=True)}
-        found = {}
-        for word, both in parts.items():
-            found[word] = b"".join([known[p] if p in known else fresh[p] for p in both])
-        for held in (fresh, found):
-            for word, ids in held.items():
-                if len(known) >= WORDS:
-                    return found
-                if len(word) <= LONGEST:
-                    known[word] = ids
-        return found
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of every whole text, 32 bits each."""
-        known = self._words.get
-        found, lacking = [], set()
-        for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            ids = [known(word) for word in words]
-            if None in ids:
-                lacking.update([word for word, one in zip(words, ids, strict=True) if one is None])
-                found.append((words, ids))
-            else:
-                found.append(b"".join(ids))
+        found = list(map(known.get, words))
+        lacking = list({word for word, ids in zip(words, found, strict=True) if ids is None})
         if lacking:
-            fresh = self._encoded(list(lacking))
-            for k, held in enumerate(found):
-                if isinstance(held, tuple):
-                    found[k] = b"".join([fresh[w] if one is None else one for w, one in zip(*held, strict=True)])
+            encodings = self._library.encode_batch_fast(lacking, add_special_tokens=False)
+            fresh = {word: array("I", e.ids).tobytes() for word, e in zip(lacking, encodings, strict=True)}
+            found = [fresh[word] if ids is None else ids for word, ids in zip(words, found, strict=True)]
+            if len(known) < WORDS:
+                some = [(word, ids) for word, ids in fresh.items() if len(word) <= LONGEST]
+                known.update(some[: WORDS - len(known)])
         return found
 
+    def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all whole texts in a row, and where each text's ids begin and end; ``end`` stands behind each."""
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        borders = words.offsets.to_numpy() - words.offsets[0].as_py()
+        coded = words.flatten().dictionary_encode()
+        stems, at, signs = self._stems(coded.dictionary)
+        found = self._encoded(stems.to_pylist())
+        for k, ids in zip(at, self._encoded(signs), strict=True):
+            found[k] += ids
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        ids = np.frombuffer(b"".join(found), dtype="<u4")
+        at = coded.indices.to_numpy()
+        counts = sizes[at]
+        stops = np.cumsum(counts)
+        # The ids of the distinct words, repeated as the words are.
+        shift = (np.cumsum(sizes) - sizes)[at] - (stops - counts)
+        every = ids[np.repeat(shift, counts) + np.arange(stops[-1] if len(stops) else 0)]
+        borders = np.concatenate(([0], stops))[borders]
+        if end is None:
+            return every, borders
+        return np.insert(every, borders[1:], np.uint32(end)), borders + np.arange(len(borders))
+
+
+def _slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Rows from and to, of about ``most`` bytes of text, one row at least."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    low = 0
+    while low < len(sizes):
+        before = sizes[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(sizes, before + most, "right")))
+        yield low, high
+        low = high
+
 
 def _words_alone(content: str) -> bool:
     """Whether a tokenizer file drops white space before merging, so that words can be encoded one by one."""
@@ -133,7 +156,7 @@ def _words_alone(content: str) -> bool:
     dropped = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
     tokens = [t["content"] for t in read["added_tokens"]]
     plain = all(not (t["lstrip"] or t["rstrip"] or t["normalized"]) for t in read["added_tokens"])
-    cuts = set(" \n.,!?:;")
+    cuts = set(" \n" + SIGNS)
     return dropped and r"[^\s\p{L}\p{N}]+" in pattern and plain and not any(cuts & set(t) for t in tokens)
 
 
@@ -209,15 +232,14 @@ def write_token_files(
         vocabulary = shared.value
         encoder = worker_tool(("words", crc32(vocabulary)), lambda: WordEncoder(vocabulary.decode()))
         cutter = _Cutter(TaskContext.get().partitionId(), chunk, planes, level)
-        behind = np.array([end], dtype="<u4").tobytes()
 
         def rows() -> Iterator[tuple]:
             for part in parts:
-                for low in range(0, part.num_rows, 500):
-                    some = part.slice(low, 500)
-                    encoded = encoder.encode(some.column(1).to_pylist())
-                    for doc_id, ids in zip(some.column(0).to_pylist(), encoded, strict=True):
-                        yield from cutter.add(doc_id, np.frombuffer(ids + behind, dtype="<u4"))
+                for low, high in _slices(part.column(1), SLICE):
+                    some = part.slice(low, high - low)
+                    ids, borders = encoder.encode(some.column(1), end)
+                    for k, doc_id in enumerate(some.column(0).to_pylist()):
+                        yield from cutter.add(doc_id, ids[borders[k] : borders[k + 1]])
             yield from cutter.rest()
 
         for row in rows():
@@ -334,23 +356,35 @@ def joined_crc(crc: int, crc_next: int, size_next: int) -> int:
     return carried ^ plain ^ crc_next
 
 
-def _stitched(frame: pd.DataFrame) -> pd.DataFrame:
-    """The document that some pieces make up; a piece is a count and a checksum."""
-    frame = frame.sort_values("at")
-    crc = 0
-    for n, value in zip(frame["n"], frame["value"], strict=True):
-        crc = joined_crc(crc, int(value), 4 * int(n))
-    doc_id = frame["doc_id"].astype("Int64").iloc[:1].reset_index(drop=True)
-    return pd.DataFrame({"doc_id": doc_id, "start": [frame["start"].iloc[0]], "n": [int(frame["n"].sum())], "value": [crc]})
-
-
 def checksums(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` of every document in the files.
 
     A document that lies in several chunks is put together from their checksums, not from its ids.
     """
-    pieces = _pieces(_chunks(spark, path), lambda ids: crc32(ids.tobytes()), "long")
-    cut = pieces.where("NOT whole").groupBy("start").applyInPandas(_stitched, "doc_id long, start long, n long, value long")
+    schema = "doc_id long, start long, n long, value long"
+    target = arrow_schema(schema)
+
+    def joined(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents out of their pieces, which come in order."""
+        held = None
+        for part in parts:
+            found = []
+            for doc_id, start, n, value in zip(*(part.column(k).to_pylist() for k in range(4)), strict=True):
+                if held is not None and held[1] == start:
+                    held = doc_id, start, held[2] + n, joined_crc(held[3], value, 4 * n)
+                    continue
+                if held is not None:
+                    found.append(held)
+                held = doc_id, start, n, value
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), target)], schema=target)
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(held, target)], schema=target)
+
+    # Stored: they are read twice, and chunks are decoded once.
+    pieces = store(_pieces(_chunks(spark, path), lambda ids: crc32(ids.tobytes()), "long"), "token-pieces")
+    cut = pieces.where("NOT whole").repartition("start").sortWithinPartitions("start", "at")
+    cut = cut.select("doc_id", "start", "n", "value").mapInArrow(joined, schema)
     every = pieces.where("whole").select("doc_id", "start", "n", "value").union(cut)
     return every.select("doc_id", "start", F.col("n").alias("n_tokens"), F.col("value").alias("ids_crc32"))
 
