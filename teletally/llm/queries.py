@@ -10,6 +10,7 @@ from teletally.llm import (
     bpe,
     embedding_dedup,
     fingerprints,
+    hard_negatives,
     language_model,
     mixing,
     order_minhash,
@@ -73,6 +74,11 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.document_token_counts(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    found = table(spark, folder, "embeddings")
+    return hard_negatives.mine(found, label=hard_negatives.seventh_relabelled())
+
+
 def op13_token_planes(spark: SparkSession, folder: str) -> DataFrame:
     return token_planes.document_checksums(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -88,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_order_minhash": op9_order_minhash,
     "op10_toxicity": op10_toxicity,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_token_planes": op13_token_planes,
 }
 
@@ -160,9 +167,33 @@ SELECT e.vec_id, coalesce(d.n, 0) AS n_links, c.component_id, e.vec_id = c.compo
 FROM embeddings e JOIN components c ON c.vec_id = e.vec_id LEFT JOIN degrees d ON d.vec_id = e.vec_id
 """
 
+NEGATIVES_SQL = """
+WITH usable AS (
+    SELECT row_number() OVER () AS number, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.number AS anchor, a.vec_id AS anchor_id, b.number AS other, b.vec_id AS other_id, a.label = b.label AS same,
+        CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.number <> b.number AND len(a.v) = len(b.v)),
+positives AS (
+    SELECT anchor, anchor_id, other, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id, other) <= 5),
+found AS (
+    SELECT p.anchor_id, p.positive_id, s.other_id AS negative_id, p.positive_score, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other_id, s.other) AS place
+    FROM positives p JOIN scored s ON s.anchor = p.anchor AND NOT s.same
+        AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM found WHERE place <= 3
+"""
+
 # The others rest on hashes, checksums, merges or models that SQL does not have; tests hold them against
 # brute force.
 SQL: dict[str, str] = {
     "op3_mixing": MIXING_SQL,
     "op5_embedding_dedup": EMBEDDING_SQL,
+    "op12_hard_negatives": NEGATIVES_SQL,
 }
