@@ -85,6 +85,15 @@ class Lists:
         order = np.lexsort((rows, ids))
         self.rows, self.ids, self.labels, self.vectors = rows[order], ids[order], labels[order], vectors[order]
         self.order = np.argsort(self.vectors, axis=0, kind="stable").T.copy()
+        # Doubles hold these integers, and sums of their products up to 2**53, exactly; they multiply much faster.
+        self.exact = self.vectors.astype(np.float64)
+        self.longest = float(np.sqrt((self.exact**2).sum(axis=1)).max(initial=0))
+
+    def _scores(self, at: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+        """Inner products of some rows with the anchor."""
+        if self.longest * math.sqrt(float((anchor.astype(np.float64) ** 2).sum())) < 2**52:
+            return (self.exact[at] @ anchor.astype(np.float64)).astype(np.int64)
+        return self.vectors[at] @ anchor
 
     def best(
         self, anchor: np.ndarray, windows: np.ndarray, places: int, barred: np.ndarray, step: int = STEP
@@ -96,25 +105,28 @@ class Lists:
         count = len(self.rows)
         used = np.flatnonzero(anchor)
         weights = anchor[used]
-        seen = np.zeros(count, dtype=bool)
+        # Rows not seen yet, and what a step has read of them.
+        unseen, read_now = np.ones(count, dtype=bool), np.zeros(count, dtype=bool)
+        left = count
         none = np.zeros(0, dtype=np.int64)
         held = [(none, none)] * len(windows)
         depth = scored = 0
-        while depth < count:
+        while left:
             if len(used):
                 ranks = np.arange(depth, min(depth + step, count))
                 from_top = np.where((weights > 0)[:, None], count - 1 - ranks, ranks)
                 read = self.order[used[:, None], from_top]
                 most = int(weights @ self.vectors[read[:, -1], used])
-                fresh = np.unique(read)
+                read_now[read] = True
+                fresh = np.flatnonzero(read_now & unseen)
                 depth, step = depth + len(ranks), 2 * step
             else:
                 # Every row scores 0, and no list tells rows apart.
-                fresh, depth, most = np.arange(count), count, 0
-            fresh = fresh[~seen[fresh]]
-            seen[fresh] = True
+                fresh, most = np.arange(count), 0
+            unseen[fresh] = False
+            left -= len(fresh)
             fresh = fresh[~barred[fresh]]
-            scores = self.vectors[fresh] @ anchor
+            scores = self._scores(fresh, anchor)
             scored += len(fresh)
             for w, (at, value) in enumerate(held):
                 fits = (scores >= windows[w, 0]) & (scores <= windows[w, 1])
