@@ -12,6 +12,7 @@ from teletally.llm import (
     fingerprints,
     hard_negatives,
     language_model,
+    lexical_search,
     mixing,
     order_minhash,
     pii,
@@ -74,6 +75,11 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.document_token_counts(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    index = lexical_search.build_index(table(spark, folder, "documents"))
+    return lexical_search.search(index, table(spark, folder, "benchmark"))
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     found = table(spark, folder, "embeddings")
     return hard_negatives.mine(found, label=hard_negatives.seventh_relabelled())
@@ -94,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_order_minhash": op9_order_minhash,
     "op10_toxicity": op10_toxicity,
+    "op11_lexical_search": op11_lexical_search,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_token_planes": op13_token_planes,
 }
@@ -167,6 +174,33 @@ SELECT e.vec_id, coalesce(d.n, 0) AS n_links, c.component_id, e.vec_id = c.compo
 FROM embeddings e JOIN components c ON c.vec_id = e.vec_id LEFT JOIN degrees d ON d.vec_id = e.vec_id
 """
 
+SEARCH_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents),
+items AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark),
+postings AS (SELECT row, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM docs GROUP BY row, term),
+sizes AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM postings GROUP BY row),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM postings, totals GROUP BY term),
+scores AS (
+    SELECT i.item_id, p.row, p.doc_id, CAST(sum(
+        w * ((1000000000 * p.tf) // (1000 * p.tf + 20 * (100 - 50 + (50 * n * docs) // terms)))) AS BIGINT) AS score
+    FROM items i JOIN postings p ON p.term = i.term JOIN weights ON weights.term = p.term JOIN sizes ON sizes.row = p.row, totals
+    GROUP BY i.item_id, p.row, p.doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 50
+"""
+
 NEGATIVES_SQL = """
 WITH usable AS (
     SELECT row_number() OVER () AS number, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -195,5 +229,6 @@ FROM found WHERE place <= 3
 SQL: dict[str, str] = {
     "op3_mixing": MIXING_SQL,
     "op5_embedding_dedup": EMBEDDING_SQL,
+    "op11_lexical_search": SEARCH_SQL,
     "op12_hard_negatives": NEGATIVES_SQL,
 }

@@ -88,11 +88,12 @@ def test_registered_queries():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert "pipeline" in names and [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert "pipeline" in names and [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert set(entry.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+# The search and the negatives give a few rows per item and anchor; their own tests hold them against SQL.
+@pytest.mark.parametrize("name", sorted(n for n in queries.QUERIES if not n.startswith(("op11", "op12"))))
 def test_queries_cover_their_whole_tables(spark, name):
     folder = "/root/testdata/sf0.001"
     column = "vec_id" if name.startswith("op5") else "doc_id"
