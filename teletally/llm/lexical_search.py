@@ -88,7 +88,8 @@ def _counted(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray, np.n
     """Terms in order; and for every term of every text, ordered by term: term, text, count."""
     texts = pa.concat_arrays([texts])
     _, offsets, data = texts.buffers()
-    table = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, offsets, pa.py_buffer(data.to_pybytes().translate(_TABLE))])
+    plain = (data.to_pybytes() if data else b"").translate(_TABLE)
+    table = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, offsets, pa.py_buffer(plain)])
     parts = pc.split_pattern(table, b" ")
     coded = parts.flatten().dictionary_encode()
     of_text = np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))

@@ -12,19 +12,19 @@ matches that rises on both sides, and matches farther off the diagonal than the
 of insertions and deletions cannot belong to an alignment that reaches the threshold. The
 similarity is the aligned share of the union of shingles.
 
-Only classes of equal texts are compared. In the first round every class is compared with the most
-connected one of each of its keys; classes that are linked then count as one component, and in every
-further round the keys whose classes lie in several components compare them with some classes drawn
-afresh, until a round links nothing. These rounds only save work: afterwards every pair of candidates
-that still lies in two components is compared, in square tiles of a key's classes, so that no task holds
-more than two tiles and no row is made per pair.
+Only classes of equal texts are compared. First every class meets the most connected one of each of its keys, and linked
+classes become components. What is left are keys whose classes lie in several components. They are not compared
+all with all: two label sets at a similarity of t share a label among the rarest few of each (of n labels, the
+n - ceil(t n) + 1 rarest), so only classes meet that have such a rare label in common. What merely shares a
+common passage has rarer labels of its own, and never meets. Classes that do meet are sifted by their keys and by counts
+of their labels, which bound the similarity from above; what is left is aligned, for each class the most promising
+one of every other component first, then all of them. So no pair that shares a key is missed.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +39,13 @@ WIDTH = 5
 THRESHOLD = 0.8
 SKETCHES = 16
 KEPT = 3
-# Keys that a candidate must share, those it must share to be compared in a round already, and classes drawn per
-# key and round. The last two decide the work only, not the result.
+# Keys that a candidate must share, and those it must share to meet the leader of a key already, which decides
+# the work only, not the result.
 SHARED_KEYS = 1
 ROUND_KEYS = 4
-DRAWN = 8
-# Classes in one side of a tile, and buckets of the label counts that bound a similarity from above.
-TILE = 256
+# Leaders of a key, classes in one side of a tile, and buckets of the label counts that bound a similarity from above.
+DRAWN = 1
+TILE = 2048
 BUCKETS = 256
 ID_HASHES = 2**19
 
@@ -160,15 +160,22 @@ def _longest_rise(values: np.ndarray) -> int:
     return len(tails)
 
 
+def text_key(text_column: str = "text") -> Column:
+    """Digest of the text; a null text counts as empty."""
+    return F.unhex(F.substring(F.sha2(text_or_empty(text_column).cast("binary"), 256), 1, 32))
+
+
 def sketches(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id``, ``text_key`` (digest of the text) and ``keys`` of every row; a null text counts as empty."""
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
-        texts = batch["text"]
-        digests = [blake2b(text.encode("utf-8", "replace"), digest_size=16).digest() for text in texts]
-        return {"doc_id": batch["doc_id"], "text_key": digests, "keys": [_keys(text) for text in texts]}
+        return {"doc_id": batch["doc_id"], "text_key": batch["text_key"], "keys": [_keys(t) for t in batch["text"]]}
 
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
+    texts = docs.select(
+        F.col(id_column).cast("long").alias("doc_id"),
+        text_key(text_column).alias("text_key"),
+        text_or_empty(text_column).alias("text"),
+    )
     return map_rows(texts, "doc_id long, text_key binary, keys array<long>", rows)
 
 
@@ -179,18 +186,19 @@ def _keys(text: str) -> np.ndarray:
 
 
 def _with_labels(texts: DataFrame) -> DataFrame:
-    """``rep`` and the label sequence as bytes (32 bits a label), from ``rep``, ``text``."""
+    """``node`` and the label sequence as bytes (32 bits a label), from ``node``, ``text``."""
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
         found = [(labels(word_hashes(text)) >> np.uint64(32)).astype(np.uint32).tobytes() for text in batch["text"]]
-        return {"rep": batch["rep"], "labels": found}
+        return {"node": batch["node"], "labels": found}
 
-    return map_rows(texts, "rep long, labels binary", rows)
+    return map_rows(texts, "node binary, labels binary", rows)
 
 
-def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
-    """Links among pairs ``a``, ``b`` that come with both label sequences."""
-    target = arrow_schema("a long, b long, similarity double")
+def _verified(pairs: DataFrame, labelled: DataFrame, threshold: float) -> DataFrame:
+    """Links among pairs of nodes ``a``, ``b``."""
+    schema = "a binary, b binary, similarity double"
+    target = arrow_schema(schema)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -204,7 +212,9 @@ def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
             columns = {"a": [a[k] for k in kept], "b": [b[k] for k in kept], "similarity": [found[k] for k in kept]}
             yield pa.RecordBatch.from_pydict(columns, schema=target)
 
-    return pairs.mapInArrow(batches, "a long, b long, similarity double")
+    for end in ("a", "b"):
+        pairs = pairs.join(labelled.select(F.col("node").alias(end), F.col("labels").alias(f"labels_{end}")), end)
+    return pairs.mapInArrow(batches, schema)
 
 
 def _in_common(x: Column, y: Column) -> Column:
@@ -213,155 +223,158 @@ def _in_common(x: Column, y: Column) -> Column:
     return F.aggregate(same, F.lit(0), lambda total, one: total + one)
 
 
-def _candidates(shared: DataFrame, parts: DataFrame, drawn: list[Column], at_least: int) -> DataFrame:
-    """Pairs of each class with the ones drawn from its keys, across components.
+def _with_leaders(shared: DataFrame, drawn: int, at_least: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of each class with the leaders of its keys.
 
-    ``shared``: rep, key, weight, keys. ``parts``: rep, component. ``drawn``: per class drawn, the order in
-    which the first of a key is taken.
+    ``shared``: node, key, weight, keys. The first leader of a key is its most connected class, others are drawn.
     """
-    rows = shared.join(parts, "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
-    one = F.struct("rep", "part", "keys")
-    leaders = rows.groupBy("key").agg(
-        F.array(*[F.max_by(one, order) for order in drawn]).alias("leaders"),
-        F.min("part").alias("low"),
-        F.max("part").alias("high"),
-    )
-    mixed_keys = leaders.where("low < high").select("key", "leaders")
-    met = rows.join(mixed_keys, "key").select("rep", "part", "keys", F.explode("leaders").alias("leader"))
+    orders = [F.struct("weight", "node"), *[F.xxhash64("node", "key", F.lit(k)) for k in range(1, drawn)]]
+    one = F.struct("node", "keys")
+    leaders = shared.groupBy("key").agg(F.array(*[F.max_by(one, order) for order in orders]).alias("leaders"))
+    met = shared.join(leaders, "key").select("node", "keys", F.explode("leaders").alias("leader"))
     pairs = met.where(
-        (F.col("part") != F.col("leader.part")) & (_in_common(F.col("keys"), F.col("leader.keys")) >= at_least)
+        (F.col("node") != F.col("leader.node")) & (_in_common(F.col("keys"), F.col("leader.keys")) >= at_least)
     )
-    ends = F.least("rep", "leader.rep").alias("a"), F.greatest("rep", "leader.rep").alias("b")
+    ends = F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")
     return pairs.select(*ends).distinct()
 
 
-def _tiled(shared: DataFrame, parts: DataFrame, tile: int) -> DataFrame:
-    """Every class once per tile of each of its keys that lie in several components.
+def _in_parts(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """The rows with ``part``, the component of their ``node``, itself where it has no link yet."""
+    found = rows.join(parts, "node", "left")
+    return found.withColumn("part", F.coalesce("component", "node")).drop("component")
 
-    ``shared``: rep, key, keys. ``parts``: rep, component. Returns rep, part, key, keys, own, first, second. The classes
-    of a key's largest component are not compared with each other, so their blocks only meet the other ones.
-    """
-    rows = shared.join(parts, "rep", "left").withColumn("part", F.coalesce("component", "rep"))
-    rows = store(rows.select("rep", "part", "key", "keys"), "key-parts")
-    spans = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    counts = rows.join(spans.select("key"), "key").groupBy("key", "part").agg(F.count("*").alias("n"))
-    sizes = counts.groupBy("key").agg(
-        F.max_by("part", F.struct("n", "part")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n")
-    )
-    small = F.col("n") <= tile
-    blocks = sizes.select(
-        "key",
-        "main",
-        F.when(small, 0).otherwise(F.ceil(F.col("n_main") / tile)).cast("int").alias("of_main"),
-        F.when(small, 1).otherwise(F.ceil((F.col("n") - F.col("n_main")) / tile)).cast("int").alias("of_others"),
-    )
-    rows = rows.join(blocks, "key").withColumn("inside", (F.col("part") == F.col("main")) & (F.col("of_main") > 0))
-    spread = F.xxhash64("rep", "key")
-    own = F.when(F.col("inside"), F.pmod(spread, F.col("of_main"))).otherwise(
-        F.col("of_main") + F.pmod(spread, F.col("of_others"))
-    )
-    rows = rows.withColumn("own", own.cast("int"))
-    start = F.when(F.col("inside"), F.col("of_main")).otherwise(F.lit(0))
-    rows = rows.withColumn("with", F.explode(F.sequence(start, F.col("of_main") + F.col("of_others") - 1)))
-    ends = F.least("own", "with").alias("first"), F.greatest("own", "with").alias("second")
-    return rows.select("rep", "part", "key", "keys", "own", *ends)
 
+def _spanning(rows: DataFrame, by: str) -> DataFrame:
+    """Values of a column whose rows lie in several components, and how many rows they have."""
+    found = rows.groupBy(by).agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("rows"))
+    return found.where("low < high").select(by, "rows")
 
-def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
-    """``rep``, ``component`` after links ``a``, ``b`` between components; only the linked components are searched."""
-    found = connected_components(links)
-    moved = found.select(F.col("node").alias("component"), F.col("component").alias("onward"))
-    known = parts.join(moved, "component", "left").select("rep", F.coalesce("onward", "component").alias("component"))
-    new = found.withColumnRenamed("node", "rep").join(parts.select("rep"), "rep", "left_anti")
-    return store(known.union(new.select("rep", "component")), "parts")
 
+def _signed(undecided: DataFrame, labelled: DataFrame) -> DataFrame:
+    """``size`` of the label sequence, ``counts`` of its labels in buckets and its ``distinct`` labels, beside the rest."""
+    schema = "node binary, part binary, keys array<long>, size int, counts binary, distinct array<int>"
 
-def _of_components(links: DataFrame, parts: DataFrame) -> DataFrame:
-    """The links as links between the components of their ends."""
-    for end in ("a", "b"):
-        of_end = parts.select(F.col("rep").alias(end), "component")
-        links = links.join(of_end, end, "left").withColumn(end, F.coalesce("component", end)).select("a", "b")
-    return links.distinct()
+    def rows(batch: dict[str, list]) -> dict[str, list]:
+        found = [np.frombuffer(value, dtype=np.uint32) for value in batch["labels"]]
+        # Counts are cut off at 255, which only lowers their differences.
+        counts = [np.minimum(np.bincount(x % BUCKETS, minlength=BUCKETS), 255).astype(np.uint8).tobytes() for x in found]
+        kept = {name: batch[name] for name in ("node", "part", "keys")}
+        return kept | {"size": [len(x) for x in found], "counts": counts, "distinct": [np.unique(x).view(np.int32) for x in found]}
+
+    return map_rows(undecided.join(labelled, "node").select("node", "part", "keys", "labels"), schema, rows)
+
+
+def _rarest(signed: DataFrame, threshold: float) -> DataFrame:
+    """``node``, ``label``: of each class the rarest labels, one of which it shares with every class at the threshold.
+
+    Only labels that some class of another component has as well; rare is what few of the classes here have.
+    """
+    words = signed.select("node", "part", F.size("distinct").alias("n"), F.explode("distinct").alias("label"))
+    common = words.groupBy("label").agg(
+        F.count("*").alias("df"), (F.min("part") < F.max("part")).alias("spans")
+    ).where("df > 1")
+    held = words.join(common, "label").groupBy("node", "n").agg(
+        F.array_sort(F.collect_list(F.struct("df", "label", "spans"))).alias("held")
+    )
+    # Labels that no other class has come first in this order.
+    wanted = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1 - (F.col("n") - F.size("held"))
+    held = held.withColumn("wanted", wanted.cast("int")).where("wanted > 0")
+    found = held.select("node", F.explode(F.expr("slice(held, 1, wanted)")).alias("one"))
+    return found.where("one.spans").select("node", "one.label")
 
 
 class _Tile:
-    """Classes of one tile, and their links across components."""
+    """Classes of one tile, and the pairs across components that no bound excludes."""
 
     def __init__(self, rows: list[dict], threshold: float, at_least: int):
         self.rows, self.threshold, self.at_least = rows, threshold, at_least
-        self.labels = [np.frombuffer(r["labels"], dtype=np.uint32) for r in rows]
-        self.root = {r["part"]: r["part"] for r in rows}
-
-    def _find(self, part: int) -> int:
-        while self.root[part] != part:
-            self.root[part] = part = self.root[self.root[part]]
-        return part
-
-    def links(self) -> Iterator[tuple[int, int]]:
-        """Links that join two components each; pairs that are joined already are not compared."""
-        rows, found, threshold = self.rows, self.labels, self.threshold
-        if len(self.root) < 2:
+
+    def pairs(self, best: bool) -> Iterator[tuple[bytes, bytes]]:
+        """All such pairs, or per class and other component the one whose counts differ least."""
+        rows, threshold = self.rows, self.threshold
+        number = {part: k for k, part in enumerate({r["part"] for r in rows})}
+        if len(number) < 2:
             return
-        part, own = (np.array([r[c] for r in rows]) for c in ("part", "own"))
-        keys = np.array([r["keys"] for r in rows])
-        size = np.array([len(x) for x in found])
+        part = np.array([number[r["part"]] for r in rows])
+        own = np.array([r["own"] for r in rows])
         apart = rows[0]["first"] != rows[0]["second"]
-        counts = None
-        if len(rows) > 4:
-            counts = np.stack([np.bincount(x % BUCKETS, minlength=BUCKETS) for x in found]).astype(np.int32)
+        size = np.array([r["size"] for r in rows])
+        keys = np.array([r["keys"] for r in rows])
+        counts = np.frombuffer(b"".join([r["counts"] for r in rows]), dtype=np.uint8).reshape(len(rows), -1).astype(np.int16)
         for i in range(len(rows) - 1):
+            # Insertions and deletions that an alignment may have to reach the threshold.
             band = (size[i] + size) * (1 - threshold) / (1 + threshold) + 1e-9
             wanted = (part != part[i]) & (np.abs(size - size[i]) <= band)
             wanted[: i + 1] = False
             if apart:
                 wanted &= own != own[i]
             at = np.flatnonzero(wanted)
-            if not len(at):
-                continue
-            # A pair is compared in the tile of the first key that it shares.
-            same = keys[at] == keys[i]
-            here = keys[i][same.argmax(axis=1)] == rows[i]["key"]
-            at = at[here & (same.sum(axis=1) >= self.at_least)]
-            if counts is not None and len(at):
-                # Labels that are in one of both only are at least as many as the counts differ.
-                at = at[np.abs(counts[at] - counts[i]).sum(axis=1) <= band[at]]
+            at = at[(keys[at] == keys[i]).sum(axis=1) >= self.at_least]
+            # Labels that are in one of both only are at least as many as the counts differ.
+            far = np.abs(counts[at] - counts[i]).sum(axis=1)
+            at, far = at[far <= band[at]], far[far <= band[at]]
+            if best and len(at) > 1:
+                order = np.lexsort((at, far, part[at]))
+                first = np.concatenate(([True], np.diff(part[at][order]) > 0))
+                at = at[order[first]]
             for j in at.tolist():
-                a, b = self._find(rows[i]["part"]), self._find(rows[j]["part"])
-                if a != b and aligned_similarity(found[i], found[j], threshold) >= threshold:
-                    self.root[max(a, b)] = min(a, b)
-                    yield a, b
+                a, b = rows[i]["node"], rows[j]["node"]
+                yield (a, b) if a < b else (b, a)
 
 
-def _tile_links(tiled: DataFrame, threshold: float, at_least: int) -> DataFrame:
-    """Links ``a``, ``b`` between components, found within all tiles; ``tiled`` has the rows of ``_tiled`` with labels."""
-    target = arrow_schema("a long, b long")
+def _meeting(rare: DataFrame, signed: DataFrame, parts: DataFrame, threshold: float, at_least: int, tile: int, best: bool) -> DataFrame:
+    """Pairs ``a``, ``b`` of classes in different components that share a rare label and that no bound excludes."""
+    schema = "a binary, b binary"
+    target = arrow_schema(schema)
 
-    def tiles(parts: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
         held, held_of = [], None
-        for part in parts:
-            for row in part.to_pylist():
-                tile = row["key"], row["first"], row["second"]
-                if tile != held_of and held:
+        for batch in batches:
+            for row in batch.to_pylist():
+                of = row["label"], row["first"], row["second"]
+                if of != held_of and held:
                     yield held
                     held = []
-                held_of = tile
+                held_of = of
                 held.append(row)
         if held:
             yield held
 
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
-        for rows in tiles(parts):
-            for x, y in _Tile(rows, threshold, at_least).links():
+        for rows in tiles(batches):
+            for x, y in _Tile(rows, threshold, at_least).pairs(best):
                 a.append(x)
                 b.append(y)
-            if len(a) >= 10_000:
-                yield pa.RecordBatch.from_pydict({"a": a, "b": b}, schema=target)
-                a, b = [], []
+                if len(a) == 10_000:
+                    yield pa.RecordBatch.from_pydict({"a": a, "b": b}, schema=target)
+                    a, b = [], []
         yield pa.RecordBatch.from_pydict({"a": a, "b": b}, schema=target)
 
-    tile = ["key", "first", "second"]
-    return tiled.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(batches, "a long, b long")
+    rows = _in_parts(rare, parts)
+    # A label of very many classes is compared in square tiles.
+    rows = rows.join(_spanning(rows, "label"), "label").withColumn("tiles", F.ceil(F.col("rows") / tile).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node", "label"), F.col("tiles")).cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    rows = rows.select(
+        "node", "part", "label", "own", F.least("own", "with").alias("first"), F.greatest("own", "with").alias("second")
+    )
+    rows = rows.join(signed.select("node", "keys", "size", "counts"), "node")
+    of = ["label", "first", "second"]
+    return rows.repartition(*of).sortWithinPartitions(*of).mapInArrow(found, schema).distinct()
+
+
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``node``, ``component`` after more links ``a``, ``b``; only the linked components are searched."""
+    for end in ("a", "b"):
+        of_end = parts.select(F.col("node").alias(end), "component")
+        links = links.join(of_end, end, "left").withColumn(end, F.coalesce("component", end)).select("a", "b")
+    found = connected_components(links.distinct())
+    moved = found.select(F.col("node").alias("component"), F.col("component").alias("onward"))
+    known = parts.join(moved, "component", "left").select("node", F.coalesce("onward", "component").alias("component"))
+    new = found.join(parts.select("node"), "node", "left_anti").select("node", "component")
+    return store(known.union(new), "parts")
 
 
 def near_duplicates(
@@ -377,61 +390,64 @@ def near_duplicates(
     """Groups of exact and near copies: one row per input row.
 
     Returns doc_id, text_key, class_id (smallest doc_id with the same text), component_id (smallest
-    doc_id reachable by links), kept (whether the row's text is the one that stays for its group: the
-    component's smallest doc_id). Null and empty texts are equal to each other and near to nothing.
-    Rows without an id are in no group: class and component are null and they are kept. Rows that share
-    an id are one document to the links, whatever their texts; repeated rows get the same row each. An empty table gives an empty result; other columns are ignored.
+    doc_id reachable by links), kept (whether the row is the one that stays for its group: it has the smallest
+    doc_id, and of several texts with that id the one whose digest is lowest). Null and empty texts are equal to each
+    other and near to nothing. Texts are what is linked: rows that share an id but not the text are compared each for
+    itself. Rows without an id are in no group: class and component are null and they are kept. Repeated rows
+    get the same row each. An empty table gives an empty result; other columns are ignored.
+
+    ``drawn``: leaders of a key that its classes meet first; ``tile``: classes in one side of a tile. Both decide
+    the work only.
     """
     rows = store(sketches(docs, id_column=id_column, text_column=text_column), "sketches")
     named = rows.where(F.col("doc_id").isNotNull())
-    classes = named.groupBy("text_key").agg(F.min("doc_id").alias("rep"))
-    heads = named.join(classes.withColumnRenamed("rep", "doc_id"), ["text_key", "doc_id"], "left_semi")
-    heads = heads.dropDuplicates(["text_key"]).select(F.col("doc_id").alias("rep"), "text_key", "keys")
-    keyed = heads.select("rep", F.explode("keys").alias("key"))
+    classes = named.groupBy(F.col("text_key").alias("node")).agg(F.min("doc_id").alias("class_id"), F.first("keys").alias("keys"))
+    classes = store(classes, "classes")
+    keyed = classes.select("node", F.explode("keys").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    in_company = keyed.join(sizes, "key").groupBy("rep").agg(F.sum(F.col("size") - 1).alias("weight"))
-    company = store(heads.join(in_company, "rep"), "candidates")
-
-    texts = docs.select(F.col(id_column).cast("long").alias("rep"), text_or_empty(text_column).alias("text"))
-    # Most texts have no company. Filters by hashed id before the shuffle: at most ``ID_HASHES`` numbers.
-    hashed = F.pmod(F.xxhash64("rep"), F.lit(ID_HASHES).cast("long")).cast("int").alias("_hash")
-    texts = texts.withColumn("_hash", hashed)
-    texts = texts.join(F.broadcast(company.select(hashed).distinct()), "_hash", "left_semi").drop("_hash")
-    texts = texts.join(company.select("rep"), "rep", "left_semi")
-    labelled = store(_with_labels(texts), "labels")
-    shared = store(
-        company.select("rep", "weight", "keys", F.explode("keys").alias("key")).join(sizes.select("key"), "key"),
-        "shared-keys",
+    in_company = keyed.join(sizes, "key").groupBy("node").agg(F.sum(F.col("size") - 1).alias("weight"))
+    company = store(classes.join(in_company, "node").select("node", "keys", "weight"), "candidates")
+
+    texts = docs.select(
+        F.col(id_column).cast("long").alias("doc_id"), text_key(text_column).alias("node"), text_or_empty(text_column).alias("text")
     )
+    # Most texts have no company. Filters by hashed key before the shuffle: at most ``ID_HASHES`` numbers.
+    hashed = F.pmod(F.xxhash64("node"), F.lit(ID_HASHES).cast("long")).cast("int").alias("hashed")
+    texts = texts.where("doc_id IS NOT NULL").withColumn("hashed", hashed)
+    texts = texts.join(F.broadcast(company.select(hashed).distinct()), "hashed", "left_semi")
+    # One row per text before the shuffle, whatever the number of its copies.
+    texts = texts.groupBy("node").agg(F.first("text").alias("text")).join(company.select("node"), "node", "left_semi")
+    labelled = store(_with_labels(texts), "labels")
+    shared = company.select("node", "weight", "keys", F.explode("keys").alias("key")).join(sizes.select("key"), "key")
+    shared = store(shared, "shared-keys")
 
-    parts = docs.sparkSession.createDataFrame([], "rep long, component long")
-    turn = 0
-    while True:
-        if turn == 0:
-            order = [F.struct("weight", -F.col("rep"))]
-        else:
-            order = [F.xxhash64("rep", "key", F.lit(turn * drawn + k)) for k in range(drawn)]
-        pairs = _candidates(shared, parts, order, max(shared_keys, ROUND_KEYS))
-        pairs = pairs.join(labelled.select(F.col("rep").alias("a"), F.col("labels").alias("labels_a")), "a")
-        pairs = pairs.join(labelled.select(F.col("rep").alias("b"), F.col("labels").alias("labels_b")), "b")
-        links = store(_verified(pairs, threshold), "near-links")
-        if links.isEmpty():
-            break
-        parts = _joined(parts, _of_components(links.select("a", "b"), parts))
-        turn += 1
-
-    tiled = _tiled(shared, parts, tile).join(labelled, "rep")
-    links = store(_tile_links(tiled, threshold, shared_keys), "tile-links")
+    parts = docs.sparkSession.createDataFrame([], "node binary, component binary")
+    pairs = _with_leaders(shared, drawn, max(shared_keys, ROUND_KEYS))
+    links = store(_verified(pairs, labelled, threshold), "near-links")
     if not links.isEmpty():
-        parts = _joined(parts, links)
-
-    grouped = classes.join(parts, "rep", "left").select(
-        "text_key", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")
-    )
+        parts = _joined(parts, links.select("a", "b"))
+
+    placed = _in_parts(shared.select("node", "key"), parts)
+    undecided = placed.join(_spanning(placed, "key"), "key", "left_semi").select("node", "part").distinct()
+    signed = store(_signed(undecided.join(company.select("node", "keys"), "node"), labelled), "signed")
+    rare = store(_rarest(signed, threshold), "rare-labels")
+    for best in (True, False):
+        pairs = store(_meeting(rare, signed, parts, threshold, shared_keys, tile, best), "met")
+        links = store(_verified(pairs, labelled, threshold), "near-links")
+        if not links.isEmpty():
+            parts = _joined(parts, links.select("a", "b"))
+
+    grouped = classes.join(parts, "node", "left").select("node", "class_id", F.coalesce("component", "node").alias("component"))
+    heads = grouped.groupBy("component").agg(F.min(F.struct("class_id", "node")).alias("head"))
     # Stored, so that the join deals out both sides anew and Spark can split a text with very many copies.
-    grouped = store(grouped, "groups")
+    grouped = store(grouped.join(heads, "component"), "groups").select(
+        F.col("node").alias("text_key"),
+        "class_id",
+        F.col("head.class_id").alias("component_id"),
+        (F.col("node") == F.col("head.node")).alias("is_head"),
+    )
     named = named.select("doc_id", "text_key").join(grouped, "text_key")
-    kept = (F.col("doc_id") == F.col("component_id")) & (F.col("class_id") == F.col("component_id"))
+    kept = F.col("is_head") & (F.col("doc_id") == F.col("component_id"))
     unnamed = rows.where(F.col("doc_id").isNull()).select(
         "doc_id", "text_key", F.lit(None).cast("long"), F.lit(None).cast("long"), F.lit(True)
     )
@@ -439,14 +455,15 @@ def near_duplicates(
 
 
 def without_near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The table with one row of each group: all columns, in order; rows without an id all stay.
+    """The table with one row of each group: all columns, in order, whatever their names.
 
-    Of repeated rows of the id that stays, the one whose values hash lowest.
+    Rows without an id all stay; an empty table stays empty. Of repeated rows of the id and text that stay,
+    the one whose values hash lowest.
     """
     groups = near_duplicates(docs, id_column=id_column, text_column=text_column)
-    stay = groups.where(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_stays")).distinct()
-    unnamed = docs.where(F.col(id_column).isNull())
-    rows = docs.join(stay, F.col(id_column).cast("long") == F.col("_stays"), "left_semi")
-    first = Window.partitionBy(id_column).orderBy(F.xxhash64(*docs.columns))
-    rows = rows.withColumn("_first", F.row_number().over(first)).where("_first = 1").drop("_first")
-    return rows.union(unnamed)
+    stay = groups.where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id", "text_key").distinct()
+    whole = F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in docs.columns]).alias("row")
+    rows = docs.select(whole, F.col(id_column).cast("long").alias("doc_id"), text_key(text_column).alias("text_key"))
+    first = Window.partitionBy("doc_id", "text_key").orderBy(F.xxhash64("row"))
+    chosen = rows.join(stay, ["doc_id", "text_key"], "left_semi").withColumn("place", F.row_number().over(first))
+    return chosen.where("place = 1").select("row.*").union(rows.where("doc_id IS NULL").select("row.*"))

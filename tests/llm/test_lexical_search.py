@@ -81,8 +81,9 @@ def test_odd_rows(spark):
     index = lexical_search.build_index(docs(spark, ODD))
     assert got(lexical_search.search(index, items_of(spark, ITEMS))) == ranked(ODD, ITEMS)
     assert got(lexical_search.search(index, items_of(spark, []))) == []
-    empty = lexical_search.build_index(docs(spark, []))
-    assert got(lexical_search.search(empty, items_of(spark, ITEMS))) == []
+    for rows in ([], [(1, None)], [(1, ""), (2, None), (3, " .")]):
+        empty = lexical_search.build_index(docs(spark, rows, 1))
+        assert got(lexical_search.search(empty, items_of(spark, ITEMS))) == []
 
 
 @pytest.mark.parametrize(("segment", "block", "window", "top"), [(8192, 128, 2048, 50), (60, 16, 8, 7), (13, 4, 5, 3)])
