@@ -25,6 +25,8 @@ from teletally.llm.common import text_or_empty
 from teletally.storage import store
 
 PERIOD = 1000
+# Sources that one schedule may have: it is made on the driver and broadcast, 16 turns a source.
+MAX_SOURCES = 10_000
 BLOCK_BYTES = 16 * 1024
 FLATTEN = 0.9
 
@@ -82,23 +84,66 @@ def mix(
     text_column: str = "text",
     period: int = PERIOD,
     block_bytes: int = BLOCK_BYTES,
+    max_epochs: int | None = None,
+    max_sources: int = MAX_SOURCES,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Documents in mixed order, sources to their target weights.
 
     ``shares``: weight of each source by its name (``None`` for rows without one); by default
     the source's bytes to the power 0.9, which takes from the largest source and gives to the small
-    ones. A source with no weight given, or one that is not positive, raises.
+    ones. They become whole numbers that add up to ``period``, or to 16 for each source where that is more. A source
+    with no weight given, or one that is not positive, raises, and so do more than ``max_sources`` sources.
+
+    ``max_epochs``: how often a source may be gone through; its turns stay empty after that. Without it, sources that
+    end early begin anew until every source has been through once, however often that is.
 
     Returns doc_id, source, bytes, block (within the source), epoch (0: the first time through the
     source), turn, place (position in the turn), and the columns in ``keep``. A document belongs to the
     block in which its first byte lies, so a document longer than a block leaves later blocks empty.
     A null text has 0 bytes. Repeated rows take their places one by one. An empty table gives an
-    empty result. Keeping a column whose name is one of those added here raises.
+    empty result. Keeping a column whose name is one of those added here raises; ``mixed_rows`` keeps any.
     """
     clash = {"bytes", "block", "epoch", "turn", "place"} & set(keep)
     if clash:
         raise ValueError(f"columns cannot be kept under these names: {sorted(clash)}")
+    found = _mixed(docs, shares, id_column, source_column, text_column, period, block_bytes, max_epochs, max_sources, keep)
+    kept = [F.col("_kept")[c].alias(c) for c in keep if c not in ("doc_id", "source")]
+    return found.select("doc_id", "source", "bytes", "block", "epoch", "turn", "place", *kept)
+
+
+def mixed_rows(
+    docs: DataFrame,
+    shares: Mapping[str, float] | None = None,
+    *,
+    id_column: str = "doc_id",
+    source_column: str = "source",
+    text_column: str = "text",
+    period: int = PERIOD,
+    block_bytes: int = BLOCK_BYTES,
+    max_epochs: int | None = None,
+    max_sources: int = MAX_SOURCES,
+) -> DataFrame:
+    """The rows of the table, all columns whatever their names, sorted in mixed order; arguments as of ``mix``."""
+    keep = tuple(docs.columns)
+    found = _mixed(docs, shares, id_column, source_column, text_column, period, block_bytes, max_epochs, max_sources, keep)
+    ordered = found.repartitionByRange("turn", "place").sortWithinPartitions("turn", "place", "doc_id")
+    return ordered.select("_kept.*")
+
+
+def _mixed(
+    docs: DataFrame,
+    shares: Mapping[str, float] | None,
+    id_column: str,
+    source_column: str,
+    text_column: str,
+    period: int,
+    block_bytes: int,
+    max_epochs: int | None,
+    max_sources: int,
+    keep: tuple[str, ...],
+) -> DataFrame:
+    """The columns of ``mix``, and those in ``keep`` as the struct ``_kept``."""
     spark = docs.sparkSession
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
@@ -107,11 +152,14 @@ def mix(
         source_key(F.col(source_column)).alias("_key"),
         bucket_of(F.col(id_column)).alias("_bucket"),
         # One struct, so that kept columns never clash with those used here.
-        *([F.struct(*keep).alias("_kept")] if keep else []),
+        *([F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in keep]).alias("_kept")] if keep else []),
     )
-    # At most 4,096 rows a source; the driver sees one row per source.
+    # At most 4,096 rows a source; the driver sees one row per source, of a bounded number of them.
     sums = store(rows.groupBy("_key", "_bucket").agg(F.sum("bytes").alias("total")), "source-parts")
-    totals = {r["_key"]: r["total"] for r in sums.groupBy("_key").agg(F.sum("total").alias("total")).collect()}
+    by_source = sums.groupBy("_key").agg(F.sum("total").alias("total")).limit(max_sources + 1)
+    totals = {r["_key"]: r["total"] for r in by_source.collect()}
+    if len(totals) > max_sources:
+        raise ValueError(f"more than {max_sources} sources")
     by_part = Window.partitionBy("_key").orderBy("_bucket")
     starts = sums.select("_key", "_bucket", (F.sum("total").over(by_part) - F.col("total")).alias("_first"))
     weights = _weights(totals, shares, max(period, 16 * len(totals)))
@@ -148,9 +196,9 @@ def mix(
         .withColumn("turn", F.expr(f"(_number div _weight) * {length} + _turn"))
         .where(F.col("turn") < end)
     )
-    place = F.col("_start") - F.col("block") * block_bytes
-    kept = [F.col("_kept")[c].alias(c) for c in keep if c not in ("doc_id", "source")]
-    return repeated.select("doc_id", "source", "bytes", "block", "epoch", "turn", place.alias("place"), *kept)
+    if max_epochs is not None:
+        repeated = repeated.where(F.col("epoch") < max_epochs)
+    return repeated.withColumn("place", F.col("_start") - F.col("block") * block_bytes)
 
 
 def _weights(totals: dict[str, int], shares: Mapping[str, float] | None, period: int) -> dict[str, int]:

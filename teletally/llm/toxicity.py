@@ -84,6 +84,9 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x
 SIZE = len(ALPHABET) + 2
 LETTER = {c: k + 1 for k, c in enumerate(ALPHABET)}
 
+# Log odds that a text without any kept feature has at most.
+NO_EVIDENCE = math.log(1 / 3)
+
 _RUN = re.compile(r"(.)\1\1")
 _SPACED = re.compile(r"(?<!\S)\S(?: \S){3,}(?!\S)")
 _TAIL = re.compile(r"([^\w\s])\1\1+$")
@@ -273,6 +276,8 @@ class Scorer:
         none, strongest, others = self._model.scale
         best, rest = self.evidence(text)
         logit = none + strongest * best + others * rest
+        if not best:
+            logit = min(logit, NO_EVIDENCE)
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, logit))))
 
 
@@ -333,7 +338,8 @@ def fit(
     """Model from all texts and at most ``rows`` labels.
 
     Without labels, or with labels of one kind only, no feature is kept and every text gets the same
-    score. Null texts count as empty.
+    score, which is below 0.5: a text without evidence is never called toxic, whatever the labels' share.
+    Null texts count as empty.
     """
     spark = docs.sparkSession
     costs = _letter_model(docs, text_column)
@@ -525,8 +531,9 @@ def score(
 ) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted`` for every row.
 
-    Null texts count as empty and score as any text without kept features. Repeated rows get the same
-    row each, an empty table gives an empty result, other columns are ignored.
+    A score of exactly 0.5 is predicted toxic. Null texts count as empty and score as any text without kept
+    features, 0.25 at most. Repeated rows get the same row each, an empty table gives an empty result, other
+    columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -545,7 +552,10 @@ def score(
 
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, *, text_column: str = "text") -> DataFrame:
-    """The rows of the table that are not predicted toxic: all columns, whatever their names."""
+    """The rows of the table that are not predicted toxic: all columns, whatever their names.
+
+    Rows with a null or empty text stay, repeated rows stay or go together, and a score of exactly 0.5 goes.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")

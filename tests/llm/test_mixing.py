@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from teletally.llm import mixing, queries
 from tests.compare import duck, duck_rows, spark_rows
@@ -65,6 +66,30 @@ def test_odd_rows(spark):
         mixing.mix(docs(spark, rows), keep=("turn",))
 
 
+def test_epochs_and_sources_are_bounded(spark):
+    rows = [(k, t, "big" if k % 20 else "small") for k, t in enumerate(texts(2, 200))]
+    shares = {"big": 1.0, "small": 3.0}
+    free = mixing.mix(docs(spark, rows), shares, block_bytes=1000).collect()
+    assert max(r.epoch for r in free) > 2
+    for most in (1, 2):
+        found = mixing.mix(docs(spark, rows), shares, block_bytes=1000, max_epochs=most).collect()
+        assert sorted(found) == sorted(r for r in free if r.epoch < most)
+    assert len(mixing.mix(docs(spark, rows), shares, max_epochs=1).collect()) == 200
+    many = [(k, "a text", f"host{k}") for k in range(30)]
+    assert mixing.mix(docs(spark, many), max_sources=30).count() >= 30
+    with pytest.raises(ValueError, match="more than 29 sources"):
+        mixing.mix(docs(spark, many), max_sources=29)
+
+
+def test_mixed_rows_keep_all_columns(spark):
+    table = docs(spark, [(*r, f"s{k % 3}") for k, r in enumerate(ODD)])
+    for name in ("turn", "place", "bytes", "epoch", "_kept", "a.b", "_key"):
+        table = table.withColumn(name, F.lit("clash"))
+    found = mixing.mixed_rows(table, max_epochs=1)
+    assert found.columns == table.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, table.collect()))
+
+
 def test_query_equals_sql(spark):
     folder = "/root/testdata/sf0.001"
     found = spark_rows(queries.QUERIES["op3_mixing"](spark, folder))
