@@ -45,9 +45,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target shares, rows in mixed order; small sources begin anew when they end."""
-    mixed = mixing.mix(docs, keep=tuple(docs.columns))
-    ordered = mixed.repartitionByRange("turn", "place").sortWithinPartitions("turn", "place", "doc_id")
-    return ordered.select(*docs.columns)
+    return mixing.mixed_rows(docs)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
