@@ -15,19 +15,25 @@ from pyspark.sql import functions as F
 from teletally.functions.categories import category_by_case, category_by_list, with_category_by_dimension
 from teletally.functions.dates import compact_date
 from teletally.functions.scores import active_any, active_total
-from teletally.operators import aggregates, filters, pivots
+from teletally.operators import aggregates, filters, ledger, pivots, sketches
 from teletally.plans import metrics, profiles, segments
+from teletally.plans.calendar import calendar, on_days
 from teletally.plans.sessions import sessions
 from teletally.schema import profile_schema
 from teletally.sinks import export_names, write_csv, write_daily_log, write_parquet
+from teletally.sinks.compaction import compact
 from teletally.sources import read_csv, read_log, read_parquet_log, read_whole_log
 from teletally.sources.adapters import EVENTS, ORDERS, ORDERS_PAIRED, SCALE, TableLog, in_units
-from teletally.storage import shared_path, store, store_by_contract
-from teletally.streaming import run_daily_totals, stored_daily_totals
+from teletally.sources.quarantine import broken_lines, consolidate_checked, good_rows
+from teletally.storage import delete, shared_path, store, store_by_contract
+from teletally.streaming import run_daily_totals, stored_daily_totals, sync_daily_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 ONE_WEEK = (dt.date(2024, 1, 5), dt.date(2024, 1, 11))
+NEXT_WEEK = (dt.date(2024, 1, 12), dt.date(2024, 1, 18))
+# Days that a ledger loses again.
+RETRACTED = {"events": ONE_WEEK, "orders": (ORDERS.split, ORDERS.end)}
 
 
 def _log(log: TableLog, build: Callable[[TableLog, DataFrame], DataFrame]) -> Query:
@@ -136,6 +142,7 @@ TOTAL_PLANS = {
     "sum_contract_category_day": lambda log, rows: aggregates.daily_totals(rows),
     "sum_contract_day": lambda log, rows: aggregates.day_totals(rows),
     "category_summary": lambda log, rows: aggregates.category_summary(rows),
+    "sketched_summary": lambda log, rows: _sketched_summary(log, rows),
     "pivot_category": lambda log, rows: pivots.pivot(rows),
     "pivot_category_day": lambda log, rows: pivots.pivot_by_day(rows),
     "pivot_by_join": _joined_pivot,
@@ -187,6 +194,33 @@ def _session_profile(log: TableLog, rows: DataFrame) -> DataFrame:
     return profiles.session_profile(wanted, _stored_metrics(log, rows))
 
 
+def _sketched_summary(log: TableLog, rows: DataFrame) -> DataFrame:
+    daily = store(sketches.daily_customers(rows), "daily-customers")
+    return sketches.customers_by_category(daily, log.start, log.end)
+
+
+def _retracted(log: TableLog) -> Query:
+    """The profile out of a ledger of all days that has lost some of them again."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        def parts(*period: dt.date) -> DataFrame:
+            return ledger.day_parts(sessions(log.read(spark, folder, *period), log.codes))
+
+        whole = store(ledger.ledger(parts()), "ledger")
+        left = ledger.retracted(whole, parts(*RETRACTED[log.table]))
+        return in_units(ledger.profile_of(left, log.start, log.end))
+
+    return query
+
+
+def _total_quantiles(log: TableLog, rows: DataFrame) -> DataFrame:
+    """Quantiles of the daily totals; sketches of this size are exact for as many values."""
+    size = 65_535
+    daily = store(sketches.daily_quantiles(aggregates.day_totals(rows), k=size), "daily-quantiles")
+    found = sketches.quantiles_of_period(daily, log.start, log.end, (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0), k=size)
+    return found.select("fraction", F.col("value").alias("total"), "n")
+
+
 def _engagement(log: TableLog, rows: DataFrame) -> DataFrame:
     return metrics.engagement_levels(
         aggregates.totals(rows, "contract"), log.low_max * SCALE, log.high_min * SCALE
@@ -228,6 +262,7 @@ METRIC_PLANS = {
     "customer_group": _groups,
     "segment_counts": lambda log, rows: segments.segment_counts(_groups(log, rows)),
     "segment_dimensions": lambda log, rows: segments.segment_dimensions(_groups(log, rows)),
+    "segment_cube": lambda log, rows: segments.segment_cube(_groups(log, rows)),
     "export_profile": lambda log, rows: export_names(in_units(_profile(log, rows)), local_labels=True),
 }
 
@@ -243,6 +278,22 @@ EVENT_QUERIES: dict[str, Query] = {
     "activeness_one_shuffle": _sessions(
         EVENTS, lambda log, rows: metrics.activeness_by_marks(rows, log.start, log.end)
     ),
+    "rolling_activeness": _sessions(
+        EVENTS, lambda log, rows: metrics.rolling_activeness(rows, log.start, log.end, 7)
+    ),
+    "rolling_customers": _sessions(
+        EVENTS,
+        lambda log, rows: sketches.customers_per_window(
+            store(sketches.daily_customers(rows), "daily-customers"), log.start, log.end, 7
+        ),
+    ),
+    "retention": _sessions(
+        EVENTS,
+        lambda log, rows: sketches.retention(
+            store(sketches.daily_customers(rows), "daily-customers"), ONE_WEEK, NEXT_WEEK
+        ),
+    ),
+    "total_quantiles": _sessions(EVENTS, _total_quantiles),
 }
 
 # --- reading and writing ------------------------------------------------------------------------
@@ -296,6 +347,69 @@ def _incremental_profile(spark: SparkSession, folder: str) -> DataFrame:
     return in_units(profiles.customer_profile(merged, EVENTS.start, EVENTS.end))
 
 
+def _synced(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals that follow a log of which one day was rewritten and one deleted since the last run."""
+    root, out, manifest = (shared_path(spark, name) for name in ("daily-log", "daily-totals", "log-manifest"))
+    wrong = EVENTS.start + dt.timedelta(days=4)
+    rows = EVENTS.read(spark, folder)
+    first = rows.withColumn("duration", F.when(F.col("log_date") == wrong, F.col("duration") * 2).otherwise(F.col("duration")))
+    extra = rows.where(F.col("log_date") == wrong).withColumn("log_date", F.lit(EVENTS.start - dt.timedelta(days=1)))
+    write_daily_log(first.union(extra), root)
+    sync_daily_totals(spark, root, out, manifest, layout="folder", codes=EVENTS.codes)
+    for day in (wrong, EVENTS.start - dt.timedelta(days=1)):
+        delete(spark, f"{root}/day={day:%Y%m%d}")
+    write_daily_log(rows.where(F.col("log_date") == wrong), root, mode="append")
+    sync_daily_totals(spark, root, out, manifest, layout="folder", codes=EVENTS.codes)
+    return in_units(stored_daily_totals(spark, out))
+
+
+def _quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines of a log of which some are cut off and some have a duration that is no number."""
+    root, out = shared_path(spark, "broken-log"), shared_path(spark, "checked")
+    rows = EVENTS.read(spark, folder)
+    text = F.when(F.col("session_id") % 89 == 0, F.lit("none")).otherwise(F.col("duration").cast("string"))
+    payload = F.struct(
+        F.col("contract").alias("Contract"), F.col("app_name").alias("AppName"), text.alias("TotalDuration")
+    )
+    line = F.to_json(F.struct(payload.alias("_source")))
+    cut = F.when(F.col("session_id") % 97 == 0, F.substring("line", 1, 15)).otherwise(F.col("line"))
+    lines = rows.select("session_id", line.alias("line"), F.date_format("log_date", "yyyyMMdd").alias("day"))
+    lines.select(cut.alias("value"), "day").write.partitionBy("day").text(root)
+    consolidate_checked(spark, root, out, EVENTS.start, EVENTS.end, layout="folder", codes=EVENTS.codes, names="*.txt")
+    nothing = F.lit(None)
+    broken = broken_lines(spark, out).select(
+        nothing.cast("string").alias("contract"), nothing.cast("string").alias("app_name"),
+        nothing.cast("bigint").alias("duration"), "log_date", "reason",
+    )
+    good = good_rows(spark, out).withColumn("reason", nothing.cast("string"))
+    return in_units(good.unionByName(broken))
+
+
+def _weekends(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions of the weekends, by a stored calendar, from a log stored by day."""
+    out = shared_path(spark, "consolidated")
+    write_parquet(EVENTS.read(spark, folder), out, rebalance=True, sort=True)
+    days = store(calendar(spark, EVENTS.start, EVENTS.end), "calendar")
+    found = on_days(read_parquet_log(spark, out), days, F.col("weekday") >= 6)
+    return in_units(found.select("contract", "app_name", "duration", "log_date"))
+
+
+def _compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """A log stored in eight files a day, packed."""
+    out = shared_path(spark, "consolidated")
+    write_parquet(EVENTS.read(spark, folder).repartition(8), out)
+    compact(spark, out)
+    return in_units(read_parquet_log(spark, out))
+
+
+def _stored_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """One contract out of a stored log, by its bloom filters."""
+    out = shared_path(spark, "consolidated")
+    write_parquet(EVENTS.read(spark, folder), out, rebalance=True, sort=True, bloom=["contract"])
+    found = read_parquet_log(spark, out).where(F.col("contract") == "7")
+    return in_units(sessions(found, EVENTS.codes).select("session_id", "contract", "category", "duration", "log_date"))
+
+
 STORAGE_QUERIES: dict[str, Query] = {
     "scan_json": _scan_json,
     "scan_json_range": _scan_json_range,
@@ -303,6 +417,11 @@ STORAGE_QUERIES: dict[str, Query] = {
     "csv_roundtrip": _csv_roundtrip,
     "incremental_days": lambda spark, folder: in_units(_incremental(spark, folder)),
     "incremental_profile": _incremental_profile,
+    "synced_days": _synced,
+    "quarantine": _quarantine,
+    "weekend_sessions": _weekends,
+    "compacted": _compacted,
+    "contract_lookup_stored": _stored_lookup,
 }
 
 
@@ -313,6 +432,7 @@ def all_queries() -> dict[str, Query]:
         found[key] = _sessions(EVENTS, plan)
         found[f"{key}_orders"] = _sessions(ORDERS, plan)
     found["merge_partials"], found["merge_partials_orders"] = _merged(EVENTS), _merged(ORDERS)
+    found["retracted_profile"], found["retracted_profile_orders"] = _retracted(EVENTS), _retracted(ORDERS)
     return found | EVENT_QUERIES | STORAGE_QUERIES
 
 

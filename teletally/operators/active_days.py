@@ -44,3 +44,15 @@ class DayMarks:
         """Number of marked days, out of the aggregated columns."""
         counts = [F.coalesce(F.bit_count(name), F.lit(0)) for name in self.names]
         return sum(counts[1:], counts[0]).cast("bigint")
+
+    def count_in(self, first: Column, last: Column) -> Column:
+        """Number of marked days between two offsets from the period's start, both included."""
+        counts = []
+        for i, name in enumerate(self.names):
+            low = F.greatest(first - i * _WIDTH, F.lit(0))
+            high = F.least(last - i * _WIDTH, F.lit(_WIDTH - 1))
+            # As many ones as there are days, moved to the first of them.
+            ones = F.call_function("shiftrightunsigned", F.lit(-1).cast("bigint"), F.lit(63) - (high - low))
+            wanted = F.call_function("shiftleft", ones, low)
+            counts.append(F.when((low <= high) & F.col(name).isNotNull(), F.bit_count(F.col(name).bitwiseAND(wanted))).otherwise(0))
+        return sum(counts[1:], counts[0]).cast("bigint")

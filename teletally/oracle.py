@@ -17,6 +17,7 @@ class LogSql:
     threshold: float
     low_max: int
     high_min: int
+    retracted: str
 
     @property
     def base(self) -> str:
@@ -26,10 +27,14 @@ class LogSql:
     def base_without_repeats(self) -> str:
         return self._ctes("DISTINCT contract, category, duration, log_date")
 
-    def _ctes(self, columns: str) -> str:
+    @property
+    def base_without_retracted(self) -> str:
+        return self._ctes("*", f"AND NOT {self.retracted}")
+
+    def _ctes(self, columns: str, rest: str = "") -> str:
         return f"""WITH raw AS ({self.raw}),
 every AS (SELECT *, {self.category} AS category FROM raw),
-log AS (SELECT {columns} FROM every WHERE category <> 'Error'),
+log AS (SELECT {columns} FROM every WHERE category <> 'Error' {rest}),
 tot AS (SELECT contract, category, SUM(duration) AS t FROM log GROUP BY ALL),
 day_tot AS (SELECT contract, log_date, SUM(duration) AS t FROM log GROUP BY ALL),
 """
@@ -46,6 +51,7 @@ EVENTS = LogSql(
     threshold=0.8,
     low_max=2400,
     high_min=2800,
+    retracted="log_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'",
 )
 
 ORDERS = LogSql(
@@ -59,6 +65,7 @@ ORDERS = LogSql(
     threshold=0.004,
     low_max=2_000_000,
     high_min=3_000_000,
+    retracted="log_date BETWEEN DATE '1998-04-01' AND DATE '2001-08-01'",
 )
 
 ORDER = """CASE category WHEN 'Relax' THEN 1 WHEN 'Movie' THEN 2 WHEN 'Child' THEN 3
@@ -194,6 +201,20 @@ def _log_queries(log: LogSql) -> dict[str, str]:
         "segment_dimensions": f"""{groups} SELECT COUNT(DISTINCT most_watch) AS most_watch_values,
             COUNT(DISTINCT customer_taste) AS taste_values, COUNT(DISTINCT active_level) AS level_values,
             COUNT(*) AS customers FROM grp""",
+        "segment_cube": f"""{groups},
+            tastes AS (SELECT CONCAT_WS('-', CASE WHEN i & 1 <> 0 THEN 'Relax' END, CASE WHEN i & 2 <> 0 THEN 'Movie' END,
+              CASE WHEN i & 4 <> 0 THEN 'Child' END, CASE WHEN i & 8 <> 0 THEN 'Sport' END,
+              CASE WHEN i & 16 <> 0 THEN 'TV' END) AS customer_taste FROM range(32) t(i) UNION ALL SELECT 'All'),
+            grid AS (SELECT * FROM (SELECT UNNEST(['Relax', 'Movie', 'Child', 'Sport', 'TV', 'All']) AS most_watch),
+              tastes, (SELECT UNNEST(['High', 'Low', 'All']) AS active_level)),
+            counted AS (SELECT CASE WHEN GROUPING(most_watch) = 1 THEN 'All' ELSE most_watch END AS most_watch,
+              CASE WHEN GROUPING(customer_taste) = 1 THEN 'All' ELSE customer_taste END AS customer_taste,
+              CASE WHEN GROUPING(active_level) = 1 THEN 'All' ELSE active_level END AS active_level,
+              COUNT(*) AS customers FROM grp GROUP BY CUBE (most_watch, customer_taste, active_level))
+            SELECT most_watch, customer_taste, active_level, COALESCE(customers, 0) AS customers
+            FROM grid LEFT JOIN counted USING (most_watch, customer_taste, active_level)""",
+        "sketched_summary": """x AS (SELECT 1) SELECT category, COUNT(DISTINCT contract) AS contracts,
+            CAST(SUM(duration) AS DECIMAL(18,2)) AS total FROM log GROUP BY category""",
         "export_profile": f"""{profile} SELECT contract AS "Contract", relax_duration AS "RelaxDuration",
             movie_duration AS "MovieDuration", child_duration AS "ChildDuration", sport_duration AS "SportDuration",
             tv_duration AS "TVDuration", CASE most_watch WHEN 'Relax' THEN 'Giải Trí' WHEN 'Movie' THEN 'Phim Truyện'
@@ -226,8 +247,37 @@ def _row_queries() -> dict[str, str]:
         "scan_json_range": """SELECT contract, app_name, duration, log_date FROM raw
             WHERE log_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'""",
         "consolidate": "SELECT * FROM raw",
+        "compacted": "SELECT * FROM raw",
+        "contract_lookup_stored": "SELECT session_id, contract, category, duration, log_date FROM log WHERE contract = '7'",
+        "weekend_sessions": "SELECT contract, app_name, duration, log_date FROM raw WHERE ISODOW(log_date) >= 6",
+        "quarantine": """SELECT CASE WHEN reason IS NULL THEN contract END AS contract,
+            CASE WHEN reason IS NULL THEN app_name END AS app_name,
+            CASE WHEN reason IS NULL THEN duration END AS duration, log_date, reason
+            FROM (SELECT *, CASE WHEN session_id % 97 = 0 THEN 'no JSON' WHEN session_id % 89 = 0 THEN 'duration' END
+              AS reason FROM raw)""",
+        "rolling_activeness": """c.contract, e.end_date, COUNT(d.contract) AS active_days,
+            COUNT(d.contract) / 7 AS active_rate
+            FROM (SELECT DISTINCT contract FROM log) c CROSS JOIN ends e LEFT JOIN day_tot d
+            ON d.contract = c.contract AND d.t > 0 AND d.log_date BETWEEN e.end_date - 6 AND e.end_date GROUP BY ALL""",
+        "rolling_customers": """category, end_date, COUNT(DISTINCT contract) AS contracts
+            FROM log JOIN ends ON log_date BETWEEN end_date - 6 AND end_date GROUP BY ALL""",
+        "retention": """category, COUNT(a) AS before, COUNT(b) AS after,
+            COUNT(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS stayed, COUNT(*) FILTER (b IS NULL) AS gone,
+            COUNT(*) FILTER (a IS NULL) AS joined
+            FROM (SELECT DISTINCT category, contract, contract AS a FROM log
+              WHERE log_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-11')
+            FULL JOIN (SELECT DISTINCT category, contract, contract AS b FROM log
+              WHERE log_date BETWEEN DATE '2024-01-12' AND DATE '2024-01-18') USING (category, contract)
+            GROUP BY category""",
+        "total_quantiles": """UNNEST([0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]::DOUBLE[]) AS fraction,
+            CAST(UNNEST(QUANTILE_DISC(t, [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0])) AS DECIMAL(18,2)) AS total,
+            COUNT(*) AS n FROM day_tot""",
     }
-    found = {key: f"{EVENTS.base} x AS (SELECT 1) {sql}" for key, sql in events.items()}
+    ends = f"""ends AS (SELECT CAST(UNNEST(GENERATE_SERIES(DATE '{EVENTS.first_day}' + 6,
+        DATE '{EVENTS.first_day}' + {EVENTS.days - 1}, INTERVAL 1 DAY)) AS DATE) AS end_date)"""
+    for key in ("rolling_activeness", "rolling_customers", "retention", "total_quantiles"):
+        events[key] = f", {ends} SELECT {events[key]}"
+    found = {key: f"{EVENTS.base} x AS (SELECT 1){' ' * (sql[0] != ',')}{sql}" for key, sql in events.items()}
     found["stamp_result"] = f"""{EVENTS.base} {PIVOT} SELECT *, DATE '{EVENTS.first_day}' AS log_date FROM piv"""
     found["category_summary_unmapped"] = f"""{EVENTS.base} x AS (SELECT 1)
         SELECT category, COUNT(DISTINCT contract) AS contracts, CAST(SUM(duration) AS DECIMAL(18,2)) AS total
@@ -255,5 +305,10 @@ def all_sql() -> dict[str, str]:
         "csv_roundtrip": events["customer_profile"],
         "incremental_profile": events["customer_profile"],
         "incremental_days": events["sum_contract_category_day"],
+        "synced_days": events["sum_contract_category_day"],
+    }
+    same |= {
+        f"retracted_profile{suffix}": f"{log.base_without_retracted}{_profile(log)} SELECT * FROM prof"
+        for suffix, log in (("", EVENTS), ("_orders", ORDERS))
     }
     return _row_queries() | events | orders | same

@@ -84,10 +84,10 @@ def consolidate(
     """Daily JSON files to one Parquet table by day, replacing the days of the period.
 
     Later runs read the columns they need of the days they need. Rows are written where they
-    are read, without a shuffle, and sorted by contract within each file; a task that read
+    are read, without a shuffle, and sorted by contract within each file, with a bloom filter on it; a task that read
     small files of several days writes one file for each. A day without rows is emptied.
     """
     log = read_log(spark, root, start, end, layout=layout, duration=duration, fail_on_broken=fail_on_broken)
     first = parse_day(start)
     days = [first + dt.timedelta(days=i) for i in range(days_between(start, end))]
-    write_parquet(log, out, replace_days=True, days=days, sort=True)
+    write_parquet(log, out, replace_days=True, days=days, sort=True, bloom=["contract"])

@@ -99,6 +99,24 @@ def activeness_by_marks(sessions: DataFrame, start: str | dt.date, end: str | dt
     return _with_rates(counted, days_between(start, end))
 
 
+def rolling_activeness(sessions: DataFrame, start: str | dt.date, end: str | dt.date, days: int) -> DataFrame:
+    """``contract``, ``end_date``, ``active_days``, ``active_rate`` for every window of ``days`` days in the period.
+
+    One aggregate: a bit set of active days per contract, out of which every window is a shift and a count. A contract
+    has a row for every window, with 0 days where it was not active. For logs without negative durations (else it
+    fails); a period shorter than a window gives no rows.
+    """
+    marks = DayMarks(start, end)
+    marked = sessions.groupBy("contract").agg(*marks.aggregates())
+    if marks.days < days:
+        marked = marked.limit(0)
+    offsets = F.sequence(F.lit(days - 1), F.lit(max(marks.days, days) - 1))
+    windows = marked.withColumn("last", F.explode(offsets))
+    counted = marks.count_in(F.col("last") - (days - 1), F.col("last"))
+    windows = windows.select("contract", F.date_add(F.lit(marks.start), F.col("last")).alias("end_date"), counted.alias("active_days"))
+    return windows.withColumn("active_rate", active_rate(F.col("active_days"), days))
+
+
 def activeness_from_pivot(sessions: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
     """The same by "any category positive"; equal as long as no duration is negative."""
     days = in_period(pivot_by_day(sessions), start, end)

@@ -57,6 +57,7 @@ def write_parquet(
     replace_days: bool = False,
     days: Sequence[dt.date] = (),
     sort: bool = False,
+    bloom: Sequence[str] = (),
 ) -> None:
     """Parquet, by default in one folder per ``log_date``.
 
@@ -66,7 +67,8 @@ def write_parquet(
     ``replace_days`` swaps only the days present in ``df`` and leaves the others alone; of
     ``days``, the days that ``df`` was read from, those without rows are emptied too.
     ``sort`` orders each task's rows by contract, so that a look-up of one contract skips most
-    row groups by their statistics.
+    row groups by their statistics. ``bloom`` names columns that get a bloom filter per row group, by
+    which a look-up skips even the groups whose range holds a value that they do not have.
     """
     if rebalance:
         df = df.hint("rebalance", F.col("log_date"))
@@ -75,6 +77,8 @@ def write_parquet(
     writer = df.write.mode(mode)
     if by_day:
         writer = writer.partitionBy("log_date")
+    for column in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if replace_days:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     spark = df.sparkSession

@@ -1,0 +1,85 @@
+"""Ledgers: days added and retracted in any order equal the profile of what is left."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from teletally.operators import ledger
+from teletally.plans.profiles import customer_profile
+from teletally.plans.sessions import sessions
+from teletally.storage import store
+from tests.logs import log_frame, rows_set
+
+PERIOD = "20220401", "20220408"
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    rng = random.Random(2)
+    apps = ["VOD", "KPLUS", "RELAX", "CHILD", "SPORT", "XX"]
+    days = {
+        f"2022040{d}": [
+            (rng.choice([None, "0", *[f"c{k}" for k in range(25)]]), rng.choice(apps), rng.choice([None, -3, 0, 0, 4, 9, 30]))
+            for _ in range(60)
+        ]
+        for d in range(1, 9)
+    }
+    # One contract on one day only, one category that only ever has NULLs.
+    days["20220405"] += [("once", "VOD", 5), ("nulls", "RELAX", None), ("nulls", "KPLUS", None)]
+    return store(sessions(log_frame(spark, days)), "rows")
+
+
+def of_days(rows, *days):
+    return rows.where(F.dayofmonth("log_date").isin(*days))
+
+
+def same(found, rows, *days):
+    return rows_set(found) == rows_set(customer_profile(of_days(rows, *days), *PERIOD))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_days_in_any_order(rows, seed):
+    rng = random.Random(seed)
+    parts = store(ledger.day_parts(rows), "day-parts")
+    held, whole = set(), None
+    for _ in range(6):
+        free, taken = sorted(set(range(1, 9)) - held), sorted(held)
+        if taken and (not free or rng.random() < 0.4):
+            some = rng.sample(taken, rng.randint(1, len(taken)))
+            whole = ledger.retracted(whole, of_days(parts, *some))
+            held -= set(some)
+        else:
+            some = rng.sample(free, rng.randint(1, len(free)))
+            part = ledger.ledger(of_days(parts, *some))
+            whole = part if whole is None else ledger.merged(whole, part)
+            held |= set(some)
+        whole = store(whole, "ledger")
+        assert same(ledger.profile_of(whole, *PERIOD), rows, *held)
+
+
+def test_contracts_and_nulls_come_and_go(rows):
+    parts = store(ledger.day_parts(rows), "day-parts")
+    whole = ledger.ledger(parts)
+    found = {r.contract: r for r in ledger.profile_of(whole, *PERIOD).collect()}
+    assert None not in found and found["nulls"].most_watch == "Relax" and found["nulls"].customer_taste == ""
+    less = ledger.retracted(whole, of_days(parts, 5))
+    left = {r.contract for r in ledger.profile_of(less, *PERIOD).collect()}
+    assert "once" not in left and "nulls" not in left
+    assert same(ledger.profile_of(less, *PERIOD), rows, 1, 2, 3, 4, 6, 7, 8)
+    assert ledger.retracted(whole, parts).count() == 0
+
+
+def test_what_was_never_added_is_refused(rows):
+    parts = store(ledger.day_parts(rows), "day-parts")
+    wrong = ledger.retracted(ledger.ledger(of_days(parts, 1, 2)), of_days(parts, 3))
+    with pytest.raises(Exception, match="lost more than was added"):
+        ledger.profile_of(wrong, *PERIOD).collect()
+
+
+def test_a_day_is_retracted_without_the_others(rows):
+    parts = store(ledger.day_parts(rows), "day-parts")
+    whole = store(ledger.ledger(parts), "ledger")
+    plan = ledger.retracted(whole, of_days(parts, 3))._jdf.queryExecution().executedPlan().toString()
+    # The stored ledger and the day's parts, one aggregate of both.
+    assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan

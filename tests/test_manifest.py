@@ -1,0 +1,113 @@
+"""File manifests: what changed, and that only changed days are read."""
+
+import os
+
+import pytest
+
+from teletally.operators.aggregates import daily_totals
+from teletally.plans.sessions import sessions
+from teletally.sources import read_log
+from teletally.sources.manifest import Manifest, changes, list_log
+from teletally.streaming import daily, stored_daily_totals, sync, sync_daily_totals
+from tests.logs import day, rows_set, write_day
+
+COLUMNS = ("contract", "category", "log_date", "total")
+
+
+def expected(spark, log, layout="file"):
+    return rows_set(daily_totals(sessions(read_log(spark, log, "20220101", "20221231", layout=layout))), *COLUMNS)
+
+
+def changed(spark, log, manifest, layout="file"):
+    found = changes(list_log(spark, log, layout=layout), manifest.read(spark)).collect()
+    return sorted((os.path.basename(r.path), str(r.log_date), r.change) for r in found)
+
+
+def test_changes_by_kind(spark, tmp_path):
+    log, manifest = str(tmp_path / "log"), Manifest(str(tmp_path / "manifest"))
+    for d in (1, 2, 3, 4):
+        write_day(tmp_path / "log", f"2022040{d}.json", [("A", "VOD", d)])
+    write_day(tmp_path / "log", "notes.json", [("Z", "VOD", 9)])
+    (tmp_path / "log" / "20220409.json").write_text("")
+    assert [c[1:] for c in changed(spark, log, manifest)] == [(f"2022-04-0{d}", "added") for d in (1, 2, 3, 4)]
+    manifest.write(list_log(spark, log))
+    assert changed(spark, log, manifest) == []
+
+    write_day(tmp_path / "log", "20220401.json", [("A", "VOD", 1), ("B", "VOD", 3)])
+    (tmp_path / "log" / "20220402.json").unlink()
+    (tmp_path / "log" / "20220403.json").write_text("")
+    # The same length, another time.
+    write_day(tmp_path / "log", "20220404.json", [("A", "VOD", 7)])
+    os.utime(tmp_path / "log" / "20220404.json", (1_700_000_000, 1_700_000_000))
+    write_day(tmp_path / "log", "20220405.json", [("A", "VOD", 5)])
+    assert changed(spark, log, manifest) == [
+        ("20220401.json", "2022-04-01", "rewritten"),
+        ("20220402.json", "2022-04-02", "deleted"),
+        ("20220403.json", "2022-04-03", "deleted"),
+        ("20220404.json", "2022-04-04", "rewritten"),
+        ("20220405.json", "2022-04-05", "added"),
+    ]
+
+
+def test_only_changed_days_are_done_over(spark, tmp_path, monkeypatch):
+    log, out, manifest = (str(tmp_path / n) for n in ("log", "out", "manifest"))
+    asked = []
+    plain = daily.refresh_days
+
+    def watched(spark, root, out, days, **options):
+        asked.append(days)
+        plain(spark, root, out, days, **options)
+
+    monkeypatch.setattr(sync, "refresh_days", watched)
+    for d in range(1, 7):
+        write_day(tmp_path / "log", f"2022040{d}.json", [("A", "VOD", d), ("B", "KPLUS", 10 * d)])
+    assert len(sync_daily_totals(spark, log, out, manifest)) == 6
+    assert rows_set(stored_daily_totals(spark, out), *COLUMNS) == expected(spark, log)
+    assert sync_daily_totals(spark, log, out, manifest) == [] and len(asked) == 1
+
+    write_day(tmp_path / "log", "20220401.json", [("A", "VOD", 100)])
+    (tmp_path / "log" / "20220402.json").unlink()
+    (tmp_path / "log" / "20220403.json").write_text("")
+    before = {p: p.stat().st_mtime_ns for d in (4, 5, 6) for p in (tmp_path / "out" / f"log_date=2022-04-0{d}").iterdir()}
+    assert sync_daily_totals(spark, log, out, manifest) == [day(f"2022040{d}") for d in (1, 2, 3)]
+    assert rows_set(stored_daily_totals(spark, out), *COLUMNS) == expected(spark, log)
+    assert len(expected(spark, log)) == 7
+    assert all(p.stat().st_mtime_ns == time for p, time in before.items())
+
+
+def test_files_of_one_day(spark, tmp_path):
+    log, out, manifest = (str(tmp_path / n) for n in ("log", "out", "manifest"))
+    for part in range(3):
+        write_day(tmp_path / "log", f"20220401/part-{part}.json", [("A", "VOD", part), (f"c{part}", "CHILD", 1)])
+    write_day(tmp_path / "log", "20220402/part-0.json", [("A", "VOD", 1)])
+    sync_daily_totals(spark, log, out, manifest, layout="folder")
+    (tmp_path / "log" / "20220401" / "part-1.json").unlink()
+    assert sync_daily_totals(spark, log, out, manifest, layout="folder") == [day("20220401")]
+    assert rows_set(stored_daily_totals(spark, out), *COLUMNS) == expected(spark, log, "folder")
+
+
+def test_a_run_that_fails_is_done_again(spark, tmp_path, monkeypatch):
+    log, out, manifest = (str(tmp_path / n) for n in ("log", "out", "manifest"))
+    write_day(tmp_path / "log", "20220401.json", [("A", "VOD", 1)])
+    with monkeypatch.context() as broken:
+        broken.setattr(Manifest, "write", lambda self, listing: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            sync_daily_totals(spark, log, out, manifest)
+    # A version without its commit mark does not count.
+    (tmp_path / "manifest" / "version-5").mkdir(parents=True)
+    assert sync_daily_totals(spark, log, out, manifest) == [day("20220401")]
+    assert sync_daily_totals(spark, log, out, manifest) == []
+
+
+def test_versions_and_empty_logs(spark, tmp_path):
+    log, manifest = tmp_path / "log", Manifest(str(tmp_path / "manifest"), kept=2)
+    log.mkdir()
+    assert list_log(spark, str(log)).count() == 0
+    assert sync_daily_totals(spark, str(log), str(tmp_path / "out"), manifest.path) == []
+    for d in (1, 2, 3, 4):
+        write_day(log, f"2022040{d}.json", [("A", "VOD", d)])
+        manifest.write(list_log(spark, str(log)))
+    assert sorted(p.name for p in (tmp_path / "manifest").iterdir()) == ["version-3", "version-4"]
+    assert manifest.read(spark).count() == 4
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        list_log(spark, str(tmp_path / "nowhere")).count()
