@@ -46,12 +46,18 @@ def compact(spark: SparkSession, path: str, *, target: int = TARGET_BYTES, waste
     days = sorted(row.log_date for row in bins.select("log_date").distinct().collect())
     if not days:
         return []
+    # Bins are numbered day by day, so that each is one task and one file, however small or many they are.
+    tasks = bins.groupBy("log_date").agg((F.max("bin") + 1).alias("bins"))
+    before = F.sum("bins").over(Window.orderBy("log_date").rowsBetween(Window.unboundedPreceding, -1))
+    tasks = store(tasks.select("log_date", "bins", F.coalesce(before, F.lit(0)).alias("first")), "bin-tasks")
+    bins = bins.join(tasks, "log_date").withColumn("task", (F.col("first") + F.col("bin")).cast("int"))
+    count = tasks.agg(F.sum("bins")).first()[0]
     table = spark.read.parquet(path)
     rows = table.where(F.col("log_date").isin(days)).withColumn("_file", F.col("_metadata.file_path"))
-    binned = rows.join(bins.select(F.col("file").alias("_file"), F.col("bin").alias("_bin")), "_file").drop("_file")
+    binned = rows.join(bins.select(F.col("file").alias("_file"), F.col("task").alias("_task")), "_file").drop("_file")
     copy = store(binned, "compaction")
     order = [c for c in ("contract",) if c in table.columns]
-    ordered = copy.repartition("log_date", "_bin").sortWithinPartitions("log_date", "_bin", *order).drop("_bin")
+    ordered = copy.repartitionById(count, F.col("_task")).sortWithinPartitions("log_date", *order)
     writer = ordered.select(*table.columns).write.mode("overwrite").partitionBy("log_date")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     return days
