@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from teletally.llm.common import text_or_empty, utf8
-from teletally.storage import shared_path
+from teletally.storage import file_names, shared_path
 
 SLOTS = 4096
 
@@ -93,9 +93,9 @@ class SlotMap:
     @classmethod
     def stored(cls, spark: SparkSession, path: str, version: int | None = None) -> SlotMap:
         """A version out of a stored map, the newest by default."""
-        rows = sorted(spark.read.parquet(path).collect(), key=lambda r: (r.version, r.vslot))
-        wanted = rows[-1].version if version is None else version
-        rows = [r for r in rows if r.version == wanted]
+        table = spark.read.parquet(path)
+        wanted = table.agg(F.max("version")).first()[0] if version is None else version
+        rows = sorted(table.where(F.col("version") == wanted).collect(), key=lambda r: r.vslot)
         columns = [tuple(r[name] for r in rows) for name in ("shard", "bytes", "rows")]
         return cls(wanted, rows[0].shards, *columns)
 
@@ -145,30 +145,61 @@ def sized_records(
     return records.withColumn("vslot", slot_of(F.col("doc_id"), F.col("text_crc32"), F.col("size"), slots=slots))
 
 
+def next_map(held: SlotMap, bytes_of: list[int], rows_of: list[int], shards: int, slack: float = 0.01) -> SlotMap:
+    """The map for new sums: the same one if nothing has changed, else its next version.
+
+    Slots move only into shards that are new, or out of shards that have become too heavy.
+    """
+    if len(held.shard_of) != len(bytes_of):
+        raise ValueError(f"the stored map has {len(held.shard_of)} slots, not {len(bytes_of)}")
+    if shards < held.shards:
+        raise ValueError(f"the stored map has {held.shards} shards already")
+    if (held.bytes_of, held.rows_of, held.shards) == (tuple(bytes_of), tuple(rows_of), shards):
+        return held
+    grown = replace(held, bytes_of=tuple(bytes_of), rows_of=tuple(rows_of))
+    while grown.shards < shards:
+        grown = grown.grown(slack)
+    return replace(grown.rebalanced(bytes_of, rows_of, slack), version=held.version + 1)
+
+
 def place(records: DataFrame, stored_map: DataFrame) -> DataFrame:
     """Shard and place in the shard of every record, by a stored version of the map.
 
-    A slot's rows are numbered by id, then checksum and size; equal rows get neighbouring places.
+    ``records``: doc_id, size, text_crc32, vslot. A slot's rows are numbered by id, then checksum and size; equal rows get
+    neighbouring places. Equal rows are counted where they are read, and only the counts are numbered and
+    turned into rows again: a row that is there very often is a few counts, not one slot's whole work.
     """
-    in_slot = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size")
-    numbered = records.withColumn("in_slot", F.row_number().over(in_slot) - 1)
+    alike = ["vslot", "doc_id", "text_crc32", "size"]
+    counts = records.withColumn("part", F.spark_partition_id()).groupBy(*alike, "part").agg(F.count("*").alias("rows"))
+    in_slot = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size", "part")
+    before = F.sum("rows").over(in_slot.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("rows")
     held = stored_map.select("vslot", "shard", "first_row")
-    joined = numbered.join(F.broadcast(held), "vslot")
-    return joined.withColumn("slot", F.col("first_row") + F.col("in_slot")).drop("first_row", "in_slot")
+    joined = counts.withColumn("before", before).join(F.broadcast(held), "vslot")
+    first = F.col("first_row") + F.col("before")
+    return joined.withColumn("slot", F.explode(F.sequence(first, first + F.col("rows") - 1))).select(*alike, "shard", "slot")
 
 
-def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS) -> DataFrame:
+def shard_documents(
+    docs: DataFrame, shards: int = 24, slots: int = SLOTS, *, map_path: str | None = None, slack: float = 0.01
+) -> DataFrame:
     """All documents in ``shards`` shards of nearly equal bytes.
 
+    ``map_path``: a stored map. If there is one, it is edited: with more ``shards`` than it has, slots move into the new ones
+    only, and slots leave a shard that is more than ``slack`` above the mean; the next version is appended. If
+    there is none yet, or without a path, a first version is planned and stored.
+
     Returns doc_id, size, text_crc32, law (``bytes``), shard, slot (place in the shard, gapless from
     0), grown_shard (null under this law), vslot, map_version. Repeated rows are placed one by one;
     an empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     records = sized_records(docs, slots=slots)
-    planned = plan_shards(*slot_sums(records, slots), shards)
-    path = shared_path(spark, "slot-map")
-    planned.store(spark, path)
+    sums = slot_sums(records, slots)
+    path = map_path or shared_path(spark, "slot-map")
+    held = SlotMap.stored(spark, path) if file_names(spark, path) else None
+    planned = plan_shards(*sums, shards) if held is None else next_map(held, *sums, shards, slack)
+    if held is None or planned.version != held.version:
+        planned.store(spark, path)
     stored = spark.read.parquet(path).where(F.col("version") == planned.version)
     return place(records, stored).select(
         "doc_id",

@@ -3,6 +3,8 @@
 import random
 from zlib import crc32
 
+import pytest
+
 from teletally.llm import sharding
 from tests.llm.cases import ODD, docs, texts
 
@@ -58,3 +60,43 @@ def test_growing_and_rebalancing_move_few_slots(spark, tmp_path):
     later.store(spark, path)
     assert sharding.SlotMap.stored(spark, path) == later
     assert sharding.SlotMap.stored(spark, path, 1) == first
+
+
+def test_a_stored_map_is_edited(spark, tmp_path):
+    path = str(tmp_path / "map")
+    rows = [(k, t) for k, t in enumerate(texts(4, 800, 40))]
+
+    def placed(some, shards=8):
+        found = sharding.shard_documents(docs(spark, some), shards, slots=256, map_path=path, slack=0.05).collect()
+        check(found, shards)
+        return found, {r.vslot: r.shard for r in found}, {r.map_version for r in found}
+
+    _, first, versions = placed(rows[:600])
+    assert versions == {1}
+    # The same table again: the same version of the map.
+    _, again, versions = placed(rows[:600])
+    assert (again, versions) == (first, {1})
+    # A grown table: the next version, and few slots have moved.
+    found, later, versions = placed(rows)
+    moved = [k for k in first if later[k] != first[k]]
+    assert versions == {2} and len(moved) < 0.15 * 256
+    loads = [sum(r.size for r in found if r.shard == s) for s in range(8)]
+    assert max(loads) <= 1.06 * sum(loads) / 8
+    # One more shard: slots move into it alone.
+    _, more, versions = placed(rows, 9)
+    assert versions == {3} and all(shard == 8 for k, shard in more.items() if shard != later[k])
+    assert 0.05 < sum(shard == 8 for shard in more.values()) / len(more) < 0.16
+    with pytest.raises(ValueError, match="9 shards already"):
+        placed(rows, 8)
+    with pytest.raises(ValueError, match="256 slots"):
+        sharding.shard_documents(docs(spark, rows), 9, slots=128, map_path=path)
+
+
+def test_equal_rows_and_ids(spark):
+    rows = [(7, "the same row")] * 500 + [(7, f"same id {k}") for k in range(200)] + [(None, "no id")] * 300
+    found = sharding.shard_documents(docs(spark, rows, 6), shards=3, slots=64).collect()
+    assert len(found) == 1000
+    check(found, 3)
+    assert sum(r.doc_id is None for r in found) == 300
+    same = sorted(r.slot for r in found if r.text_crc32 == crc32(b"the same row"))
+    assert same == list(range(same[0], same[0] + 500))
