@@ -1,0 +1,81 @@
+"""The forest's own splits: leaf rows of tight clusters, repeated ids, leaves of any size."""
+
+import numpy as np
+import pytest
+
+from teletally.llm import embedding_dedup
+from tests.llm.test_embedding_dedup import brute, clusters, frame
+
+
+def leaf_rows(monkeypatch):
+    seen, plain = [], embedding_dedup._leaves
+
+    def counted(*args):
+        found = plain(*args)
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(embedding_dedup, "_leaves", counted)
+    return seen
+
+
+def one_cluster(count, noise, size=64):
+    rng = np.random.default_rng(7)
+    centre = rng.standard_normal(size)
+    return [(k, (centre + noise * rng.standard_normal(size)).tolist(), 0) for k in range(count)]
+
+
+@pytest.mark.parametrize("count", [2000, 4000, 8000])
+def test_leaf_rows_of_a_tight_cluster_stay_flat(spark, monkeypatch, count):
+    seen = leaf_rows(monkeypatch)
+    found = embedding_dedup.near_vectors(frame(spark, one_cluster(count, 0.02)), capacity=64).collect()
+    # No split divides the cluster, and all trees end in the same leaf.
+    assert seen == [count]
+    assert all((r.n_links, r.component_id) == (count - 1, 0) for r in found)
+
+
+def test_leaf_rows_of_loose_data_are_bounded(spark, monkeypatch):
+    shares = []
+    for count in (1000, 3000):
+        seen = leaf_rows(monkeypatch)
+        embedding_dedup.near_vectors(frame(spark, one_cluster(count, 1.0)), capacity=64).count()
+        shares.append(seen[0] / count)
+        monkeypatch.undo()
+    # A split passes at most a quarter on to both sides.
+    levels = np.log2(3000 / 64) + 2
+    assert max(shares) <= 12 * 1.25**levels and shares[1] <= 2 * shares[0]
+
+
+def test_ids_with_several_vectors(spark):
+    rng = np.random.default_rng(3)
+    first, second = rng.standard_normal((2, 64))
+    near = second + 0.02 * rng.standard_normal(64)
+    rows = [(1, first.tolist(), 0), (1, second.tolist(), 0), (2, second.tolist(), 0), (3, near.tolist(), 0)]
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_vectors(frame(spark, rows)).collect()}
+    # Vector 3 is near that of 1 and 2; both others link to two.
+    assert found == {1: (2, 1, True), 2: (2, 1, False), 3: (2, 1, False)}
+    # An id ties the components of its vectors together.
+    apart = [(4, first.tolist(), 1), (5, second.tolist(), 1), (4, second.tolist(), 1), (6, first.tolist(), 1)]
+    found = {r.vec_id: r.component_id for r in embedding_dedup.near_vectors(frame(spark, apart)).collect()}
+    assert found == {4: 4, 5: 4, 6: 4}
+
+
+def test_samples_smaller_than_the_nodes(spark, monkeypatch):
+    # Splits fitted on few vectors, so that leaves come out too large and are split in further rounds.
+    rows = clusters(11, 40, 25, 0.1)
+    monkeypatch.setattr(embedding_dedup, "SAMPLE", 80)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 100)
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_vectors(frame(spark, rows), capacity=30).collect()}
+    assert found == brute(rows)
+
+
+def test_trees_split_at_their_own_medians():
+    rng = np.random.default_rng(5)
+    unit = rng.standard_normal((3000, 16))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    tree = embedding_dedup.Tree(unit, 3000, 9, 100, 0.005)
+    assert len(set(tree.seeds)) == len(tree.seeds) > 20 and len(set(tree.cuts)) == len(tree.cuts)
+    held = {number: at for number, at in tree.down(unit)}
+    assert max(map(len, held.values())) <= 100
+    assert set(np.concatenate(list(held.values())).tolist()) == set(range(3000))
+    assert sum(map(len, held.values())) < 1.5 * 3000
