@@ -65,7 +65,8 @@ def write_parquet(
     each write a small file into every folder; AQE then splits a day that is too large for
     one task and merges small ones. Rows scanned from one file per day need no such shuffle.
     ``replace_days`` swaps only the days present in ``df`` and leaves the others alone; of
-    ``days``, the days that ``df`` was read from, those without rows are emptied too.
+    ``days``, the days that ``df`` was read from, those without rows are emptied too, after the others are
+    replaced: a reader in between still finds their old rows.
     ``sort`` orders each task's rows by contract, so that a look-up of one contract skips most
     row groups by their statistics. ``bloom`` names columns that get a bloom filter per row group, by
     which a look-up skips even the groups whose range holds a value that they do not have.
@@ -82,8 +83,11 @@ def write_parquet(
     if replace_days:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     spark = df.sparkSession
-    folders = [f"{path.rstrip('/')}/log_date={day.isoformat()}" for day in days] if replace_days and by_day else []
-    before = {folder: file_names(spark, folder) for folder in folders}
+    before = {}
+    if replace_days and by_day and days:
+        # One listing of the table says which of the days it has; only those are looked into.
+        held = file_names(spark, path) & {f"log_date={day.isoformat()}" for day in days}
+        before = {folder: file_names(spark, folder) for folder in (f"{path.rstrip('/')}/{name}" for name in held)}
     writer.parquet(path)
     for folder, names in before.items():
         # Rows of a day come in new files; a day that kept its old ones got none.
