@@ -4,24 +4,32 @@ A flat token file is a plain sequence of little-endian ids without any index: pe
 values that spell its id, its tokens, and the end-of-document id. Reading finds the separators of a
 block with one vectorised comparison. A document that lies within a block is counted there; the pieces at
 block borders are stitched by a prefix scan: the number of separators before a piece, in file
-order, names the document it belongs to, however many blocks that document spans.
+order, names the document it belongs to, however many blocks that document spans. A task reads byte
+ranges, not files, so a file of any size is shared by many tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from teletally.llm import bpe
-from teletally.llm.common import arrow_schema, text_or_empty
+from teletally.llm.common import arrow_schema, drop_tool, text_or_empty
 from teletally.storage import shared_path
 
 BLOCK = 2**20
+# Blocks that are read at once, 32 MB; and how much of them a task takes when there is much to read.
+RANGE_BLOCKS = 16
+TASK_BYTES = 2**27
 FILE_DOCUMENTS = 5_000
+# Stores whose byte ranges Arrow reads.
+RANGED = ("file", "hdfs", "viewfs", "s3", "s3a", "gs", "gcs", "abfs", "abfss")
 HEADER = 5
 # A header value holds 13 bits of the id; in the header of a row without an id all bits of the first are set.
 BITS = 13
@@ -54,8 +62,8 @@ def write_token_files(
     """Encode every whole text and write flat token files of 16-bit ids under ``path``.
 
     The string of a special token in a text is ordinary text, so the end-of-document id stands at ends only. Null
-    texts count as empty. A file holds at most ``file_documents`` documents, which bounds what a reading
-    task loads; for an empty table there may be no file. Spark's own writer puts down records and separators.
+    texts count as empty. A file holds at most ``file_documents`` documents, however long these are; for an
+    empty table there may be no file. Spark's own writer puts down records and separators.
     """
     spark = docs.sparkSession
     shared = bpe.broadcast_vocabulary(spark, tokenizer)
@@ -82,10 +90,13 @@ def write_token_files(
     written.option("maxRecordsPerFile", file_documents).text(path)
 
 
-def scan(tokens: np.ndarray, end: int, block: int = BLOCK) -> Iterator[tuple[int, int, int, bool, bool, np.ndarray]]:
+def scan(
+    tokens: np.ndarray, end: int, block: int = BLOCK, first: int = 0
+) -> Iterator[tuple[int, int, int, bool, bool, np.ndarray]]:
     """Pieces of a token sequence: (block, number in it, tokens, whole, closed, first tokens).
 
-    ``whole``: the piece is a document from start to end. ``closed``: a separator stands behind it.
+    ``whole``: the piece is a document from start to end. ``closed``: a separator stands behind it. Blocks
+    are numbered from ``first``.
     """
     for k in range(-(-len(tokens) // block)):
         held = tokens[k * block : (k + 1) * block]
@@ -95,35 +106,93 @@ def scan(tokens: np.ndarray, end: int, block: int = BLOCK) -> Iterator[tuple[int
         for piece, (start, stop) in enumerate(zip(starts.tolist(), stops.tolist(), strict=True)):
             closed = piece < len(ends)
             if closed or stop > start:
-                yield k, piece, stop - start, closed and piece > 0, closed, held[start : min(stop, start + HEADER)]
+                yield first + k, piece, stop - start, closed and piece > 0, closed, held[start : min(stop, start + HEADER)]
 
 
-def count_tokens(spark: SparkSession, path: str, *, end: int = 50256, block: int = BLOCK) -> DataFrame:
+def opened(path: str) -> pa.NativeFile:
+    """A file by the path that Spark's listing gives it."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return pa.fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    system, place = pa.fs.FileSystem.from_uri(quote(path.replace("s3a:", "s3:", 1), safe="/:@"))
+    return system.open_input_file(place)
+
+
+def byte_ranges(files: DataFrame, size: int) -> DataFrame:
+    """``file``, ``range`` for every ``size`` bytes of every file, dealt to tasks. Only the listing is read."""
+    spark = files.sparkSession
+    listed = files.where("length > 1").select(F.col("path").alias("file"), F.expr(f"(length - 1) div {size}").alias("last"), "length")
+    totals = listed.agg(F.sum("length").alias("bytes"), F.sum(F.col("last") + 1).alias("ranges")).first()
+    shuffle_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, -(-(totals["bytes"] or 0) // TASK_BYTES), min(totals["ranges"] or 0, shuffle_partitions))
+    return listed.select("file", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("range")).repartition(tasks)
+
+
+def count_tokens(
+    spark: SparkSession,
+    path: str,
+    *,
+    end: int = 50256,
+    block: int = BLOCK,
+    range_blocks: int = RANGE_BLOCKS,
+    ranged: bool | None = None,
+) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``closed`` for every document in the flat token files under ``path``.
 
     ``n_tokens`` leaves out header and separator. A document cut off at the end of a file is reported with
-    ``closed`` false. A header without an id gives a null id. Repeated documents are reported one by one.
+    ``closed`` false, in its header with no tokens; half an id at the end of a file is no token. A header without an id gives a null id.
+    Repeated documents are reported one by one. Rows do not depend on ``block`` and ``range_blocks``, the
+    blocks that are read at once. ``ranged`` false: files are read whole by Spark's reader, 2 GB each at
+    most, for stores that Arrow doesn't open; by default that is decided by the path's scheme.
     """
-    target = arrow_schema(
-        "file string, block int, piece int, n long, whole boolean, closed boolean, head array<int>"
-    )
-
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for file, content in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                tokens = np.frombuffer(content.as_buffer(), dtype="<u2")
-                found: list[list] = [[] for _ in range(7)]
-                for row in scan(tokens, end, block):
-                    for column, value in zip(found, (file, *row), strict=True):
-                        column.append(value)
-                    if len(found[0]) >= 50_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(found, target)], schema=target)
-                        found = [[] for _ in range(7)]
+    schema = "file string, block long, piece int, n long, whole boolean, closed boolean, head array<int>"
+    target = arrow_schema(schema)
+
+    def rows(pieces: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        found: list[list] = [[] for _ in target]
+        for row in pieces:
+            for column, value in zip(found, row, strict=True):
+                column.append(value)
+            if len(found[0]) >= 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(found, target)], schema=target)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    schema = "file string, block int, piece int, n long, whole boolean, closed boolean, head array<int>"
-    pieces = files.mapInArrow(batches, schema)
+                found = [[] for _ in target]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(found, target)], schema=target)
+
+    def ids(content: bytes | pa.Buffer) -> np.ndarray:
+        return np.frombuffer(content, dtype="<u2", count=len(content) // 2)
+
+    def by_range(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tool()
+
+        def pieces() -> Iterator[tuple]:
+            for part in parts:
+                for file, number in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    with opened(file) as source:
+                        content = source.read_at(size, number * size)
+                    for row in scan(ids(content), end, block, number * range_blocks):
+                        yield file, *row
+
+        yield from rows(pieces())
+
+    def by_file(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_tool()
+
+        def pieces() -> Iterator[tuple]:
+            for part in parts:
+                for file, content in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+                    for row in scan(ids(content.as_buffer()), end, block):
+                        yield file, *row
+
+        yield from rows(pieces())
+
+    size = 2 * block * range_blocks
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    if ranged is None:
+        ranged = ":" not in path or path.partition(":")[0] in RANGED
+    if ranged:
+        pieces = byte_ranges(files.select("path", "length"), size).mapInArrow(by_range, schema)
+    else:
+        pieces = files.select("path", "content").mapInArrow(by_file, schema)
     inner = pieces.where("whole").select("head", "n", "closed")
     # Few pieces per block stand at its borders; those of a file are put in order.
     before = Window.partitionBy("file").orderBy("block", "piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -141,7 +210,7 @@ def count_tokens(spark: SparkSession, path: str, *, end: int = 50256, block: int
     for value in bits[1:]:
         spelled = spelled.bitwiseOR(value)
     doc_id = F.when((F.size("head") >= HEADER) & (F.get("head", F.lit(0)) < NO_ID), spelled)
-    return every.select(doc_id.alias("doc_id"), (F.col("n") - HEADER).alias("n_tokens"), "closed")
+    return every.select(doc_id.alias("doc_id"), F.greatest(F.col("n") - HEADER, F.lit(0)).alias("n_tokens"), "closed")
 
 
 def document_token_counts(docs: DataFrame, tokenizer: str) -> DataFrame:

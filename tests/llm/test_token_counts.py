@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from teletally.llm import token_counts
@@ -47,11 +48,33 @@ def test_counts_equal_the_library_for_any_block(spark, tmp_path):
     path = str(tmp_path / "files")
     token_counts.write_token_files(docs(spark, rows), path, PATH, file_documents=7)
     wanted = sorted((str(i), library(t), True) for i, t in rows)
-    for block in (3, 50, 2**20):
-        found = token_counts.count_tokens(spark, path, block=block).collect()
+    for block, options in ((3, {}), (50, {"range_blocks": 1}), (997, {"range_blocks": 3}), (2**20, {}), (50, {"ranged": False})):
+        found = token_counts.count_tokens(spark, path, block=block, **options).collect()
         assert sorted((str(r.doc_id), r.n_tokens, r.closed) for r in found) == wanted
 
 
+def test_one_file_is_read_by_many_tasks(spark, tmp_path):
+    rows = [(k, t) for k, t in enumerate(texts(6, 30, 200))]
+    path = str(tmp_path / "one file")
+    token_counts.write_token_files(docs(spark, rows, 1), path, PATH)
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    (size,) = [r.length for r in files.collect() if r.length]
+    cut = token_counts.byte_ranges(files, 1000)
+    places = cut.select("file", "range", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r["range"] for r in places) == list(range(-(-size // 1000)))
+    assert len({r.task for r in places}) > 1 and len({r.file for r in places}) == 1
+    found = token_counts.count_tokens(spark, path, block=100, range_blocks=5).collect()
+    assert sorted((r.doc_id, r.n_tokens) for r in found) == [(i, library(t)) for i, t in rows]
+
+
+def test_half_an_id_at_the_end_of_a_file(spark, tmp_path):
+    (tmp_path / "part-0").write_bytes(np.array([*token_counts.header(7), 11, 12, 50256, 3], dtype="<u2").tobytes() + b"\x01")
+    (tmp_path / "part-1").write_bytes(b"")
+    for ranged in (True, False):
+        found = token_counts.count_tokens(spark, str(tmp_path), block=2, range_blocks=1, ranged=ranged).collect()
+        assert sorted((r.doc_id or 0, r.n_tokens, r.closed) for r in found) == [(0, 0, False), (7, 2, True)]
+
+
 def test_a_cut_file_is_reported(spark, tmp_path):
     token_counts.write_token_files(docs(spark, [(1, "some words here")], 1), str(tmp_path / "files"), PATH)
     data = b"".join(f.read_bytes() for f in (tmp_path / "files").glob("part-*"))
