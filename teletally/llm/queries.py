@@ -1,4 +1,9 @@
-"""The registered queries of this subpackage: one per operator, over whole tables."""
+"""The registered queries of this subpackage: one per operator, over whole tables.
+
+All of them accept what the operators accept: nulls in any column, empty and very long texts, repeated rows and
+ids, empty tables (an empty result) and further columns of any name, which are ignored. What differs between
+them is in their docstrings.
+"""
 
 from __future__ import annotations
 
@@ -34,58 +39,71 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every row's text; a null text has none."""
     return pii.digests(table(spark, folder, "documents"))
 
 
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every row's text and what they decode to; a null text has no ids."""
     return bpe.digests(table(spark, folder, "documents"), tokenizer_path())
 
 
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row at least once, in mixed order; rows without a source are a source. Equal ids: by bytes."""
     return mixing.mix(table(spark, folder, "documents"))
 
 
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row in one of 24 shards of like bytes; a null text has 8 bytes and the checksum of an empty one."""
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
 def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every row; null ids come last, equal ids by descending hash of the text."""
     return fingerprints.fingerprint_report(table(spark, folder, "documents"))
 
 
 def op9_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document with its class and component; rows without an id are in none and kept."""
     found = order_minhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "class_id", "component_id", "kept")
 
 
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Score of every row; exactly 0.5 is toxic, a text without evidence, a null one too, 0.25 at most."""
     docs = table(spark, folder, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
 def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per vector; those without a label or with no proper components link with nothing."""
     return embedding_dedup.near_vectors(table(spark, folder, "embeddings"))
 
 
 def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Score of every row; a null text is an end alone, a null id is hashed as empty text."""
     return language_model.score_documents(table(spark, folder, "documents"))
 
 
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every row, counted in files; a null text has none, a null id stays null."""
     return token_counts.document_token_counts(table(spark, folder, "documents"), tokenizer_path())
 
 
 def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """50 best documents of every item; equal scores by ascending id, rows without an id behind."""
     index = lexical_search.build_index(table(spark, folder, "documents"))
     return lexical_search.search(index, table(spark, folder, "benchmark"))
 
 
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every anchor; rows with a null id, label or component take no part."""
     found = table(spark, folder, "embeddings")
     return hard_negatives.mine(found, label=hard_negatives.seventh_relabelled())
 
 
 def op13_token_planes(spark: SparkSession, folder: str) -> DataFrame:
+    """Place and checksum of every row's ids in files; a null text has the end-of-document id alone."""
     return token_planes.document_checksums(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from teletally.llm.common import arrow_schema, drop_tool, fold, map_rows, text_or_empty, worker_tool
+from teletally.storage import store
 
 TRAINING_ROWS = 20_000
 HOLD_OUT = 5
@@ -88,7 +89,7 @@ LETTER = {c: k + 1 for k, c in enumerate(ALPHABET)}
 NO_EVIDENCE = math.log(1 / 3)
 
 _RUN = re.compile(r"(.)\1\1")
-_SPACED = re.compile(r"(?<!\S)\S(?: \S){3,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s{1,3}\S){2,}(?!\S)")
 _TAIL = re.compile(r"([^\w\s])\1\1+$")
 
 
@@ -243,10 +244,14 @@ class Scorer:
         return best
 
     def _spaced(self, run: str) -> float:
-        """Strongest kept word spelled out by single characters."""
+        """Strongest kept word spelled out by single characters.
+
+        Words of four letters and more are looked for in the whole run; one of three, and first letters, only
+        as what the run spells, because single letters spell them by chance.
+        """
         costs, weights = self._model.costs, self._model.weights
-        joined = restore(run.replace(" ", ""), costs).replace(" ", "")
-        best = 0.0
+        joined = restore("".join(run.split()), costs).replace(" ", "")
+        best = max((weights.get(f, 0.0) for f in features_of(joined)), default=0.0)
         for k, words in self._inside.items():
             for at in range(len(joined) - k + 1):
                 if joined[at : at + k] in words:
@@ -337,16 +342,18 @@ def fit(
 ) -> ToxicityModel:
     """Model from all texts and at most ``rows`` labels.
 
-    Without labels, or with labels of one kind only, no feature is kept and every text gets the same
-    score, which is below 0.5: a text without evidence is never called toxic, whatever the labels' share.
-    Null texts count as empty.
+    Without labels, with labels of one kind only, or with fewer rows than a feature needs, no feature is kept and every text
+    gets the same score, which is below 0.5: a text without evidence is never called toxic, whatever the labels' share.
+    Null texts count as empty. Of several rows of one id the model learns from one, so that the rows it
+    learns from are bounded as the labels are.
     """
     spark = docs.sparkSession
     costs = _letter_model(docs, text_column)
     shared = spark.sparkContext.broadcast(costs)
     chosen = F.broadcast(training_labels(labels, rows, hold_out))  # at most ``rows`` pairs of numbers
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
-    marked = texts.join(chosen, "doc_id").select("text", "toxic")
+    marked = texts.join(chosen, "doc_id").groupBy("doc_id", "toxic")
+    marked = marked.agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("text", "toxic")
 
     schema = "feature string, clean long, toxic long"
     target = arrow_schema(schema)
@@ -380,7 +387,7 @@ def fit(
     )
     totals = summary.first()
     toxic, clean = totals["toxic"] or 0, totals["clean"] or 0
-    if not toxic or not clean:
+    if not toxic or not clean or not totals["n"]:
         return ToxicityModel(costs, {}, (math.log((toxic + 1) / (clean + 1)), 0.0, 0.0))
     least = math.log(totals["n"])
     share = F.col("toxic") / (F.col("toxic") + F.col("clean"))
@@ -391,6 +398,7 @@ def fit(
     found = found.select("feature", "clean", "toxic", ratio).where(F.col("ratio") > least)
     found = found.orderBy(F.desc("ratio"), "feature").limit(MAX_FEATURES).collect()
     counts = {r["feature"]: (r["clean"], r["toxic"]) for r in found}
+    number = {feature: k for k, feature in enumerate(counts)}
 
     def candidates(batch: dict[str, list]) -> dict[str, list]:
         lists = []
@@ -399,14 +407,23 @@ def fit(
             pairs = set()
             for before, token in zip(["", *tokens], tokens):
                 words = hidden_words(token, shared.value)
-                pairs.update((f, crc32(before.encode("utf-8", "replace"))) for w in words for f in features_of(w) if f in counts)
+                behind = crc32(before.encode("utf-8", "replace"))
+                pairs.update((number[f], behind) for w in words for f in features_of(w) if f in number)
             lists.append([{"feature": f, "before": b} for f, b in sorted(pairs)])
         return {"held": lists}
 
-    schema = "held array<struct<feature:string,before:long>>"
-    holders = map_rows(marked.where("toxic = 1").select("text"), schema, candidates)
-    held = [[(f, b) for f, b in r.held] for r in holders.collect()]
-    chosen = {*_covering(held, counts, clean, toxic, least), *_widespread(held, counts, clean, toxic, least)}
+    schema = "held array<struct<feature:int,before:long>>"
+    held = store(map_rows(marked.where("toxic = 1").select("text"), schema, candidates), "toxic-features")
+    pairs = held.select(F.inline("held"))
+    spread = pairs.groupBy("feature").agg(F.count_distinct("before").alias("n")).collect()  # a number per feature
+    names = list(counts)
+    behind = {names[r.feature]: r.n for r in spread}
+    # One bit per feature and training row: 125 MB at most, and a row at a time on the way.
+    holders = dict.fromkeys(counts, 0)
+    for k, row in enumerate(held.select(F.array_distinct("held.feature").alias("found")).toLocalIterator()):
+        for feature in row.found:
+            holders[names[feature]] |= 1 << k
+    chosen = {*_covering(holders, counts, clean, toxic, least), *_widespread(behind, counts, clean, toxic, least)}
     chosen = _without_borrowed(chosen, counts)
     spread = math.log((clean + 1) / (toxic + 1))
     weights = {f: math.log((counts[f][1] + 0.5) / (counts[f][0] + 0.5)) + spread for f in chosen}
@@ -443,8 +460,6 @@ def _scaled(seen: np.ndarray) -> tuple[float, float, float]:
     return tuple(found.tolist())
 
 
-
-
 def _counted(counts: dict[str, list[int]], target: pa.Schema) -> pa.RecordBatch:
     clean, toxic = ([pair[k] for pair in counts.values()] for k in (0, 1))
     return pa.RecordBatch.from_pydict({"feature": list(counts), "clean": clean, "toxic": toxic}, schema=target)
@@ -459,27 +474,23 @@ def _ratio(clean: int, toxic: int, base: float) -> float:
 
 
 def _covering(
-    documents: list[list[tuple[str, int]]], counts: dict[str, tuple[int, int]], clean: int, toxic: int, least: float
+    holders: dict[str, int], counts: dict[str, tuple[int, int]], clean: int, toxic: int, least: float
 ) -> list[str]:
     """Features that explain the toxic documents, the best first, each on those not explained before.
 
-    Words that toxic documents share for another reason, such as being copies of each other, lose their
-    support once the documents are explained. Bounded by the training rows.
+    ``holders``: a bit per toxic document that holds the feature. Words that toxic documents share for another
+    reason, such as being copies of each other, lose their support once the documents are explained.
     """
-    holders: dict[str, set[int]] = {}
-    for k, features in enumerate(documents):
-        for feature, _ in features:
-            holders.setdefault(feature, set()).add(k)
     base = toxic / (toxic + clean)
     # Support only shrinks, so a feature's last ratio bounds its present one.
-    heap = [(-_ratio(counts[f][0], len(h), base), f[-1] == "$", -len(f), f) for f, h in holders.items()]
+    heap = [(-_ratio(counts[f][0], h.bit_count(), base), f[-1] == "$", -len(f), f) for f, h in holders.items()]
     heapq.heapify(heap)
-    explained: set[int] = set()
+    explained = 0
     found = []
     while heap:
         before, word, size, feature = heapq.heappop(heap)
-        holders[feature] -= explained
-        now = -_ratio(counts[feature][0], len(holders[feature]), base)
+        holders[feature] &= ~explained
+        now = -_ratio(counts[feature][0], holders[feature].bit_count(), base)
         if now > -least:
             continue
         if now > before:
@@ -491,17 +502,17 @@ def _covering(
 
 
 def _widespread(
-    documents: list[list[tuple[str, int]]], counts: dict[str, tuple[int, int]], clean: int, toxic: int, least: float
+    behind: dict[str, int], counts: dict[str, tuple[int, int]], clean: int, toxic: int, least: float
 ) -> list[str]:
-    """Features that stand behind many different words in the toxic documents, as copied text does not."""
-    before: dict[str, set[int]] = {}
-    for features in documents:
-        for feature, word in features:
-            before.setdefault(feature, set()).add(word)
+    """Features that stand behind many different words in the toxic documents, as copied text does not.
+
+    ``behind``: the number of those words.
+    """
     base = toxic / (toxic + clean)
     found = []
-    for feature, words in before.items():
-        count, seen = min(len(words), counts[feature][1]), counts[feature][1]
+    for feature, words in behind.items():
+        seen = counts[feature][1]
+        count = min(words, seen)
         if count >= WIDESPREAD * seen and _ratio(counts[feature][0], count, base) > least:
             found.append(feature)
     return found

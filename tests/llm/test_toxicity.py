@@ -153,3 +153,40 @@ def test_training_rows_are_bounded_and_not_held_out(spark):
 def test_letter_costs_are_probabilities():
     costs = toxicity.letter_costs(toxicity.trigram_counts(["abc abd", "xyz"]))
     assert np.allclose(np.exp(-costs).reshape(-1, toxicity.SIZE).sum(axis=1), 1)
+
+
+@pytest.mark.parametrize(
+    ("written", "seen"),
+    [
+        ("you are a l o s e r ok", True),
+        ("you l  o  s  e  r ok", True),
+        ("you l\to\ts\te\tr ok", True),
+        ("you l\no\ns\ne\nr ok", True),
+        ("you a s s ok", True),
+        ("x a s s y ok", False),
+        ("pa th e t i c ok", False),
+        ("p a t h e t i c ok", True),
+        ("you are a b c ok", False),
+        ("l o s", False),
+    ],
+)
+def test_spelled_out_words(costs, written, seen):
+    weights = {"loser$": 5.0, "ass$": 4.0, "pathet": 3.0}
+    scorer = toxicity.Scorer(toxicity.ToxicityModel(costs, weights, (0.0, 1.0, 1.0)))
+    assert (scorer.evidence(written)[0] > 0) == seen
+
+
+def test_rows_of_one_id_teach_once(spark):
+    rows, labels = corpus(3)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    repeated = [(i, t) for i, t in rows for _ in range(4)]
+    once, again = (toxicity.fit(docs(spark, r), marks) for r in (rows, repeated))
+    assert once.weights == again.weights and once.weights
+    assert once.scale == pytest.approx(again.scale)
+
+
+def test_covering_and_widespread_features():
+    counts = {"bad$": (0, 6), "copy$": (0, 6), "late$": (0, 4)}
+    holders = {"bad$": 0b111111, "copy$": 0b111111, "late$": 0b1111000000}
+    assert toxicity._covering(dict(holders), counts, 90, 10, 2.0) == ["copy$", "late$"]
+    assert toxicity._widespread({"bad$": 6, "copy$": 1, "late$": 4}, counts, 90, 10, 2.0) == ["bad$", "late$"]
