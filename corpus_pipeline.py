@@ -1,7 +1,8 @@
 """The training-data pipeline: documents to encoded ids in five stages.
 
 Every stage works on all rows that its predecessor kept and is written as Parquet before the next one
-reads it. All but the last return the columns of the documents table.
+reads it. All but the last return the columns of the documents table, further ones of any name included. A
+stage takes nulls in any column, empty and very long texts, and repeated rows; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -25,31 +26,42 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents not predicted toxic by a model learnt from the labels table."""
+    """Documents not predicted toxic by a model learnt from the labels table.
+
+    Null and empty texts, and any text without evidence, stay; without labels, or with labels of one kind, all do. A
+    score of exactly 0.5 goes. Repeated rows stay or go together.
+    """
     small_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.without_toxic(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies."""
+    """One document of each group of exact and near copies: the row of the lowest id.
+
+    Of rows that share that id, the one whose text's digest, then whose values hash lowest. Null and empty texts are copies
+    of each other. Rows without an id all stay.
+    """
     small_batches(spark)
     return order_minhash.without_near_duplicates(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by its kind; ``n_chars`` follows the text."""
+    """Personal data replaced by its kind; ``n_chars`` follows the text. Every row stays; null texts stay null."""
     small_batches(spark)
     return pii.mask(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in their target shares, rows in mixed order; small sources begin anew when they end."""
+    """Sources in their target shares, rows in mixed order; small sources begin anew when they end.
+
+    Every row is there at least once; rows without a source are a source of their own, null texts have no bytes.
+    """
     return mixing.mixed_rows(docs)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, and whether they decode to it again."""
+    """Ids of every text, and whether they decode to it again: one row per row, null texts have no ids."""
     small_batches(spark)
     return bpe.encode(docs, tokenizer_path())
 
