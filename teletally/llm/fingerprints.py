@@ -9,13 +9,16 @@ empty sketch; this too survives unions.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from teletally.llm.common import text_or_empty
 
 WORDS = 5
-FRACTION = 1 / 8
+FRACTION = 1 / 4
+HIGHEST = 2**63 - 1
 
 
 def words_of(text: Column) -> Column:
@@ -86,35 +89,66 @@ def fingerprint(
     return with_sketch(texts, "text", "sketch", width, fraction).drop("text")
 
 
-def with_next(df: DataFrame, order: str, columns: tuple[str, ...]) -> DataFrame:
-    """Adds ``next_<column>`` of the next row by descending ``order``, after the last the first.
+def range_ends(df: DataFrame, order: str, tie: str, parts: int) -> list[tuple[int, int]]:
+    """The last (order, tie) of about ``parts`` ranges of like size, ascending; none for an empty table.
 
-    ``order`` holds longs without nulls; equal values follow each other by the first of ``columns``.
-    Rows go to ranges of the order, cut at values that occur in it, so the last value of each range is
-    known beforehand; rows with that value are sent to the range above as well, where they stand
-    behind all others as the next row of its last one. So one shuffle does, without a global window.
+    A value of the order that fills several ranges is cut at values of ``tie`` that occur with it. Others
+    are not cut: their end holds the highest tie there may be.
     """
-    spark = df.sparkSession
-    parts = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = [k / parts for k in range(1, parts)]
-    found = df.agg(F.percentile_approx(order, cuts, 100 * parts).alias("cuts"), F.max(order).alias("last")).first()
+    shares = [k / parts for k in range(1, parts)]
+    found = df.agg(F.percentile_approx(order, shares, 100 * parts).alias("cuts"), F.max(order).alias("last")).first()
     if found["last"] is None:
+        return []
+    # Percentiles are doubles; the values that occur are looked up, since a long may lie beside them.
+    cuts = sorted({*found["cuts"], found["last"]})
+    place = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda cut: cut < F.col(order)))
+    highest = {r["place"]: r["value"] for r in df.groupBy(place.alias("place")).agg(F.max(order).alias("value")).collect()}
+    filled = Counter(found["cuts"])
+    filled = {value: filled[cuts[k]] for k, value in highest.items() if k < len(cuts)}
+    heavy = [value for value, count in filled.items() if count > 1]
+    ends = {(value, HIGHEST) for value in highest.values()} - {(value, HIGHEST) for value in heavy}
+    if heavy:
+        # No more values, nor ends of them all, than there are cuts.
+        most = max(filled.values())
+        within = F.percentile_approx(tie, [k / most for k in range(1, most)], 100 * most)
+        rows = df.where(F.col(order).isin(heavy)).groupBy(order).agg(within.alias("cuts"), F.max(tie).alias("last"))
+        for row in rows.collect():
+            ends |= {(row[order], cut) for cut in [*row["cuts"][:: -(-most // filled[row[order]])], row["last"]]}
+    return sorted(ends)
+
+
+def with_next(df: DataFrame, order: str, tie: str, columns: tuple[str, ...]) -> DataFrame:
+    """Adds ``next_<column>`` of the next row by descending ``order``, after the last the first.
+
+    ``order`` and ``tie`` hold longs without nulls, ``tie`` of 52 bits; equal values follow each other by descending ``tie``, then by
+    the first of ``columns``. Rows go to ranges of (order, tie), cut at values that occur, so the last value of
+    each range is known beforehand; rows with that value are sent to the range above as well, where they stand
+    behind all others as the next row of its last one. So one shuffle does, without a global window, and
+    only rows that agree in order and tie stay together.
+    """
+    parts = max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ends = range_ends(df, order, tie, parts)
+    if not ends:
         return df.select("*", *[F.lit(None).cast(df.schema[c].dataType).alias(f"next_{c}") for c in columns])
-    ends = sorted({*found["cuts"], found["last"]})  # the highest value of each range, bounded by the parts
     stride = max(1, int(len(ends) ** 0.5))
-    all_ends, coarse = F.array(*map(F.lit, ends)), F.array(*map(F.lit, ends[stride - 1 :: stride]))
+
+    def listed(values: list[tuple[int, int]]) -> Column:
+        return F.array(*[F.struct(F.lit(v).cast("long").alias("value"), F.lit(t).cast("long").alias("tie")) for v, t in values])
 
     def below(values: Column) -> Column:
-        return F.size(F.filter(values, lambda end: end < F.col(order)))
+        own, own_tie = F.col(order), F.col(tie)
+        return F.size(F.filter(values, lambda end: (end.value < own) | ((end.value == own) & (end.tie < own_tie))))
 
+    all_ends, coarse = listed(ends), listed(ends[stride - 1 :: stride])
     ranged = df.withColumn("_coarse", below(coarse) * stride)
     ranged = ranged.withColumn("_range", F.col("_coarse") + below(F.slice(all_ends, F.col("_coarse") + 1, stride)))
     own = F.struct(F.col("_range"), F.lit(0).alias("guest"))
     above = F.struct(((F.col("_range") + 1) % len(ends)).alias("_range"), F.lit(1).alias("guest"))
-    is_end = F.get(all_ends, F.col("_range")) == F.col(order)
+    end = F.get(all_ends, F.col("_range"))
+    is_end = (end.value == F.col(order)) & ((end.tie == F.col(tie)) | (end.tie == HIGHEST))
     placed = ranged.withColumn("_at", F.explode(F.when(is_end, F.array(own, above)).otherwise(F.array(own))))
     placed = placed.select(*df.columns, "_at._range", F.col("_at.guest").alias("_guest"))
-    window = Window.partitionBy("_range").orderBy("_guest", F.desc(order), columns[0])
+    window = Window.partitionBy("_range").orderBy("_guest", F.desc(order), F.desc(tie), columns[0])
     following = [F.lead(c).over(window).alias(f"next_{c}") for c in columns]
     return placed.select("*", *following).where(F.col("_guest") == 0).drop("_range", "_guest")
 
@@ -124,12 +158,13 @@ def fingerprint_report(docs: DataFrame, width: int = WORDS, fraction: float = FR
 
     The edited text has its second half replaced by the start of the next document (descending id).
     Likeness is the containment of the document's sketch in the other one. Null texts count as empty;
-    null ids come last; rows with equal ids follow each other by text; the only row of a table is its
-    own next one; other columns are ignored.
+    null ids come last; rows with equal ids follow each other by descending hash of the text (52 bits), so that many rows
+    of one id are divided; the only row of a table is its own next one; other columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
     texts = texts.withColumn("key", F.coalesce("doc_id", F.lit(-(2**63))))
-    paired = with_next(with_sketch(texts, "text", "sketch", width, fraction), "key", ("text", "sketch"))
+    texts = texts.withColumn("tie", F.shiftrightunsigned(F.xxhash64("text"), 12))
+    paired = with_next(with_sketch(texts, "text", "sketch", width, fraction), "key", "tie", ("text", "sketch"))
     paired = paired.withColumn("n_chars", F.length("text").cast("long"))
     half = F.expr("n_chars div 2").cast("int")
     edited = F.concat(
