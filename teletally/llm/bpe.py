@@ -13,11 +13,13 @@ an encoding.
 
 Texts are cut before merging as the tokenizer's own pattern does. A piece between two spaces
 never depends on its neighbours unless spaces repeat, so pieces are looked up in a bounded table
-of pieces already encoded; texts with repeated spaces go through the pattern as a whole.
+of pieces already encoded; texts with repeated spaces go through the pattern as a whole, and so do texts with
+white space that some token of the vocabulary joins to a blank behind it.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 import zlib
 from collections.abc import Callable, Iterator, Sequence
@@ -35,6 +37,9 @@ from teletally.llm.common import arrow_schema, map_rows, text_or_empty, worker_t
 # Fixed value: how the vocabulary's tokenizer cuts a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# White space other than the blank.
+WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 0x20]
+
 # Entries of the per-worker tables of encoded pieces and of tested pairs.
 PIECES = 200_000
 PAIRS = 400_000
@@ -51,11 +56,28 @@ def byte_letters() -> dict[str, int]:
     return letters | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def refuse_other_kinds(read: dict) -> None:
+    """Raise for a vocabulary file whose settings would give other ids than this encoder does."""
+    model, cut = read["model"], read.get("pre_tokenizer") or {}
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    if any(cut.get(name) != value for name, value in plain.items()):
+        raise ValueError(f"texts are cut by {cut.get('type')}, not by the byte-level pattern")
+    for name in ("continuing_subword_prefix", "end_of_word_suffix", "dropout", "byte_fallback", "ignore_merges"):
+        if model.get(name):
+            raise ValueError(f"the model has {name}")
+    if model.get("type", "BPE") != "BPE" or read.get("normalizer"):
+        raise ValueError("only byte-pair encoding of texts as they are")
+    for token in read["added_tokens"]:
+        if any(token.get(name) for name in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"the added token {token['content']} is not taken literally")
+
+
 class Vocabulary:
-    """Tokens and merges of a byte-level vocabulary."""
+    """Tokens and merges of a byte-level vocabulary; any other kind raises."""
 
     def __init__(self, content: str | bytes):
         read = json.loads(content)
+        refuse_other_kinds(read)
         letters = byte_letters()
 
         def raw(token: str) -> bytes:
@@ -96,6 +118,9 @@ class Encoder:
         for rank, (a, b, made) in enumerate(vocabulary.merges):
             self._merged[a, b] = rank
             self._parts.setdefault(made, (rank, a, b))
+        # Other white space that a token may join to a blank behind it, told by its last byte.
+        behind = {a for token in vocabulary.tokens.values() for a, b in itertools.pairwise(token) if b == 0x20}
+        self._joins_blanks = [c for c in WHITE if c.encode()[-1] in behind]
         self._separates: dict[int, bool] = {}
         self._form = form or (lambda encoder, ids: tuple(ids))
         self._pieces: dict[str, object] = {}
@@ -191,7 +216,7 @@ class Encoder:
 
     def _encoded(self, text: str) -> list[object]:
         known, piece = self._pieces.get, self._piece
-        if "  " in text:
+        if "  " in text or any(c in text for c in self._joins_blanks):
             return [known(part) or piece(part) for part in self._cut(text)]
         parts = text.split(" ")
         found = [known(part) or piece(part) for part in [" " + p for p in parts[1:]]]
