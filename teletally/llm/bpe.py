@@ -40,9 +40,12 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # White space other than the blank.
 WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 0x20]
 
-# Entries of the per-worker tables of encoded pieces and of tested pairs.
+# Entries of the per-worker tables of encoded pieces, of their parts and of tested pairs.
 PIECES = 200_000
+PARTS = 100_000
 PAIRS = 400_000
+# Texts whose ids are held at a time.
+SLICE = 500
 
 
 def byte_letters() -> dict[str, int]:
@@ -124,7 +127,7 @@ class Encoder:
         self._separates: dict[int, bool] = {}
         self._form = form or (lambda encoder, ids: tuple(ids))
         self._pieces: dict[str, object] = {}
-        self._parts_seen: dict[str, list[int]] = {}
+        self._parts_seen: dict[str, tuple[int, ...]] = {}
         self._automaton = ahocorasick.Automaton()
         for i, token in vocabulary.tokens.items():
             if self._whole(i):
@@ -186,12 +189,12 @@ class Encoder:
         ids.reverse()
         return ids
 
-    def _part(self, text: str) -> list[int]:
+    def _part(self, text: str) -> tuple[int, ...]:
         """Ids of one part that the pattern cut out."""
         ids = self._parts_seen.get(text)
         if ids is None:
-            ids = self._merge(text.encode())
-            if len(self._parts_seen) < PIECES and len(text) <= 64:
+            ids = tuple(self._merge(text.encode()))
+            if len(self._parts_seen) < PARTS and len(text) <= 64:
                 self._parts_seen[text] = ids
         return ids
 
@@ -206,11 +209,17 @@ class Encoder:
 
     def _piece(self, text: str) -> object:
         """The form of a text without special tokens."""
-        ids: list[int] = []
-        for part in self._cut_piece(text):
-            ids += self._part(part)
+        parts = self._cut_piece(text)
+        room = len(self._pieces) < PIECES and len(text) <= 64
+        if room and len(parts) == 1:
+            # Kept as a piece, hence not as a part as well.
+            ids = self._merge(text.encode())
+        else:
+            ids = []
+            for part in parts:
+                ids += self._part(part)
         found = self._form(self, ids)
-        if len(self._pieces) < PIECES and len(text) <= 64:
+        if room:
             self._pieces[text] = found
         return found
 
@@ -261,9 +270,9 @@ def broadcast_vocabulary(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(file.read())
 
 
-def ids_form(encoder: Encoder, ids: list[int]) -> tuple[bytes, bytes]:
-    """The ids in 32 bits each, and the bytes they decode to."""
-    return np.array(ids, dtype="<i4").tobytes(), b"".join([encoder.bytes_of[i] for i in ids])
+def ids_form(encoder: Encoder, ids: list[int]) -> bytes:
+    """The ids in 32 bits each."""
+    return np.array(ids, dtype="<i4").tobytes()
 
 
 def encode(docs: DataFrame, path: str, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -279,13 +288,11 @@ def encode(docs: DataFrame, path: str, *, id_column: str = "doc_id", text_column
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(shared, ids_form)
-        for part in parts:
-            texts = part.column(1).to_pylist()
+        for part in (p.slice(at, SLICE) for p in parts for at in range(0, p.num_rows, SLICE)):
             packed, same = [], []
-            for text in texts:
-                pieces = encoder.pieces(text)
-                packed.append(b"".join([p[0] for p in pieces]))
-                same.append(b"".join([p[1] for p in pieces]).decode("utf-8", "replace") == text)
+            for text in part.column(1).to_pylist():
+                packed.append(b"".join(encoder.pieces(text)))
+                same.append(encoder.decode(np.frombuffer(packed[-1], dtype="<i4").tolist()) == text)
             counts = np.array([len(p) // 4 for p in packed], dtype=np.int64)
             ends = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
             ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(packed), dtype="<i4")))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -33,6 +34,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A table of rows that the driver made, which must be few.
+
+    They are handed over as Arrow. Python rows would first go through Python workers, and those are none of the
+    workers that map Arrow batches but others, which then stay beside them for a minute.
+    """
+    target = arrow_schema(schema)
+    columns = list(zip(*rows, strict=True)) or [()] * len(target)
+    arrays = [pa.array(values, field.type) for values, field in zip(columns, target, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=target))
+
+
 def map_rows(
     df: DataFrame, schema: str, rows: Callable[[dict[str, list]], dict[str, list]], *, with_tool: bool = False
 ) -> DataFrame:
@@ -62,17 +75,30 @@ def worker_tool(key: object, build: Callable[[], object]) -> object:
     """
     global _tool
     if _tool is None or _tool[0] != key:
-        _tool = None
+        drop_tool()
         _tool = key, build()
+        give_back()
         # What was built holds no cycles; the collector need not look at it again.
         gc.freeze()
     return _tool[1]
 
 
 def drop_tool() -> None:
-    """Free the tool of an earlier operator in this worker process."""
+    """Free the tool of an earlier operator in this worker process, and what its tasks took besides."""
     global _tool
     _tool = None
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system.
+
+    A worker lives through all stages, and its C library else keeps the most that any of them took.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries have none
+    if trim:
+        trim(0)
 
 
 def arrow_schema(ddl: str) -> pa.Schema:

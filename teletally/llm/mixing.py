@@ -21,7 +21,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from teletally.llm.common import text_or_empty
+from teletally.llm.common import small_table, text_or_empty
 from teletally.storage import store
 
 PERIOD = 1000
@@ -172,8 +172,8 @@ def _mixed(
         (length * ((n - 1) // weights[k]) + turn_of[k, (n - 1) % weights[k]] + 1 for k, n in blocks.items()), default=0
     )
     plan = [(k, weights[k], blocks[k]) for k in weights]
-    plan = spark.createDataFrame(plan, "_key string, _weight long, _blocks long")
-    period_table = spark.createDataFrame(turns, "_key string, _index long, _turn long")
+    plan = small_table(spark, plan, "_key string, _weight long, _blocks long")
+    period_table = small_table(spark, turns, "_key string, _index long, _turn long")
 
     order = ["doc_id", "bytes"]
     in_bucket = Window.partitionBy("_key", "_bucket").orderBy(*order)

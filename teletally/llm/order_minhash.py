@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from teletally.llm.common import arrow_schema, map_rows, text_or_empty
+from teletally.llm.common import arrow_schema, map_rows, small_table, text_or_empty
 from teletally.llm.components import connected_components
 from teletally.storage import store
 
@@ -421,7 +421,7 @@ def near_duplicates(
     shared = company.select("node", "weight", "keys", F.explode("keys").alias("key")).join(sizes.select("key"), "key")
     shared = store(shared, "shared-keys")
 
-    parts = docs.sparkSession.createDataFrame([], "node binary, component binary")
+    parts = small_table(docs.sparkSession, [], "node binary, component binary")
     pairs = _with_leaders(shared, drawn, max(shared_keys, ROUND_KEYS))
     links = store(_verified(pairs, labelled, threshold), "near-links")
     if not links.isEmpty():
